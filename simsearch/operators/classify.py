@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from simsearch.operators.layout import spread_small
 from simsearch.operators.skew import join_group
 
 WORD = r"[\p{L}\p{N}]+"
@@ -47,7 +48,7 @@ def tfidf(papers: DataFrame, text_col: str = "abstract") -> DataFrame:
     broadcast of the few frequent words instead of meeting in one task.
     """
     total = papers.agg(F.count("*").alias("n")).scalar()
-    words = papers.select("paper_id", F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0))).alias("word"))
+    words = spread_small(papers).select("paper_id", F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0))).alias("word"))
     counts = words.groupBy("paper_id", "word").agg(F.count("*").alias("tf"))
     frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
     weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))

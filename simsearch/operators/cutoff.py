@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from simsearch.functions.keyed import h48, leading_bits
 from simsearch.operators.skew import few_groups, hint_if, join_group
+from simsearch.session import checkpoint
 
 GLOBAL_BITS = 16
 GROUP_BITS = 12
@@ -87,13 +88,19 @@ def mark_smallest(
     """The table with one boolean per name: is the row among the ``wanted`` smallest draws?
 
     The thresholds are taken over ``among`` (the whole table by default) and applied to ``df``.
+    They are computed here, once, and reach the plan as literals: however often the result is
+    read, marking a row stays a comparison of its own draw with two numbers.
     """
-    keys = cut_keys(df if among is None else among, id_col, draw, wanted)
-    key = keys.select(F.struct(*wanted).alias("k")).scalar()
+    keys = cut_keys(df if among is None else among, id_col, draw, wanted).collect()
     row_id, h = F.col(id_col), h48(*draw, F.col(id_col))
-    marked = df.select("*", h.alias("_h"), key.alias("_k"))
-    flags = [is_within(F.col(f"_k.{name}"), F.col("_h"), row_id).alias(name) for name in wanted]
-    return marked.select(*df.columns, *flags)
+    flags = {}
+    for name in wanted:
+        key = keys[0][name] if keys else None
+        if key is None:
+            flags[name] = F.lit(False)
+        else:
+            flags[name] = (h < key["h"]) | ((h == key["h"]) & (row_id <= key["id"]))
+    return df.withColumns(flags)
 
 
 def mark_smallest_per_group(
@@ -107,6 +114,7 @@ def mark_smallest_per_group(
     keys = cut_keys(df, id_col, draw, wanted, group=group, small_groups=small)
     keys = keys.select(group, F.col("total").alias("_n"), F.struct(*wanted).alias("_k"))
     row_id, h = F.col(id_col), h48(*draw, F.col(id_col))
-    marked = join_group(df, keys, group, "_n", small).withColumn("_h", h)
+    # one row per group, computed once however often the result is read
+    marked = join_group(df, checkpoint(keys), group, "_n", small).withColumn("_h", h)
     flags = [is_within(F.col(f"_k.{name}"), F.col("_h"), row_id).alias(name) for name in wanted]
     return marked.select(*df.columns, *flags)

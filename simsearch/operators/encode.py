@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from simsearch.operators.layout import spread_small
+
 DEFAULT_BATCH = 256
 WORD = re.compile(r"[^\W_]+")
 MAX_CACHED_WORDS = 1_000_000
@@ -36,33 +38,37 @@ class HashingEncoder:
 
     def __init__(self, dim: int = 64):
         self.dim = dim
-        self._slots: dict[str, int] = {}
+        self._slots = _Slots(dim)
 
-    def __getstate__(self):
-        return {"dim": self.dim, "_slots": {}}
-
-    def _slot(self, word: str) -> int:
-        """The slot, shifted by ``dim`` for a negative sign."""
-        digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
-        return int(digest[:8], 16) % self.dim + (self.dim if int(digest[8], 16) % 2 else 0)
+    def __reduce__(self):
+        return (HashingEncoder, (self.dim,))
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        slots = self._slots
-        if len(slots) > MAX_CACHED_WORDS:
-            slots.clear()
+        if len(self._slots) > MAX_CACHED_WORDS:
+            self._slots.clear()
         out = np.zeros((len(texts), self.dim))
         for row, text in enumerate(texts):
-            numbers = []
-            for word in WORD.findall(text.lower()):
-                number = slots.get(word)
-                if number is None:
-                    number = slots[word] = self._slot(word)
-                numbers.append(number)
-            counts = np.bincount(np.array(numbers, dtype=np.int64), minlength=2 * self.dim)
+            words = WORD.findall(text.lower())
+            numbers = np.fromiter(map(self._slots.__getitem__, words), dtype=np.int64, count=len(words))
+            counts = np.bincount(numbers, minlength=2 * self.dim)
             out[row] = counts[: self.dim] - counts[self.dim :]
         return out
 
 
+class _Slots(dict):
+    """Word -> slot, shifted by ``dim`` for a negative sign; filled as words are met."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
+        number = int(digest[:8], 16) % self.dim + (self.dim if int(digest[8], 16) % 2 else 0)
+        self[word] = number
+        return number
+
+
 class LazyEncoder:
     """An encoder made by ``factory`` on first use in a worker: a model or an inference session
     is loaded there once and never shipped from the driver."""
@@ -98,7 +104,7 @@ def encode_column(
 ) -> DataFrame:
     """``(id_col, *keep, embedding array<float>)``: unit vectors, null where the text has no content.
 
-    A narrow map: no shuffle, whole texts, ``batch_size`` texts per encoder call.
+    A narrow map over whole texts, ``batch_size`` of them per encoder call.
     """
     dim = encoder.dim
     if dim is None:
@@ -119,7 +125,7 @@ def encode_column(
                 vectors = pa.ListArray.from_arrays(offsets, flat, mask=pa.array(~ok))
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], vectors], names=names)
 
-    kept = df.select(text_col, F.col(id_col).cast("bigint").alias(id_col), *keep)
+    kept = spread_small(df).select(text_col, F.col(id_col).cast("bigint").alias(id_col), *keep)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:])
     return kept.mapInArrow(run, f"{types}, embedding array<float>")
 

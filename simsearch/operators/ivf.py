@@ -39,14 +39,24 @@ class IvfIndex:
         return self if nprobe is None else replace(self, nprobe=nprobe)
 
 
-def embedding_dim(embeddings: DataFrame) -> int:
-    """The one length all vectors share; anything else is an error."""
-    found = embeddings.where(F.col("embedding").isNotNull()).select(F.size("embedding").alias("d")).distinct().limit(2).collect()
+def embedding_dim(embeddings: DataFrame, check_all: bool = False) -> int:
+    """The vectors' length, from the first vector; with ``check_all`` every vector must share it.
+
+    Without the check, vectors of another length are left out of the index (``misfits`` counts
+    them), which saves reading all vectors once more.
+    """
+    lengths = embeddings.where(F.col("embedding").isNotNull()).select(F.size("embedding").alias("d"))
+    found = (lengths.distinct().limit(2) if check_all else lengths.limit(1)).collect()
     if len(found) != 1:
         raise ValueError(f"embeddings must have one fixed dimension, found {len(found) or 'none'}")
     return found[0]["d"]
 
 
+def misfits(embeddings: DataFrame, dim: int) -> DataFrame:
+    """One row: how many vectors are missing or have another length."""
+    return embeddings.agg(F.count_if(~has_dim(F.col("embedding"), dim)).alias("misfits"))
+
+
 def train_centroids(
     embeddings: DataFrame, nlist: int = DEFAULT_NLIST, seed: int = 42, iterations: int = 10
 ) -> DataFrame:
@@ -81,13 +91,18 @@ def mean_centroids(embeddings: DataFrame, list_col: str) -> DataFrame:
     return means.select("list_id", F.transform(unit, lambda x: F.round(x, CENTROID_DIGITS)).alias("centroid"))
 
 
-def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """List ids (ascending) and their centroids; the number of lists is checked first."""
+def _checked_rows(centroids: DataFrame) -> list:
+    """The centroids as rows in list order; the number of lists is checked first."""
     rows = centroids.select("list_id", "centroid").limit(MAX_LISTS + 1).collect()
     if not 1 <= len(rows) <= MAX_LISTS:
         raise ValueError(f"an index has 1 to {MAX_LISTS} lists, found {len(rows)}")
-    rows.sort(key=lambda r: r["list_id"])
-    return np.array([r["list_id"] for r in rows], dtype=np.int32), np.array([r["centroid"] for r in rows], dtype=np.float64)
+    return sorted(rows, key=lambda r: r["list_id"])
+
+
+def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    rows = _checked_rows(centroids)
+    names = np.array([r["list_id"] for r in rows], dtype=np.int32)
+    return names, np.array([r["centroid"] for r in rows], dtype=np.float64)
 
 
 def _nearest_lists(matrix: np.ndarray, names: np.ndarray, centroids: np.ndarray, count: int) -> np.ndarray:
@@ -132,8 +147,10 @@ def build_index(
     dim = embedding_dim(embeddings)
     if centroids is None:
         centroids = train_centroids(embeddings, nlist, seed)
-    lists = centroids.count()
-    return IvfIndex(centroids, assign_lists(embeddings, centroids, dim), dim, lists, nprobe)
+    # at most MAX_LISTS rows: kept as they are, so that no later step computes them again
+    rows = _checked_rows(centroids)
+    centroids = embeddings.sparkSession.createDataFrame(rows, "list_id int, centroid array<double>")
+    return IvfIndex(centroids, assign_lists(embeddings, centroids, dim), dim, len(rows), nprobe)
 
 
 def choose_lists(queries: DataFrame, index: IvfIndex) -> DataFrame:

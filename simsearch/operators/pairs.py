@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from simsearch.functions.keyed import h48
 from simsearch.operators.positions import SubjectIndex, index_subjects
-from simsearch.operators.skew import few_groups, hint_if
+from simsearch.operators.skew import MAX_BROADCAST_GROUPS, hint_if
 
 # a drawn id costs about 50 bytes when broadcast, so this bounds the broadcast near 100 MB
 MAX_BROADCAST_DRAWS = 2_000_000
@@ -121,29 +121,27 @@ def _ids(index: SubjectIndex, lookups: DataFrame, draws: int) -> DataFrame:
     return index.positions.join(hint_if(lookups, draws <= MAX_BROADCAST_DRAWS), "pos").drop("pos")
 
 
-def _usable(papers: DataFrame, cfg: PairConfig) -> DataFrame:
-    return papers.where(F.col("primary_subject").isNotNull() & F.col(cfg.text_field).isNotNull())
-
-
-def _eligible_subjects(subjects: DataFrame) -> int:
-    """0, 1 or 2 (meaning two or more); fails when no subject can give a pair."""
-    found = subjects.limit(2).count()
-    if found == 0:
+def _index(papers: DataFrame, cfg: PairConfig, min_rows: int = 2) -> tuple[SubjectIndex, int, bool]:
+    """The subject index, how many subjects it has, and whether they are few enough to broadcast."""
+    index = index_subjects(papers, cfg.seed, min_rows)
+    count = index.subjects.count()
+    if count == 0:
         raise ValueError("no subject has two rows: there is no pair to draw")
-    return found
+    return index, count, count <= MAX_BROADCAST_GROUPS
 
 
 def positive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
     """``(pair_id, subject, side, paper_id)``, two rows per pair."""
-    index = index_subjects(papers, cfg.seed)
-    _eligible_subjects(index.subjects)
-    small = few_groups(papers, "primary_subject")
+    index, _, small = _index(papers, cfg)
     return _ids(index, _same_subject(papers, index.subjects, cfg, cfg.num_pairs, small), 2 * cfg.num_pairs)
 
 
 def positive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:
-    """Two different papers of one subject per pair."""
-    papers = _usable(papers, cfg)
+    """Two different papers of one subject per pair.
+
+    The papers must be usable ones (``sources.tables.usable``); only ids and subjects are read
+    until the drawn texts are fetched.
+    """
     ids = positive_pair_ids(papers, cfg)
     both = attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs)
     return both.select(
@@ -161,9 +159,7 @@ def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
 
     With a single subject there is no negative to draw, so every pair is positive.
     """
-    index = index_subjects(papers, cfg.seed)
-    enough = _eligible_subjects(index.subjects)
-    small = few_groups(papers, "primary_subject")
+    index, enough, small = _index(papers, cfg)
     positives = cfg.num_pairs // 2 if enough >= 2 else cfg.num_pairs
     same = _same_subject(papers, index.subjects, cfg, positives, small)
     same = same.select("pair_id", "side", "pos", F.lit(1.0).alias("label"))
@@ -173,7 +169,7 @@ def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
         other = _two_subjects(papers, index.subjects, cfg, positives, small)
         other = other.select("pair_id", "side", "pos", F.lit(0.0).alias("label"))
         return _ids(index, same.unionByName(other), 2 * cfg.num_pairs)
-    wider = index_subjects(papers, cfg.seed, cfg.negatives_min_rows)
+    wider, _, small = _index(papers, cfg, cfg.negatives_min_rows)
     other = _two_subjects(papers, wider.subjects, cfg, positives, small)
     other = other.select("pair_id", "side", "pos", F.lit(0.0).alias("label"))
     return _ids(index, same, 2 * cfg.num_pairs).unionByName(_ids(wider, other, 2 * cfg.num_pairs))
@@ -181,7 +177,6 @@ def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
 
 def contrastive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:
     """Pairs with ``label`` 1.0 (one subject) or 0.0 (two subjects)."""
-    papers = _usable(papers, cfg)
     ids = contrastive_pair_ids(papers, cfg)
     both = attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs)
     return both.select(

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsearch.functions.keyed import h48, leading_bits
+from simsearch.session import checkpoint
 
 SLICE_BITS = 12
 SUBJECT_BITS = 8
@@ -48,7 +49,8 @@ def _running(df: DataFrame, bucket: str, order: list[str], weight: Column, name:
 def subject_counts(papers: DataFrame, min_rows: int = 2) -> DataFrame:
     """Subjects with at least ``min_rows`` papers, and how many each has."""
     return (
-        papers.groupBy(F.col("primary_subject").alias("subject"))
+        papers.where(F.col("paper_id").isNotNull())
+        .groupBy(F.col("primary_subject").alias("subject"))
         .agg(F.count("*").alias("n"))
         .where((F.col("n") >= min_rows) & F.col("subject").isNotNull())
     )
@@ -70,7 +72,8 @@ def index_subjects(papers: DataFrame, seed: int, min_rows: int = 2) -> SubjectIn
         h48(seed, "pos", F.col("paper_id")).alias("h"),
     )
     keyed = keyed.withColumn("slice", leading_bits(F.col("h"), SLICE_BITS))
-    subjects = _number_subjects(subject_counts(papers, min_rows))
+    # one row per subject, read by every later step: stored instead of counted again
+    subjects = checkpoint(_number_subjects(subject_counts(papers, min_rows)))
 
     slices = keyed.groupBy("subject", "slice").agg(F.count("*").alias("cnt"))
     earlier = W.partitionBy("subject").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsearch.functions.text import abstract_link, is_blank, pdf_link, preview
+from simsearch.session import checkpoint
 
 # Request limits and defaults.
 DEFAULT_K = 10
@@ -15,8 +16,8 @@ MAX_K = 100
 MAX_NPROBE = 1024
 
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
-QUANTILE_BUCKETS = 4096
-QUANTILE_ERROR = 1 / 16_384
+QUANTILE_BUCKETS = 512
+QUANTILE_ERROR = 1 / 4096
 
 
 def validate(requests: DataFrame, index_loaded: bool = True) -> DataFrame:
@@ -59,7 +60,8 @@ def values_at_ranks(values: DataFrame, column: str, shares: dict[str, float]) ->
     the distinct values into even buckets; exact counts then tell which bucket holds the wanted
     rank, and only that bucket is ordered.
     """
-    distinct = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
+    counted = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
+    distinct = checkpoint(counted)
     cuts = distinct.approxQuantile("v", [i / QUANTILE_BUCKETS for i in range(1, QUANTILE_BUCKETS)], QUANTILE_ERROR)
     edges = [-float("inf"), *sorted(set(cuts)), float("inf")]
     if len(edges) > 2:

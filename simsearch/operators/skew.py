@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_GROUPS = 100_000
+from simsearch.session import checkpoint
+
+# a per-group row is some hundred bytes at most, so this bounds a broadcast near 100 MB
+MAX_BROADCAST_GROUPS = 1_000_000
 MAX_HEAVY_GROUPS = 10_000
 
 
@@ -18,13 +21,17 @@ def hint_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def join_group(rows: DataFrame, groups: DataFrame, key: str, size: str, small: bool = False) -> DataFrame:
+def join_group(rows: DataFrame, groups: DataFrame, key: str, size: str, small: bool | None = None) -> DataFrame:
     """Inner join of ``rows`` with one row per group, safe for hot groups.
 
-    ``groups[size]`` is how many of ``rows`` the group has. Fewer than MAX_HEAVY_GROUPS groups
-    can each hold more than 1/MAX_HEAVY_GROUPS of all rows, so those are broadcast and their rows
-    never shuffled; every other group is small enough for one task.
+    Few groups are broadcast; unless the caller knows (``small``), they are stored and counted
+    first. Otherwise ``groups[size]``, how many of ``rows`` each group has, tells the hot ones:
+    fewer than MAX_HEAVY_GROUPS groups can each hold more than 1/MAX_HEAVY_GROUPS of all rows, so
+    those are broadcast and their rows never shuffled, and any other group fits one task.
     """
+    if small is None:
+        groups = checkpoint(groups)
+        small = groups.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS
     if small:
         return rows.join(F.broadcast(groups), key)
     total = groups.agg(F.sum(size)).scalar()

@@ -62,12 +62,14 @@ def preprocess(spark: SparkSession, root: str, config: PreprocessConfig, papers:
     else:
         papers = require_columns(papers, list(dict.fromkeys(["paper_id", *config.columns])))
     target = Prepared(root, True)
-    store.write_splits(nested_split(papers, config.test_size, config.seed), target.splits)
-    for split, path, count in (
+    # the draws need ids only; rows without a text are dropped where the text is read anyway
+    split = nested_split(papers, config.test_size, config.seed)
+    store.write_splits(usable(split, config.text_field), target.splits)
+    for name, path, count in (
         ("train", target.train_pairs, config.number_of_pairs),
         ("eval", target.eval_pairs, config.number_of_eval_pairs),
     ):
-        rows = usable(store.read_split(spark, target.splits, split), config.text_field)
+        rows = store.read_split(spark, target.splits, name)
         store.create_pairs(rows, builder, path, config.pairs(count))
 
 

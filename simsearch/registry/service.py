@@ -9,6 +9,7 @@ from simsearch.operators.encode import HashingEncoder, encode_column
 from simsearch.operators.ivf import build_index, mean_centroids
 from simsearch.plans import searching
 from simsearch.registry import sql as q
+from simsearch.session import checkpoint
 from simsearch.sources.tables import documents_as_papers, events_as_log
 
 DIM = 64
@@ -73,7 +74,8 @@ def _answer(spark, folder):
     papers = _papers(spark, folder).withColumn("list_no", F.substring("primary_subject", 4, 9))
     number = F.regexp_extract("list_no", r"^\d+", 0).cast("int")
     vectors = encode_column(papers.withColumn("list_no", number), encoder, "paper_id", keep=("list_no",))
-    vectors = vectors.where("embedding is not null")
+    # encoded once, then read by the centroids and by the index
+    vectors = checkpoint(vectors.where("embedding is not null"))
     index = build_index(vectors, nprobe=NPROBE, centroids=mean_centroids(vectors, "list_no"))
     return searching.search_requests(search_table(spark, folder), index, papers, encoder)
 
