@@ -188,14 +188,14 @@ def _cells(probes: DataFrame, postings: DataFrame, dim: int, k_max: int, limits:
     left = asked.join(cells, "list_id").withColumn("qc", chunk_of("query_id", "q_chunks")).withColumn("vc", every("v_chunks"))
     right = postings.join(cells, "list_id").withColumn("vc", chunk_of("paper_id", "v_chunks")).withColumn("qc", every("q_chunks"))
     cell = ["list_id", "qc", "vc"]
-    left = left.select(*cell, "query_id", "embedding", F.col("k").cast("int").alias("k"))
+    left = left.select(*cell, "query_id", F.col("embedding").alias("query"), F.col("k").cast("int").alias("k"))
     right = right.select(*cell, "paper_id", "embedding")
 
     def score(queries: pa.Table, vectors: pa.Table) -> pa.Table:
         empty = queries.num_rows == 0 or vectors.num_rows == 0
         query_ids = ids_of(queries.column("query_id"))
         ks = ids_of(queries.column("k"))
-        matrix = np.empty((0, dim)) if empty else to_matrix(queries.column("embedding"), dim)
+        matrix = np.empty((0, dim)) if empty else to_matrix(queries.column("query"), dim)
         best = BestHits(matrix, k_max)
         if empty:
             return pa.Table.from_batches([best.to_batch(query_ids[:0], ks[:0])])

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "simsearch", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,6 +21,7 @@ def build_session(app_name: str = "simsearch", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -44,3 +48,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="simsearch-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they can import it
+    wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="simsearch-package-")) / "simsearch.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, str(Path(package.name) / source.relative_to(package)))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
