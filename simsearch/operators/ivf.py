@@ -76,33 +76,35 @@ def train_centroids(
     model = KMeans(
         k=nlist, seed=seed, maxIter=iterations, distanceMeasure="cosine", initMode="random", featuresCol="features"
     ).fit(points)
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    spark = embeddings.sparkSession
-    centroids = spark.createDataFrame(centers, "list_id int, centroid array<double>")
+    centers = np.asarray(model.clusterCenters())
+    table = pa.table({"list_id": pa.array(range(len(centers)), pa.int32()), "centroid": list(centers)})
+    centroids = embeddings.sparkSession.createDataFrame(table)
     return centroids.select("list_id", l2_normalize(F.col("centroid")).alias("centroid")).where("centroid is not null")
 
 
 def mean_centroids(embeddings: DataFrame, list_col: str) -> DataFrame:
-    """Unit mean vector per value of an integer column: centroids without a training run."""
+    """``(list_id, centroid, n_vectors)``: the unit mean vector per value of an integer column,
+    centroids without a training run."""
     means = embeddings.groupBy(F.col(list_col).cast("int").alias("list_id")).agg(
-        Summarizer.mean(array_to_vector("embedding")).alias("m")
+        Summarizer.mean(array_to_vector("embedding")).alias("m"), F.count("*").alias("n_vectors")
     )
     unit = l2_normalize(vector_to_array("m"))
-    return means.select("list_id", F.transform(unit, lambda x: F.round(x, CENTROID_DIGITS)).alias("centroid"))
+    return means.select("list_id", F.transform(unit, lambda x: F.round(x, CENTROID_DIGITS)).alias("centroid"), "n_vectors")
 
 
-def _checked_rows(centroids: DataFrame) -> list:
-    """The centroids as rows in list order; the number of lists is checked first."""
-    rows = centroids.select("list_id", "centroid").limit(MAX_LISTS + 1).collect()
-    if not 1 <= len(rows) <= MAX_LISTS:
-        raise ValueError(f"an index has 1 to {MAX_LISTS} lists, found {len(rows)}")
-    return sorted(rows, key=lambda r: r["list_id"])
+def _checked_table(centroids: DataFrame) -> pa.Table:
+    """The centroids in list order; the number of lists is checked first."""
+    typed = centroids.select(F.col("list_id").cast("int"), F.col("centroid").cast("array<double>"))
+    table = typed.limit(MAX_LISTS + 1).toArrow()
+    if not 1 <= table.num_rows <= MAX_LISTS:
+        raise ValueError(f"an index has 1 to {MAX_LISTS} lists, found {table.num_rows or 'none'}")
+    return table.sort_by("list_id")
 
 
 def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    rows = _checked_rows(centroids)
-    names = np.array([r["list_id"] for r in rows], dtype=np.int32)
-    return names, np.array([r["centroid"] for r in rows], dtype=np.float64)
+    table = _checked_table(centroids)
+    matrix = to_matrix(table.column("centroid"), len(table.column("centroid")[0]))
+    return table.column("list_id").to_numpy(), matrix
 
 
 def _nearest_lists(matrix: np.ndarray, names: np.ndarray, centroids: np.ndarray, count: int) -> np.ndarray:
@@ -148,9 +150,9 @@ def build_index(
     if centroids is None:
         centroids = train_centroids(embeddings, nlist, seed)
     # at most MAX_LISTS rows: kept as they are, so that no later step computes them again
-    rows = _checked_rows(centroids)
-    centroids = embeddings.sparkSession.createDataFrame(rows, "list_id int, centroid array<double>")
-    return IvfIndex(centroids, assign_lists(embeddings, centroids, dim), dim, len(rows), nprobe)
+    table = _checked_table(centroids)
+    centroids = embeddings.sparkSession.createDataFrame(table)
+    return IvfIndex(centroids, assign_lists(embeddings, centroids, dim), dim, table.num_rows, nprobe)
 
 
 def choose_lists(queries: DataFrame, index: IvfIndex) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from simsearch.functions.vectors import cosine
+from simsearch.functions.vectors import cosine, norm
 from simsearch.operators.pairs import attach_both_sides
 from simsearch.operators.topk import to_matrix
 
@@ -18,8 +18,13 @@ SCALE = 20.0
 
 
 def pair_vectors(pair_ids: DataFrame, embeddings: DataFrame, num_pairs: int) -> DataFrame:
-    """``(pair_id, embedding1, embedding2, ...)`` for ``pair_ids(pair_id, side, paper_id, ...)``."""
-    return attach_both_sides(pair_ids, embeddings, ["embedding"], 2 * num_pairs)
+    """``(pair_id, embedding1, embedding2, ...)`` for ``pair_ids(pair_id, side, paper_id, ...)``.
+
+    Pairs with a side that has no vector, or one of length zero, are left out.
+    """
+    usable = embeddings.where(norm(F.col("embedding")) > 0)
+    both = attach_both_sides(pair_ids, usable, ["embedding"], 2 * num_pairs)
+    return both.where(F.col("embedding1").isNotNull() & F.col("embedding2").isNotNull())
 
 
 def pair_distances(pairs: DataFrame) -> DataFrame:

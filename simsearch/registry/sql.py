@@ -55,6 +55,13 @@ roles AS (
   FROM by_ir WHERE rk <= {size})"""
 
 
+def request_roles(size: int) -> str:
+    """A fifth of a sample's size are queries; every other row is the corpus."""
+    return f"""{ranked("by_ir", "papers", 42, "ir")},
+roles AS (
+  SELECT * EXCLUDE (rk, n), CASE WHEN rk <= least({size}, n) // 5 THEN 'query' ELSE 'corpus' END AS role FROM by_ir)"""
+
+
 def stratified_sample(size: int) -> str:
     return f"""{ranked("by_strata", "papers", 42, "strata", partition="primary_subject")},
 drawn AS (

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from simsearch.functions import vectors as vec
 from simsearch.operators import classify, ivf, losses, pairs, project, relevance, sampling
+from simsearch.operators.cutoff import mark_smallest
+from simsearch.operators.skew import join_group
 from simsearch.operators.topk import exact_topk
 from simsearch.plans import evaluation
 from simsearch.registry import sql as q
@@ -37,8 +39,11 @@ def _roles(source):
 
 
 def _requests(source):
-    queries, _ = evaluation.roles(_roles(source))
-    return queries.select("query_id", "embedding")
+    """The sampled queries, and every other vector of the table."""
+    count = {"_asked": lambda n: F.floor(F.least(F.lit(SAMPLE), n) / 5)}
+    marked = mark_smallest(source, "paper_id", (SEED, "ir"), count)
+    asked = marked.where("_asked").select(F.col("paper_id").alias("query_id"), "embedding")
+    return asked, marked.where(~F.col("_asked")).drop("_asked")
 
 
 def _rounded(df, *columns, digits=6):
@@ -62,15 +67,15 @@ def embedding_stats(spark, folder):
 
 
 def cosine_scores(spark, folder):
-    source = papers(spark, folder)
-    centroids = ivf.mean_centroids(source, "label")
-    scored = source.join(F.broadcast(centroids.limit(ivf.MAX_LISTS)), source["label"] == centroids["list_id"])
+    source = papers(spark, folder).withColumnRenamed("label", "list_id")
+    scored = join_group(source, ivf.mean_centroids(source, "list_id"), "list_id", "n_vectors")
     return scored.select("paper_id", "list_id", F.round(vec.cosine(F.col("embedding"), F.col("centroid")), 6).alias("score"))
 
 
 def exact_knn(spark, folder):
-    queries, corpus = evaluation.roles(_roles(papers(spark, folder)))
-    return exact_topk(queries.select("query_id", "embedding"), corpus, ivf.embedding_dim(papers(spark, folder)))
+    source = papers(spark, folder)
+    queries, others = _requests(source)
+    return exact_topk(queries, others, ivf.embedding_dim(source))
 
 
 def ivf_train(spark, folder):
@@ -88,7 +93,8 @@ def ivf_list_sizes(spark, folder):
 
 def ivf_search(spark, folder):
     source = papers(spark, folder)
-    return ivf.search(_requests(source), _mean_index(source))
+    queries, _ = _requests(source)
+    return ivf.search(queries, _mean_index(source))
 
 
 def search_with_metadata(spark, folder):
@@ -234,9 +240,10 @@ QUERIES = {
 
 _V = q.VECTORS
 _ROLES = q.sample_roles(SAMPLE, "actual")
+_REQUESTS = q.request_roles(SAMPLE)
 _INDEX = f"{q.centroids('papers', 'label')},\n{q.assigned('papers')}"
 _ASKED = "asked AS (SELECT paper_id AS query_id, embedding FROM roles WHERE role = 'query')"
-_IVF = q.with_(_V, _ROLES, _ASKED, _INDEX, q.ivf_hits("asked", "10", str(NPROBE)))
+_IVF = q.with_(_V, _REQUESTS, _ASKED, _INDEX, q.ivf_hits("asked", "10", str(NPROBE)))
 _POINTS = """points AS (SELECT paper_id, primary_subject, embedding[1] AS x, embedding[2] AS y FROM papers)"""
 _CORPUS_INDEX = f"""corpus AS (SELECT * FROM roles WHERE role = 'corpus'),
 {q.centroids('corpus', 'label')},
@@ -279,7 +286,7 @@ FROM (SELECT *, unnest(range(1, len(e) + 1)) AS i FROM lens)""",
     + """SELECT paper_id, list_id, round(list_inner_product(embedding, centroid)
   / (sqrt(list_inner_product(embedding, embedding)) * sqrt(list_inner_product(centroid, centroid))), 6) AS score
 FROM papers JOIN cent ON list_id = label""",
-    "exact_knn": q.with_(_V, _ROLES, q.exact_hits()) + "SELECT query_id, rank, score, paper_id FROM hits",
+    "exact_knn": q.with_(_V, _REQUESTS, q.exact_hits()) + "SELECT query_id, rank, score, paper_id FROM hits",
     "ivf_assign": q.with_(_V, _INDEX) + "SELECT paper_id, list_id FROM assigned",
     "ivf_list_sizes": q.with_(_V, _INDEX)
     + """SELECT list_id, count(a.paper_id) AS n_vectors FROM cent LEFT JOIN assigned a USING (list_id) GROUP BY list_id""",
