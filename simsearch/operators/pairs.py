@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simsearch.functions.keyed import h48
-from simsearch.operators.positions import SubjectIndex, index_subjects
+from simsearch.operators.positions import index_subjects
 from simsearch.operators.skew import MAX_BROADCAST_GROUPS, hint_if
 
 # a drawn id costs about 50 bytes when broadcast, so this bounds the broadcast near 100 MB
@@ -35,19 +35,38 @@ class PairConfig:
         return f"{self.seed}.{self.epoch}"
 
 
+@dataclass(frozen=True)
+class Indexed:
+    """A subject index with its totals; ``small`` when the subjects are few enough to broadcast."""
+
+    subjects: DataFrame
+    positions: DataFrame
+    n_subjects: int
+    n_rows: int
+    small: bool
+
+
+def _index(papers: DataFrame, cfg: PairConfig, min_rows: int = 2) -> Indexed:
+    made = index_subjects(papers, cfg.seed, min_rows)
+    totals = made.subjects.agg(F.count("*").alias("s"), F.sum("n").alias("rows")).first()
+    if totals["s"] == 0:
+        raise ValueError("no subject has two rows: there is no pair to draw")
+    small = totals["s"] <= MAX_BROADCAST_GROUPS
+    return Indexed(hint_if(made.subjects, small), made.positions, totals["s"], totals["rows"], small)
+
+
 def _draws(papers: DataFrame, cfg: PairConfig, first: int, last: int) -> DataFrame:
     return papers.sparkSession.range(first, last).withColumnRenamed("id", "pair_id")
 
 
-def _rows_of_subject(draws: DataFrame, subjects: DataFrame, balanced: bool, small: bool) -> DataFrame:
+def _rows_of_subject(draws: DataFrame, index: Indexed, balanced: bool) -> DataFrame:
     """Attach ``subject, n, lo`` to every draw ``r``: uniform over subjects or by their size."""
-    totals = subjects.agg(F.struct(F.count("*").alias("s"), F.sum("n").alias("rows")).alias("t")).scalar()
+    subjects = index.subjects
     if balanced:
-        picked = draws.withColumn("ix", F.col("r") % totals.getField("s"))
-        return picked.join(hint_if(subjects, small), "ix")
-    # r % rows falls into one subject's [lo, lo + n). Cut the range into cells so that the lookup
-    # is an equi-join on the cell; a large subject simply covers many cells.
-    width = F.greatest(F.lit(1), F.floor(totals.getField("rows") / RANGE_CELLS)).cast("bigint")
+        return draws.withColumn("ix", F.col("r") % index.n_subjects).join(subjects, "ix")
+    # r % n_rows falls into one subject's [lo, lo + n). Cut the range into cells so that the
+    # lookup is an equi-join on the cell; a large subject simply covers many cells.
+    width = F.lit(max(1, index.n_rows // RANGE_CELLS)).cast("bigint")
     spans = subjects.withColumn("w", width).withColumn(
         "cell",
         F.explode(
@@ -57,19 +76,19 @@ def _rows_of_subject(draws: DataFrame, subjects: DataFrame, balanced: bool, smal
             )
         ),
     )
-    picked = draws.withColumn("g", F.col("r") % totals.getField("rows")).withColumn(
+    picked = draws.withColumn("g", F.col("r") % index.n_rows).withColumn(
         "cell", F.floor(F.col("g") / width).cast("bigint")
     )
-    return picked.join(hint_if(spans, small), "cell").where(
+    return picked.join(hint_if(spans, index.small), "cell").where(
         (F.col("g") >= F.col("lo")) & (F.col("g") < F.col("lo") + F.col("n"))
     )
 
 
-def _same_subject(papers, subjects, cfg, last, small) -> DataFrame:
+def _same_subject(papers: DataFrame, index: Indexed, cfg: PairConfig, last: int) -> DataFrame:
     """Lookups ``(pair_id, side, pos)`` of two different rows of one subject."""
     p = F.col("pair_id")
     draws = _draws(papers, cfg, 0, last).withColumn("r", h48(cfg.key, "s", p))
-    found = _rows_of_subject(draws, subjects, cfg.balanced, small)
+    found = _rows_of_subject(draws, index, cfg.balanced)
     i1 = h48(cfg.key, "a", p) % F.col("n")
     found = found.withColumn("i1", i1).withColumn(
         "i2", (F.col("i1") + 1 + h48(cfg.key, "b", p) % (F.col("n") - 1)) % F.col("n")
@@ -81,19 +100,17 @@ def _same_subject(papers, subjects, cfg, last, small) -> DataFrame:
     return found.select("pair_id", "subject", F.inline(sides))
 
 
-def _two_subjects(papers, subjects, cfg, first, small) -> DataFrame:
+def _two_subjects(papers: DataFrame, index: Indexed, cfg: PairConfig, first: int) -> DataFrame:
     """Lookups of one row each from two different subjects, always uniform over subjects."""
     p = F.col("pair_id")
-    count = subjects.agg(F.count("*").alias("s")).scalar()
-    draws = _draws(papers, cfg, first, cfg.num_pairs).withColumn("s", count)
-    draws = draws.withColumn("ix1", h48(cfg.key, "n1", p) % F.col("s")).withColumn(
-        "ix2", (F.col("ix1") + 1 + h48(cfg.key, "n2", p) % (F.col("s") - 1)) % F.col("s")
-    )
+    s = index.n_subjects
+    draws = _draws(papers, cfg, first, cfg.num_pairs).withColumn("ix1", h48(cfg.key, "n1", p) % s)
+    draws = draws.withColumn("ix2", (F.col("ix1") + 1 + h48(cfg.key, "n2", p) % (s - 1)) % s)
     sides = F.array(
         F.struct(F.lit(1).alias("side"), F.col("ix1").alias("ix"), h48(cfg.key, "a", p).alias("r")),
         F.struct(F.lit(2).alias("side"), F.col("ix2").alias("ix"), h48(cfg.key, "b", p).alias("r")),
     )
-    picked = draws.select("pair_id", F.inline(sides)).join(hint_if(subjects, small), "ix")
+    picked = draws.select("pair_id", F.inline(sides)).join(index.subjects, "ix")
     return picked.select("pair_id", "subject", "side", (F.col("lo") + F.col("r") % F.col("n")).alias("pos"))
 
 
@@ -117,23 +134,14 @@ def attach_both_sides(lookups: DataFrame, table: DataFrame, columns: list[str],
     )
 
 
-def _ids(index: SubjectIndex, lookups: DataFrame, draws: int) -> DataFrame:
+def _ids(index: Indexed, lookups: DataFrame, draws: int) -> DataFrame:
     return index.positions.join(hint_if(lookups, draws <= MAX_BROADCAST_DRAWS), "pos").drop("pos")
 
 
-def _index(papers: DataFrame, cfg: PairConfig, min_rows: int = 2) -> tuple[SubjectIndex, int, bool]:
-    """The subject index, how many subjects it has, and whether they are few enough to broadcast."""
-    index = index_subjects(papers, cfg.seed, min_rows)
-    count = index.subjects.count()
-    if count == 0:
-        raise ValueError("no subject has two rows: there is no pair to draw")
-    return index, count, count <= MAX_BROADCAST_GROUPS
-
-
 def positive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
     """``(pair_id, subject, side, paper_id)``, two rows per pair."""
-    index, _, small = _index(papers, cfg)
-    return _ids(index, _same_subject(papers, index.subjects, cfg, cfg.num_pairs, small), 2 * cfg.num_pairs)
+    index = _index(papers, cfg)
+    return _ids(index, _same_subject(papers, index, cfg, cfg.num_pairs), 2 * cfg.num_pairs)
 
 
 def positive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:
@@ -159,20 +167,19 @@ def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
 
     With a single subject there is no negative to draw, so every pair is positive.
     """
-    index, enough, small = _index(papers, cfg)
-    positives = cfg.num_pairs // 2 if enough >= 2 else cfg.num_pairs
-    same = _same_subject(papers, index.subjects, cfg, positives, small)
-    same = same.select("pair_id", "side", "pos", F.lit(1.0).alias("label"))
-    if enough < 2:
-        return _ids(index, same, 2 * cfg.num_pairs)
-    if cfg.negatives_min_rows == 2:
-        other = _two_subjects(papers, index.subjects, cfg, positives, small)
-        other = other.select("pair_id", "side", "pos", F.lit(0.0).alias("label"))
-        return _ids(index, same.unionByName(other), 2 * cfg.num_pairs)
-    wider, _, small = _index(papers, cfg, cfg.negatives_min_rows)
-    other = _two_subjects(papers, wider.subjects, cfg, positives, small)
-    other = other.select("pair_id", "side", "pos", F.lit(0.0).alias("label"))
-    return _ids(index, same, 2 * cfg.num_pairs).unionByName(_ids(wider, other, 2 * cfg.num_pairs))
+    index = _index(papers, cfg)
+    both = index.n_subjects >= 2
+    positives = cfg.num_pairs // 2 if both else cfg.num_pairs
+    draws = 2 * cfg.num_pairs
+    columns = ["pair_id", "side", "pos"]
+    same = _same_subject(papers, index, cfg, positives).select(*columns, F.lit(1.0).alias("label"))
+    if not both:
+        return _ids(index, same, draws)
+    wider = index if cfg.negatives_min_rows == 2 else _index(papers, cfg, cfg.negatives_min_rows)
+    other = _two_subjects(papers, wider, cfg, positives).select(*columns, F.lit(0.0).alias("label"))
+    if wider is index:
+        return _ids(index, same.unionByName(other), draws)
+    return _ids(index, same, draws).unionByName(_ids(wider, other, draws))
 
 
 def contrastive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:

@@ -29,23 +29,6 @@ class SubjectIndex:
     positions: DataFrame
 
 
-def _running(df: DataFrame, bucket: str, order: list[str], weight: Column, name: str) -> DataFrame:
-    """Sum of ``weight`` over all earlier rows, with the order split into buckets first."""
-    inside = W.partitionBy(bucket).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    ahead = (
-        df.groupBy(bucket)
-        .agg(F.sum(weight).alias("_sum"))
-        # one row per bucket: 2^SUBJECT_BITS rows at most
-        .withColumn("_ahead", F.coalesce(F.sum("_sum").over(W.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-        .select(bucket, "_ahead")
-    )
-    return (
-        df.join(F.broadcast(ahead), bucket)
-        .withColumn(name, F.col("_ahead") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-        .drop("_ahead")
-    )
-
-
 def subject_counts(papers: DataFrame, min_rows: int = 2) -> DataFrame:
     """Subjects with at least ``min_rows`` papers, and how many each has."""
     return (
@@ -57,12 +40,31 @@ def subject_counts(papers: DataFrame, min_rows: int = 2) -> DataFrame:
 
 
 def _number_subjects(counts: DataFrame) -> DataFrame:
+    """Add ``ix``, the subjects before this one, and ``lo``, their rows, in a fixed order.
+
+    The order is cut into buckets first, so that no task orders all subjects.
+    """
     keyed = counts.withColumn("sh", h48("subject", F.col("subject"))).withColumn(
         "sb", leading_bits(F.col("sh"), SUBJECT_BITS)
     )
-    numbered = _running(keyed, "sb", ["sh", "subject"], F.lit(1), "ix")
-    numbered = _running(numbered, "sb", ["sh", "subject"], F.col("n"), "lo")
-    return numbered.select("subject", F.col("ix").cast("bigint").alias("ix"), "n", F.col("lo").cast("bigint").alias("lo"))
+    # 2^SUBJECT_BITS rows at most
+    earlier = W.orderBy("sb").rowsBetween(W.unboundedPreceding, -1)
+    ahead = (
+        keyed.groupBy("sb")
+        .agg(F.count("*").alias("c"), F.sum("n").alias("r"))
+        .select("sb", F.sum("c").over(earlier).alias("ahead_ix"), F.sum("r").over(earlier).alias("ahead_lo"))
+    )
+    inside = W.partitionBy("sb").orderBy("sh", "subject").rowsBetween(W.unboundedPreceding, -1)
+
+    def before(ahead_column: str, weight: Column) -> Column:
+        return F.coalesce(F.col(ahead_column), F.lit(0)) + F.coalesce(F.sum(weight).over(inside), F.lit(0))
+
+    return keyed.join(F.broadcast(ahead), "sb").select(
+        "subject",
+        before("ahead_ix", F.lit(1)).cast("bigint").alias("ix"),
+        "n",
+        before("ahead_lo", F.col("n")).cast("bigint").alias("lo"),
+    )
 
 
 def index_subjects(papers: DataFrame, seed: int, min_rows: int = 2) -> SubjectIndex:
