@@ -27,6 +27,7 @@ HITS_SCHEMA = "query_id bigint, k int, paper_id bigint, score double"
 NO_ID = np.iinfo(np.int64).max
 # the product of a query block and a vector block stays below this many doubles (32 MB)
 BLOCK_CELLS = 4_000_000
+ROUNDING_SLACK = 10.0**-SCORE_DIGITS
 
 
 @dataclass(frozen=True)
@@ -68,28 +69,33 @@ class BestHits:
         step = max(1, BLOCK_CELLS // max(1, len(ids)))
         for start in range(0, len(which), step):
             rows = which[start : start + step]
-            scores = np.round(self.queries[rows] @ vectors.T, SCORE_DIGITS)
-            self._merge(rows, ids, scores)
+            self._merge(rows, ids, self.queries[rows] @ vectors.T)
 
     def _merge(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Most scores fall below what a query already has; only the others are rounded and sorted."""
         floor = self.scores[rows, -1]
-        if scores.shape[1] > self.k:
-            kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
-            floor = np.maximum(floor, kth)
+        unfilled = np.isneginf(floor)
+        if scores.shape[1] > self.k and unfilled.any():
+            kth = np.partition(scores[unfilled], -self.k, axis=1)[:, -self.k]
+            floor[unfilled] = np.round(kth, SCORE_DIGITS)
+        r, c = np.nonzero(scores >= (floor - ROUNDING_SLACK)[:, None])
+        rounded = np.round(scores[r, c], SCORE_DIGITS)
         # ">=" keeps every tie at the cut; the sort below then prefers the smaller id
-        r, c = np.nonzero(scores >= floor[:, None])
+        kept = rounded >= floor[r]
+        r, c, rounded = r[kept], c[kept], rounded[kept]
         if not len(r):
             return
-        old = np.repeat(np.arange(len(rows)), self.k)
-        owner = np.concatenate([old, r])
-        score = np.concatenate([self.scores[rows].ravel(), scores[r, c]])
-        found = np.concatenate([self.ids[rows].ravel(), ids[c]])
+        touched, r = np.unique(r, return_inverse=True)
+        mine = rows[touched]
+        owner = np.concatenate([np.repeat(np.arange(len(mine)), self.k), r])
+        score = np.concatenate([self.scores[mine].ravel(), rounded])
+        found = np.concatenate([self.ids[mine].ravel(), ids[c]])
         order = np.lexsort((found, -score, owner))
         owner = owner[order]
-        starts = np.searchsorted(owner, np.arange(len(rows)))
-        kept = order[np.arange(len(owner)) - starts[owner] < self.k]
-        self.scores[rows] = score[kept].reshape(len(rows), self.k)
-        self.ids[rows] = found[kept].reshape(len(rows), self.k)
+        starts = np.searchsorted(owner, np.arange(len(mine)))
+        best = order[np.arange(len(owner)) - starts[owner] < self.k]
+        self.scores[mine] = score[best].reshape(len(mine), self.k)
+        self.ids[mine] = found[best].reshape(len(mine), self.k)
 
     def to_batch(self, query_ids: np.ndarray, ks: np.ndarray) -> pa.RecordBatch:
         r, c = np.nonzero((self.ids != NO_ID) & (np.arange(self.k)[None, :] < ks[:, None]))

@@ -26,9 +26,13 @@ def start_search(
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        result = search_requests(batch, index, papers, encoder)
-        result.hits.write.mode("overwrite").parquet(f"{output}/hits/batch_id={batch_id}")
-        result.statuses.write.mode("overwrite").parquet(f"{output}/statuses/batch_id={batch_id}")
+        batch.persist()
+        try:
+            result = search_requests(batch, index, papers, encoder)
+            result.hits.write.mode("overwrite").parquet(f"{output}/hits/batch_id={batch_id}")
+            result.statuses.write.mode("overwrite").parquet(f"{output}/statuses/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
