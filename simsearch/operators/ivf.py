@@ -13,7 +13,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simsearch.functions.vectors import SCORE_DIGITS, has_dim, l2_normalize
+from simsearch.functions.vectors import SCORE_DIGITS, has_dim, l2_normalize, norm
 from simsearch.operators.cutoff import mark_smallest
 from simsearch.operators.topk import BLOCK_CELLS, SearchLimits, search_lists, to_matrix
 
@@ -72,7 +72,7 @@ def train_centroids(
     if total > wanted:
         sample = mark_smallest(embeddings, "paper_id", (seed, "train"), {"_in": lambda n: F.lit(wanted)})
         sample = sample.where("_in")
-    points = sample.where(F.size("embedding") > 0).select(array_to_vector("embedding").alias("features"))
+    points = sample.where(norm(F.col("embedding")) > 0).select(array_to_vector("embedding").alias("features"))
     model = KMeans(
         k=nlist, seed=seed, maxIter=iterations, distanceMeasure="cosine", initMode="random", featuresCol="features"
     ).fit(points)

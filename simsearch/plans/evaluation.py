@@ -29,7 +29,7 @@ def judged_search(queries: DataFrame, corpus: DataFrame, k: int, index: IvfIndex
     judged = rel.qrels_counts(queries, corpus)
     asked = queries.select("query_id", "embedding")
     if index is None:
-        hits = exact_topk(asked, corpus, embedding_dim(corpus), k, SearchLimits())
+        hits = exact_topk(asked, corpus, embedding_dim(queries), k, SearchLimits())
     else:
         hits = search(asked, index, k)
     return rel.judge(hits, judged, corpus)

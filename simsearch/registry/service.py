@@ -69,15 +69,19 @@ def _papers(spark, folder):
     )
 
 
-def _answer(spark, folder):
-    encoder = HashingEncoder(DIM)
-    papers = _papers(spark, folder).withColumn("list_no", F.substring("primary_subject", 4, 9))
-    number = F.regexp_extract("list_no", r"^\d+", 0).cast("int")
-    vectors = encode_column(papers.withColumn("list_no", number), encoder, "paper_id", keep=("list_no",))
+def text_index(spark, folder):
+    """The documents, encoded, with the mean vector of each source as a list."""
+    number = F.regexp_extract("primary_subject", r"^src(\d+)", 1).cast("int")
+    papers = _papers(spark, folder).withColumn("list_no", number)
+    vectors = encode_column(papers, HashingEncoder(DIM), "paper_id", keep=("list_no",))
     # encoded once, then read by the centroids and by the index
     vectors = checkpoint(vectors.where("embedding is not null"))
-    index = build_index(vectors, nprobe=NPROBE, centroids=mean_centroids(vectors, "list_no"))
-    return searching.search_requests(search_table(spark, folder), index, papers, encoder)
+    return build_index(vectors, nprobe=NPROBE, centroids=mean_centroids(vectors, "list_no"))
+
+
+def _answer(spark, folder):
+    index = text_index(spark, folder)
+    return searching.search_requests(search_table(spark, folder), index, _papers(spark, folder), HashingEncoder(DIM))
 
 
 def search_requests(spark, folder):

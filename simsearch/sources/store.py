@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -94,20 +95,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def save_index(index: IvfIndex, path: str) -> None:
-    """Postings partitioned by list, centroids, and last the description that makes it loadable.
+    """Postings partitioned by list, centroids, and last the description that makes them loadable.
 
+    Every save gets its own folder under ``path``; a failed save leaves the former index in use.
     A large list is written by several tasks, a small one by one task into one file.
     """
+    build = f"build-{uuid.uuid4().hex[:12]}"
     files = F.ceil(F.greatest(F.col("n_vectors"), F.lit(1)) / VECTORS_PER_FILE)
     sizes = list_sizes(index).select("list_id", files.cast("int").alias("files"))
     postings = index.postings.join(hint_if(sizes, index.nlist <= MAX_LISTS), "list_id")
     part = F.pmod(F.xxhash64("paper_id"), F.col("files"))
     spread = postings.repartition("list_id", part).sortWithinPartitions("list_id").drop("files")
-    spread.write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/postings")
-    index.centroids.write.mode("overwrite").parquet(f"{path}/centroids")
-    write_manifest(
-        index.postings.sparkSession, f"{path}/meta", {"dim": index.dim, "nlist": index.nlist, "nprobe": index.nprobe}
-    )
+    spread.write.partitionBy("list_id").parquet(f"{path}/{build}/postings")
+    index.centroids.write.parquet(f"{path}/{build}/centroids")
+    meta = {"dim": index.dim, "nlist": index.nlist, "nprobe": index.nprobe, "build": build}
+    write_manifest(index.postings.sparkSession, f"{path}/meta", meta)
 
 
 def load_index(
@@ -118,8 +120,8 @@ def load_index(
     if meta is None:
         raise FileNotFoundError(f"index not found: {path}/meta")
     chosen = nprobe if nprobe is not None else meta.get("nprobe", DEFAULT_NPROBE)
-    centroids = read_table(spark, f"{path}/centroids")
-    postings = read_table(spark, f"{path}/postings")
+    centroids = read_table(spark, f"{path}/{meta['build']}/centroids")
+    postings = read_table(spark, f"{path}/{meta['build']}/postings")
     return IvfIndex(centroids, postings, meta["dim"], meta["nlist"], chosen, limits or SearchLimits())
 
 
