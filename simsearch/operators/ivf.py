@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from simsearch.functions.vectors import SCORE_DIGITS, has_dim, l2_normalize, norm
 from simsearch.operators.cutoff import mark_smallest
 from simsearch.operators.topk import BLOCK_CELLS, SearchLimits, search_lists, to_matrix
+from simsearch.sources.tables import EMBEDDINGS, conform
 
 DEFAULT_NLIST = 4096
 DEFAULT_NPROBE = 64
@@ -133,8 +134,7 @@ def assign_lists(embeddings: DataFrame, centroids: DataFrame, dim: int) -> DataF
                 names=["paper_id", "embedding", "list_id"],
             )
 
-    usable = embeddings.where(has_dim(F.col("embedding"), dim))
-    usable = usable.select("paper_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    usable = conform(embeddings, EMBEDDINGS).where(has_dim(F.col("embedding"), dim))
     return usable.mapInArrow(assign, "paper_id bigint, embedding array<float>, list_id int")
 
 
@@ -146,6 +146,7 @@ def build_index(
     centroids: DataFrame | None = None,
 ) -> IvfIndex:
     """Train (unless centroids are given) and assign every vector to its list."""
+    embeddings = conform(embeddings, EMBEDDINGS)
     dim = embedding_dim(embeddings)
     if centroids is None:
         centroids = train_centroids(embeddings, nlist, seed)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from simsearch.operators.pairs import PairConfig, pair_builder
 from simsearch.operators.sampling import nested_split
 from simsearch.sources import store
-from simsearch.sources.tables import read_papers, require_columns, usable
+from simsearch.sources.tables import read_papers, select_papers, usable
 
 
 @dataclass(frozen=True)
@@ -58,9 +58,9 @@ def preprocess(spark: SparkSession, root: str, config: PreprocessConfig, papers:
     """Write the splits and both pair tables under ``root``."""
     builder = pair_builder(config.loss)
     if papers is None:
-        papers = read_papers(spark, config.source, list(config.columns))
+        papers = read_papers(spark, config.source, config.columns)
     else:
-        papers = require_columns(papers, list(dict.fromkeys(["paper_id", *config.columns])))
+        papers = select_papers(papers, config.columns)
     target = Prepared(root, True)
     # the draws need ids only; rows without a text are dropped where the text is read anyway
     split = nested_split(papers, config.test_size, config.seed)

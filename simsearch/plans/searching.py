@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from simsearch.operators.encode import Encoder, encode_column
 from simsearch.operators.ivf import IvfIndex, hydrate, search
 from simsearch.operators.requests import DEFAULT_K, MAX_K, validate, validate_texts
+from simsearch.sources.tables import REQUESTS, conform
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,7 @@ def search_requests(
     ``requests(query_id, abstract, k, nprobe)``. Each row's own k and nprobe apply to that row
     alone.
     """
+    requests = conform(requests, REQUESTS, optional=("k", "nprobe"))
     checked = validate(requests, index_loaded=index is not None)
     statuses = checked.select("query_id", "status_code")
     if index is None:

@@ -52,9 +52,9 @@ def eligible_subjects(spark, folder):
     return positions.subject_counts(papers(spark, folder))
 
 
-def _pairs(spark, folder, balanced):
+def _pairs(spark, folder, balanced, epoch=0):
     source = papers(spark, folder)
-    config = pairs.PairConfig(num_pairs=source.count(), seed=SEED, balanced=balanced)
+    config = pairs.PairConfig(num_pairs=source.count(), seed=SEED, balanced=balanced, epoch=epoch)
     return pairs.positive_pairs(source, config)
 
 
@@ -66,6 +66,10 @@ def positive_pairs_weighted(spark, folder):
     return _pairs(spark, folder, False)
 
 
+def positive_pairs_next_epoch(spark, folder):
+    return _pairs(spark, folder, True, epoch=1)
+
+
 def contrastive_pairs(spark, folder):
     source = papers(spark, folder)
     return pairs.contrastive_pairs(source, pairs.PairConfig(num_pairs=source.count(), seed=SEED))
@@ -144,7 +148,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_papers, train_test_split, nested_split, split_row_counts, union_splits, eligible_subjects,
-        positive_pairs_balanced, positive_pairs_weighted, contrastive_pairs, subject_positions, stratified_sample,
+        positive_pairs_balanced, positive_pairs_weighted, positive_pairs_next_epoch, contrastive_pairs,
+        subject_positions, stratified_sample,
         ir_sample_requested, subject_counts, subject_cardinality, top_bottom_subjects, subject_label_counts,
         never_primary, subjects_array, clean_label, format_count, tfidf, encode_documents, tfidf_classifier,
     )
@@ -168,6 +173,7 @@ ORACLE = {
     + "SELECT primary_subject AS subject, count(*) AS n FROM papers GROUP BY 1 HAVING count(*) >= 2",
     "positive_pairs_balanced": q.with_(_P, q.positive_ids(True)) + _POSITIVE,
     "positive_pairs_weighted": q.with_(_P, q.positive_ids(False)) + _POSITIVE,
+    "positive_pairs_next_epoch": q.with_(_P, q.positive_ids(True, epoch=1)) + _POSITIVE,
     "contrastive_pairs": q.with_(_P, q.contrastive_ids())
     + """SELECT pair_id, id1, id2, x.abstract AS sentence1, y.abstract AS sentence2, label
 FROM both_ids JOIN papers x ON x.paper_id = id1 JOIN papers y ON y.paper_id = id2""",

@@ -93,22 +93,23 @@ positions AS (
   FROM papers p JOIN numbered s ON p.primary_subject = s.subject)"""
 
 
-def _same_subject(last: str, balanced: bool) -> str:
-    draw = h48("'42.0'", "'s'", "pair_id")
+def _same_subject(last: str, balanced: bool, key: str = "'42.0'") -> str:
+    draw = h48(key, "'s'", "pair_id")
     hit = f"{draw} % s = ix" if balanced else f"{draw} % total_rows >= lo AND {draw} % total_rows < lo + n"
     return f"""same_draws AS (
-  SELECT pair_id, subject, n, lo, {h48("'42.0'", "'a'", "pair_id")} % n AS i1
+  SELECT pair_id, subject, n, lo, {h48(key, "'a'", "pair_id")} % n AS i1
   FROM (SELECT unnest(range({last})) AS pair_id) CROSS JOIN totals JOIN numbered ON {hit}),
 same AS (
-  SELECT pair_id, subject, lo + i1 AS pos1, lo + (i1 + 1 + {h48("'42.0'", "'b'", "pair_id")} % (n - 1)) % n AS pos2
+  SELECT pair_id, subject, lo + i1 AS pos1, lo + (i1 + 1 + {h48(key, "'b'", "pair_id")} % (n - 1)) % n AS pos2
   FROM same_draws)"""
 
 
 COUNT = "(SELECT count(*) FROM papers)"
 
 
-def positive_ids(balanced: bool) -> str:
-    return f"{SUBJECT_INDEX},\n{_same_subject(COUNT, balanced)}"
+def positive_ids(balanced: bool, epoch: int = 0) -> str:
+    key = f"'42.{epoch}'"
+    return f"{SUBJECT_INDEX},\n{_same_subject(COUNT, balanced, key)}"
 
 
 def contrastive_ids() -> str:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from simsearch.functions.text import split_subjects
+
 PAPERS = T.StructType(
     [
         T.StructField("paper_id", T.LongType()),
@@ -58,12 +60,29 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def read_papers(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, optional: tuple[str, ...] = ()) -> DataFrame:
+    """The schema's columns in its types; an absent optional one is null, any other is an error."""
+    missing = [f.name for f in schema if f.name not in df.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"missing columns {missing}; the table has {df.columns}")
+    return df.select(
+        *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+
+
+def select_papers(papers: DataFrame, columns: list[str] | tuple[str, ...]) -> DataFrame:
+    """The configured columns and the id; joined subjects become a list here, once and for all."""
+    chosen = require_columns(papers, list(dict.fromkeys(["paper_id", *columns])))
+    if "subjects" in chosen.columns and chosen.schema["subjects"].dataType == T.StringType():
+        chosen = chosen.withColumn("subjects", split_subjects(F.col("subjects")))
+    known = {f.name: f.dataType for f in PAPERS}
+    return chosen.select(*[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c) for c in chosen.columns])
+
+
+def read_papers(spark: SparkSession, path: str, columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
     """The raw corpus with the configured columns only; the id always comes along."""
     papers = read_table(spark, path)
-    if columns is None:
-        return papers
-    return require_columns(papers, list(dict.fromkeys(["paper_id", *columns])))
+    return papers if columns is None else select_papers(papers, columns)
 
 
 def usable(papers: DataFrame, text_field: str = "abstract") -> DataFrame:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from simsearch.operators.requests import alerts, count_windows
+from simsearch.sources.tables import REQUEST_LOG, conform
 
 
 def rate_stream(log: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -15,7 +15,7 @@ def rate_stream(log: DataFrame, window: str = "1 hour", delay: str = "10 minutes
 
     The watermark bounds both the remembered ids and the open windows.
     """
-    timed = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    timed = conform(log, REQUEST_LOG, optional=("method", "latency")).withWatermark("ts", delay)
     return count_windows(timed.dropDuplicatesWithinWatermark(["request_id"]), window)
 
 

@@ -57,6 +57,22 @@ def test_a_missing_output_is_rebuilt(spark, source, tmp_path):
     assert ensure_data(spark, str(tmp_path), config(source)).rebuilt
 
 
+def test_joined_subjects_become_lists(spark, papers, tmp_path):
+    joined = papers.withColumn("subjects", F.concat_ws("; ", "subjects"))
+    made = ensure_data(spark, str(tmp_path), config("given", columns=("primary_subject", "subjects", "abstract")), joined)
+    row = store.read_split(spark, made.splits, "test").first()
+    assert row["subjects"] == [row["primary_subject"], "General Science"]
+
+
+def test_tables_are_brought_to_their_schema(spark):
+    from simsearch.sources.tables import REQUESTS, conform
+
+    asked = spark.createDataFrame([(1, "text", 5)], "query_id int, abstract string, k bigint")
+    assert conform(asked, REQUESTS, optional=("nprobe",)).schema == REQUESTS
+    with pytest.raises(ValueError, match="missing columns"):
+        conform(asked.drop("abstract"), REQUESTS, optional=("nprobe",))
+
+
 def test_unknown_loss_or_column_is_an_error(spark, source, tmp_path):
     with pytest.raises(ValueError, match="unsupported loss"):
         ensure_data(spark, str(tmp_path), config(source, loss="Other"))
