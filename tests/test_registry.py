@@ -4,7 +4,7 @@ import __spark_entry__ as registry
 from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLE = registry.own_queries(), registry.own_oracle_sql()
 ROWS_ONLY = {"ivf_train", "pca_2d", "tfidf_classifier", "embedding_classifier"}
 
 
