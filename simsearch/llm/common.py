@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from simsearch.session import CHECKPOINT_DIR
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLICE_BYTES = 8 << 20
 BROADCAST_ROWS = 100_000
@@ -57,3 +61,13 @@ def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.R
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if its counted rows, of a few numbers and short keys each, are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, under ``spark.checkpoint.dir``; a local session without one gets its own."""
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+        base = tempfile.mkdtemp(prefix="simsearch-shared-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

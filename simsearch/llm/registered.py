@@ -1,10 +1,20 @@
 """The registered queries of this subpackage, and SQL where SQL can express them."""
 
-from simsearch.llm import kdshard, packing, quality
+from simsearch.llm import chat, decontaminate, kdshard, packing, quality, urlfilter, warc
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_packing": packing.op3_packing,
+    "op5_chat_format": chat.op5_chat_format,
     "op7_kd_sharding": kdshard.op7_kd_sharding,
+    "op8_url_filter": urlfilter.op8_url_filter,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_warc": warc.op10_warc,
+}
+ORACLE = {
+    "op2_decontaminate": decontaminate.SQL,
+    "op5_chat_format": chat.SQL,
+    "op8_url_filter": urlfilter.SQL,
+    "op9_quality_rules": quality.SQL,
+    "op10_warc": warc.SQL,
 }
-ORACLE = {"op9_quality_rules": quality.SQL}
