@@ -1,11 +1,13 @@
 """The registered queries of this subpackage, and SQL where SQL can express them."""
 
-from simsearch.llm import chat, decontaminate, kdshard, packing, quality, urlfilter, warc
+from simsearch.llm import chat, decontaminate, kdshard, packing, quality, secrets, simhash, urlfilter, warc
 
 QUERIES = {
+    "op1_simhash_dedup": simhash.op1_simhash_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_packing": packing.op3_packing,
     "op5_chat_format": chat.op5_chat_format,
+    "op6_secret_scan": secrets.op6_secret_scan,
     "op7_kd_sharding": kdshard.op7_kd_sharding,
     "op8_url_filter": urlfilter.op8_url_filter,
     "op9_quality_rules": quality.op9_quality_rules,
