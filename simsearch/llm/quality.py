@@ -129,13 +129,10 @@ LIMITS = ("max_symbols", "max_lines", "max_length", "min_length")
 def thresholds(docs: DataFrame) -> DataFrame:
     """The limits of each (language, source): its own, or those of the language or of all for a small group."""
     sketch = checkpoint(sketches(docs))
-    fine, coarse, everything = _fences(sketch, ["g_lang", "g_source"]), _fences(sketch, ["g_lang"]), _fences(sketch, [])
-    rename = lambda df, tag: df.select(*[c for c in df.columns if c.startswith("g_")], *[F.col(c).alias(tag + c) for c in ("n_docs", *LIMITS)])
-    joined = (
-        fine.join(rename(coarse, "l_"), "g_lang")
-        .withColumn("one", F.lit(1))
-        .join(F.broadcast(rename(everything, "a_").withColumn("one", F.lit(1))), "one")
-    )
+    fine, coarse = _fences(sketch, ["g_lang", "g_source"]), _fences(sketch, ["g_lang"])
+    everything = _fences(sketch, []).select(*LIMITS).first()  # one row
+    by_lang = coarse.select("g_lang", *[F.col(c).alias("l_" + c) for c in ("n_docs", *LIMITS)])
+    joined = fine.join(by_lang, "g_lang").select("*", *[F.lit(everything[c] if everything else None).alias("a_" + c) for c in LIMITS])
     pick = lambda c: F.when(F.col("n_docs") >= MIN_GROUP, F.col(c)).when(F.col("l_n_docs") >= MIN_GROUP, F.col("l_" + c)).otherwise(F.col("a_" + c))
     return checkpoint(joined.select("g_lang", "g_source", *[pick(c).alias(c) for c in LIMITS]))
 

@@ -1,11 +1,12 @@
 """The registered queries of this subpackage, and SQL where SQL can express them."""
 
-from simsearch.llm import chat, decontaminate, kdshard, packing, quality, secrets, simhash, urlfilter, warc
+from simsearch.llm import chat, decontaminate, kdshard, packing, quality, secrets, simhash, suffix, urlfilter, warc
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_packing": packing.op3_packing,
+    "op4_suffix_dedup": suffix.op4_suffix_dedup,
     "op5_chat_format": chat.op5_chat_format,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_kd_sharding": kdshard.op7_kd_sharding,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 ORACLE = {
     "op2_decontaminate": decontaminate.SQL,
+    "op4_suffix_dedup": suffix.SQL,
     "op5_chat_format": chat.SQL,
     "op8_url_filter": urlfilter.SQL,
     "op9_quality_rules": quality.SQL,
