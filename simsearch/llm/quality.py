@@ -155,8 +155,13 @@ def judge(docs: DataFrame, *carry: Column) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns they came with."""
-    return judge(docs, F.struct("*").alias("_row")).where("kept").select("_row.*")
+    """The documents that pass, with the columns they came with.
+
+    Rows are picked by a generator: the optimizer would move a filter below the projections that compute the counts once and
+    so compute them anew for every word.
+    """
+    row = F.when(F.col("kept"), F.array("_row")).otherwise(F.slice(F.array("_row"), 1, 0))
+    return judge(docs, F.struct("*").alias("_row")).select(F.inline(row))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

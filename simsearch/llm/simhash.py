@@ -14,7 +14,8 @@ Groups are the connected components of the links, found by contraction; a group'
 
 Nulls: a null text has no words and fingerprint zero, as any text without words, and is linked like any other. A null id is never
 a group's smallest id unless all ids of the group are null. Repeated rows get a row each. An empty table gives no rows. Only
-``doc_id`` and ``text`` are read; ``keep_one`` returns every column.
+``doc_id`` and ``text`` are read; ``keep_one``, which the pipeline uses with five words and a similarity of 0.8, returns every
+column.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simsearch.llm.common import bounded_broadcast, map_slices, table
@@ -37,23 +38,32 @@ RUN_AT_ONCE = 16
 PART = 1 << 16
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """The signed 64-bit fingerprint of a UTF-8 text."""
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """Hashes of all shingles in order; the whole sequence is the one shingle of a shorter text, and no words have none."""
     found = text.lower().split()  # of bytes: A-Z only, and the six ASCII white-space characters
-    if not found:
-        return 0
     hashed = xxhash.xxh64_intdigest
     if len(found) < words:
-        hashes = [hashed(b" ".join(found), SEED)]
+        hashes = [hashed(b" ".join(found), SEED)] if found else []
     else:
         hashes = [hashed(s, SEED) for s in map(b" ".join, zip(*[found[i:] for i in range(words)], strict=False))]
+    return np.array(hashes, dtype=np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The signed 64-bit fingerprint: bits set in more than half of the hashes."""
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), PART):
-        part = np.array(hashes[at : at + PART], dtype=np.uint64)
+        part = hashes[at : at + PART]
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, fp."""
 
@@ -171,6 +181,92 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, hot:
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+SIMILARITY, STAGE_WORDS = 0.8, 5
+BANDS, BAND_ROWS = 21, 6
+
+
+def _bands(hashes: np.ndarray) -> list[int]:
+    """Keys that two texts of similarity 0.8 share with probability 0.998: the least hash in each of 126 ranges, six to a key."""
+    bins = BANDS * BAND_ROWS
+    if not len(hashes):
+        return [0] * BANDS
+    ordered = np.sort(hashes)
+    borders = (np.arange(bins, dtype=np.uint64) << np.uint64(57)) if bins <= 128 else None
+    at = np.searchsorted(ordered, borders)
+    last = np.searchsorted(ordered, borders + np.uint64((1 << 57) - 1), side="right")
+    filled = np.flatnonzero(at < last)
+    if not len(filled):  # all hashes lie beyond the ranges in use
+        filled, at = np.array([0]), np.zeros(bins, dtype=np.int64)
+    pick = filled[np.searchsorted(filled, np.arange(bins)) % len(filled)]  # an empty range takes the next filled one
+    far = (pick - np.arange(bins)).astype(np.uint64)
+    values = (ordered[at[pick]] + far) * np.uint64(0x9E3779B97F4A7C15)
+    keys = np.zeros(BANDS, dtype=np.uint64)
+    for i in range(BAND_ROWS):
+        keys = (keys ^ values[i::BAND_ROWS]) * np.uint64(0xD6E8FEB86659FD93)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64).tolist()
+
+
+def _sketches(docs: DataFrame, words: int) -> DataFrame:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes = [shingle_hashes(t, words) for t in batch.column("text").to_pylist()]
+        arrays = [batch.column("doc_id"), pa.array(list(map(majority, hashes)), pa.int64()), pa.array(list(map(_bands, hashes)), pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "fp", "bands"])
+
+    return map_slices(docs, "text", work, "doc_id bigint, fp bigint, bands array<bigint>")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have at least the similarity, by their whole texts."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in zip(batch.column("text").to_pylist(), batch.column("other").to_pylist(), strict=True):
+            x, y = np.unique(shingle_hashes(x, words)), np.unique(shingle_hashes(y, words))
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(common >= similarity * (len(x) + len(y) - common))
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = pairs.join(texts.select(F.col("doc_id").alias("a"), "text"), "a")
+    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other")), "b").select("a", "b", "text", "other")
+    return map_slices(both, "other", work, "a bigint, b bigint")
+
+
+def similar_groups(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
+    """doc_id, first: the smallest id of each document's group of texts with at least the similarity, by links.
+
+    Three bits of 64 are about 0.98 of the shingles, so deletion variants alone cannot reach 0.8. The fingerprint links are
+    joined by candidates from banded least hashes, under each key with that key's smallest document, and every candidate of
+    either kind is checked on the whole texts. Documents without an id are in no group.
+    """
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    rows = checkpoint(_sketches(texts, words))
+    nodes = checkpoint(rows.groupBy("fp", "bands").agg(F.min("doc_id").alias("node")))
+    by_fp = nodes.groupBy("fp").agg(F.min("node").alias("least"))
+    linked = links(nodes.select("fp").distinct(), bits)
+    pick = lambda c, name: by_fp.select(F.col("fp").alias(c), F.col("least").alias(name))
+    pairs = linked.join(pick("a", "x"), "a").join(pick("b", "y"), "b").select("x", "y")
+    pairs = pairs.union(nodes.join(by_fp, "fp").select("least", "node"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    shared = keyed.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
+    pairs = pairs.union(keyed.join(shared, ["band", "key"]).select("least", "node")).toDF("a", "b").where("a <> b")
+    pairs = checkpoint(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    roots = components(_similar(pairs, texts, words, similarity))
+    placed = nodes.join(roots, "node", "left").select("fp", "bands", F.col("node").alias("own"), F.coalesce("root", "node").alias("root"))
+    smallest = placed.groupBy("root").agg(F.min("own").alias("first"))
+    return rows.join(placed.join(smallest, "root").select("fp", "bands", "first"), ["fp", "bands"]).select("doc_id", "first")
+
+
+def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each group, that with the smallest id, with the columns it came with. Of rows that repeat an id one
+    stays; a document without an id belongs to no group and stays."""
+    kept = similar_groups(docs, words, similarity).where("doc_id = first").select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_text"))
+    order = Window.partitionBy("_id").orderBy("_text")
+    ranked = rows.join(kept, "_id").select("_row", F.row_number().over(order).alias("_n")).where("_n = 1").select("_row.*")
+    return ranked.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op1_simhash_dedup(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
