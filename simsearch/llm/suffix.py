@@ -9,11 +9,11 @@ key has one fragment in several documents, all but the first lose it whole. Wher
 document of each sends the bytes, now keyed by a second representative as well, so that even a very common gram is
 split by what stands around it.
 
-Merging. The fragments of some keys form shards. Each shard's suffixes are sorted once, which gives its transform (over byte
-pairs). The shards are then interleaved: the merged order starts as shard after shard, and each round reads the transform
-in the present order and deals it stably into the order by two more characters. Only shard numbers move; no suffix is
-compared again. Rounds also carry the borders between suffixes that differ so far, which is the common-prefix information: after
-25 rounds suffixes without a border between them share 50 bytes. Each such interval has a smallest document; its other members are
+Merging. The fragments of some keys form shards. Each shard's suffixes are sorted once, which gives its transform (over four
+bytes at a time). The shards are then interleaved: the merged order starts as shard after shard, and each round reads the transform
+in the present order and deals it stably into the order by four more characters. Only shard numbers move; no suffix is
+compared again. Rounds also carry the borders between suffixes that differ so far, which is the common-prefix information: in
+the end suffixes without a border between them share 50 bytes. Each such interval has a smallest document; its other members are
 repeats.
 
 Nulls: a null text is empty; rows without an id are left as they are and remove nothing elsewhere. Rows that repeat an id
@@ -37,7 +37,9 @@ from simsearch.session import checkpoint
 
 WINDOW, GRAM = 50, 16
 RUN_WINDOWS = 64
-SHARD_ROWS, MERGE_ROWS = 1 << 15, 1 << 18
+CHUNK_BYTES = 128 << 10
+SHARD_ROWS, MERGE_ROWS = 1 << 14, 1 << 17
+PAD = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -62,32 +64,61 @@ def _sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[:n], m[w - s : w - s + n]) if s < w else m[:n]
 
 
-class Runs:
-    """The runs of some texts: first and last window, key and fragment hash, and the text each lies in."""
+def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that fit the processor's caches together."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > CHUNK_BYTES:
+            yield start, i
+            start, held = i, 0
+        held += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+class Windows:
+    """The windows of a few texts that lie together, each with its representative."""
 
     def __init__(self, texts: list[bytes]):
         self.raw = b"".join(texts)
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         self.base = np.concatenate([[0], np.cumsum(sizes)])
-        self.first = self.last = self.text = np.zeros(0, dtype=np.int64)
-        self.key = self.code = np.zeros(0, dtype=np.uint64)
-        if len(self.raw) < WINDOW:
-            return
-        text = np.repeat(np.arange(len(texts)), sizes)
-        self.grams = _grams(np.frombuffer(self.raw, dtype=np.uint8))
-        least = _sliding_min(self.grams, WINDOW - GRAM + 1)
-        n = len(least)
-        inside = text[:n] == text[WINDOW - 1 : WINDOW - 1 + n]
-        self.first, self.last = _runs(least, inside)
-        self.key, self.text = least[self.first], text[self.first]
-        digest, raw = xxhash.xxh3_64_intdigest, self.raw
-        hashes = [digest(raw[s : e + WINDOW]) for s, e in zip(self.first.tolist(), self.last.tolist(), strict=True)]
-        self.code = np.array(hashes, dtype=np.uint64) << np.uint64(32) | self.key & LOW
+        n = max(0, len(self.raw) - WINDOW + 1)
+        self.grams = _grams(np.frombuffer(self.raw, dtype=np.uint8)) if n else np.zeros(0, dtype=np.uint64)
+        self.least = _sliding_min(self.grams, WINDOW - GRAM + 1) if n else self.grams
+        self.inside = np.ones(n, dtype=bool)
+        for border in self.base[1:-1].tolist():  # windows over the end of a text
+            self.inside[max(0, border - WINDOW + 1) : border] = False
+
+    def text_of(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.base, places, side="right") - 1
+
+
+class Runs:
+    """The runs of some texts: the text each lies in, its first and last window there, its key and its fragment's hash."""
+
+    def __init__(self, texts: list[bytes]):
+        parts: list[tuple[np.ndarray, ...]] = [(np.zeros(0, dtype=np.int64),) * 3 + (np.zeros(0, dtype=np.uint64),) * 2]
+        digest = xxhash.xxh3_64_intdigest
+        for lo, hi in _chunks(texts):
+            near = Windows(texts[lo:hi])
+            first, last = _runs(near.least, near.inside)
+            text, raw = near.text_of(first), near.raw
+            hashes = [digest(raw[s : e + WINDOW]) for s, e in zip(first.tolist(), last.tolist(), strict=True)]
+            key = near.least[first]
+            code = np.array(hashes, dtype=np.uint64) << np.uint64(32) | key & LOW
+            parts.append((text + lo, first - near.base[text], last - near.base[text], key, code))
+        self.text, self.first, self.last, self.key, self.code = map(np.concatenate, zip(*parts, strict=True))
+
+    def borders(self, texts: int) -> np.ndarray:
+        return np.searchsorted(self.text, np.arange(texts + 1))
 
 
 def _runs(value: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last places of stretches with one value, cut into pieces of at most ``RUN_WINDOWS``."""
     change = value[1:] != value[:-1]
+    if not len(value):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     first = np.flatnonzero(inside & np.r_[True, change | ~inside[:-1]])
     last = np.flatnonzero(inside & np.r_[change | ~inside[1:], True])
     pieces = (last - first) // RUN_WINDOWS + 1
@@ -122,8 +153,8 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
             by_doc = np.argsort(doc[lo:hi][own], kind="stable")
             parts = [x[lo:hi][own][by_doc] for x in (key, code, doc)] + [x[lo:hi][gone] for x in (doc, code)]
             if hi > lo:
-                # the low half of the key is in the code; its high half sorts with the bucket
-                rows.append((b, *[p.tobytes() for p in ((parts[0] >> np.uint64(32)).astype(np.uint32), parts[1], parts[2], parts[3], parts[4])]))
+                # the code has the key's low half; the bucket stands for its highest bits, and 16 more bits are sent
+                rows.append((b, *[p.tobytes() for p in ((parts[0] >> np.uint64(32)).astype(np.uint16), parts[1], parts[2], parts[3], parts[4])]))
         kinds = [pa.int32()] + [pa.binary()] * 5
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "high", "code", "doc", "g_doc", "g_code"])
@@ -138,7 +169,7 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
                     doc = np.frombuffer(doc, dtype=np.int64)
                     yield _flat(doc, np.frombuffer(code, dtype=np.uint64), np.zeros(len(doc), dtype=bool))
         code = np.frombuffer(b"".join(held.pop("code")), dtype=np.uint64)
-        high = np.frombuffer(b"".join(held.pop("high")), dtype=np.uint32).astype(np.uint64)
+        high = np.frombuffer(b"".join(held.pop("high")), dtype=np.uint16).astype(np.uint64)
         doc = np.frombuffer(b"".join(held.pop("doc")), dtype=np.int64)
         if not len(code):
             return
@@ -165,87 +196,96 @@ def _fragments(owners: DataFrame) -> DataFrame:
     """key, doc_id, start, body: the owned fragments, cut again where a second representative changes."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        runs = Runs(batch.column("text").to_pylist())
-        ids, wanted = batch.column("doc_id").to_pylist(), [np.array(c, dtype=np.int64).view(np.uint64) for c in batch.column("owned").to_pylist()]
-        borders = np.searchsorted(runs.text, np.arange(len(ids) + 1))
-        chosen = np.zeros(len(runs.code), dtype=bool)
-        for i, codes in enumerate(wanted):
-            chosen[borders[i] : borders[i + 1]] = np.isin(runs.code[borders[i] : borders[i + 1]], codes)
+        texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_numpy()
+        wanted = [np.array(c, dtype=np.int64).view(np.uint64) for c in batch.column("owned").to_pylist()]
+        runs = Runs(texts)
+        borders = runs.borders(len(texts))
         key, doc, start, body = [], [], [], []
-        if chosen.any():
-            second = _sliding_min((runs.grams ^ _B) * _A, WINDOW - GRAM + 1)
-            inside = np.zeros(len(second) + 1, dtype=np.int64)
-            np.add.at(inside, runs.first[chosen], 1)
-            np.add.at(inside, runs.last[chosen] + 1, -1)
-            inside = np.cumsum(inside[:-1]) > 0
-            least = _sliding_min(runs.grams, WINDOW - GRAM + 1)
-            both = least * _B ^ second
+        for lo, hi in _chunks(texts):
+            near = Windows(texts[lo:hi])
+            chosen = np.zeros(len(near.least) + 1, dtype=np.int64)
+            for i in range(lo, hi):
+                own = slice(borders[i], borders[i + 1])
+                hit = np.isin(runs.code[own], wanted[i])
+                np.add.at(chosen, runs.first[own][hit] + near.base[i - lo], 1)
+                np.add.at(chosen, runs.last[own][hit] + near.base[i - lo] + 1, -1)
+            inside = np.cumsum(chosen[:-1]) > 0
+            if not inside.any():
+                continue
+            both = near.least * _B ^ _sliding_min((near.grams ^ _B) * _A, WINDOW - GRAM + 1)
             first, last = _runs(both, inside)
-            # a stretch may span two texts only where no window does, so each lies in one
-            text = np.searchsorted(runs.base, first, side="right") - 1
-            key = both[first].view(np.int64)
-            doc = np.array(ids, dtype=np.int64)[text]
-            start = first - runs.base[text]
-            body = [runs.raw[s : e + WINDOW] for s, e in zip(first.tolist(), last.tolist(), strict=True)]
-        arrays = [pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(body, pa.binary())]
+            text = near.text_of(first)
+            key.append(both[first].view(np.int64))
+            doc.append(ids[lo + text])
+            start.append(first - near.base[text])
+            body += [near.raw[s : e + WINDOW] for s, e in zip(first.tolist(), last.tolist(), strict=True)]
+        none = [np.zeros(0, dtype=np.int64)]
+        arrays = [pa.array(np.concatenate(x or none), pa.int64()) for x in (key, doc, start)] + [pa.array(body, pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, ["key", "doc_id", "start", "body"])
 
     return map_slices(owners, "text", work, "key bigint, doc_id bigint, start bigint, body binary")
 
 
 class Shard:
-    """Sorted suffixes of some fragments and their transform over byte pairs.
+    """Sorted suffixes of some fragments and their transform: what stands four (and two) bytes before each.
 
-    Bytes are raised by one (255 is in no UTF-8 text) and each fragment gets two zero bytes, so every place but the last two starts
-    a pair. Rows are places; the two end rows of a fragment come first.
+    Bytes are raised by one (255 is in no UTF-8 text) and each fragment gets four zero bytes. Rows are places; the four end rows of
+    a fragment come first. A symbol of zero says that nothing stands there.
     """
 
     def __init__(self, bodies: list[bytes]):
-        longest = max(map(len, bodies)) + 2
-        sizes = np.array([len(b) + 2 for b in bodies], dtype=np.int64)
+        longest = max(map(len, bodies)) + PAD
+        sizes = np.array([len(b) + PAD for b in bodies], dtype=np.int64)
         base = np.cumsum(sizes) - sizes
-        text = np.zeros(int(sizes.sum()) + longest, dtype=np.uint8)
-        joined = np.frombuffer(b"\xff\xff".join(bodies) + b"\xff\xff", dtype=np.uint8)
+        joined = np.frombuffer((b"\xff" * PAD).join(bodies) + b"\xff" * PAD, dtype=np.uint8)
+        text = np.zeros(len(joined) + longest, dtype=np.uint8)
         text[: len(joined)] = joined + np.uint8(1)  # the separators wrap to zero
         self.fragment = np.repeat(np.arange(len(bodies)), sizes)
         place = np.arange(len(joined)) - base[self.fragment]
-        self.window = place <= sizes[self.fragment] - 2 - WINDOW
-        end = place >= sizes[self.fragment] - 2
+        left = sizes[self.fragment] - PAD - place
+        self.window = left >= WINDOW
+        end = left <= 0
         wide = np.lib.stride_tricks.sliding_window_view(text, longest)[: len(joined)].copy()
-        left = sizes[self.fragment] - place
         wide[np.arange(longest) >= left[:, None]] = 0
         order = np.argsort(wide.view(f"S{longest}").ravel(), kind="stable")
         self.order = np.concatenate([np.flatnonzero(end), order[~end[order]]])
         self.ends = int(end.sum())
         self.place = place
-        pair = text[:-1].astype(np.uint16) << np.uint16(8) | text[1:]
+        pair = text[:-1].astype(np.uint32) << np.uint32(8) | text[1:]
+        four = pair[:-2] << np.uint32(16) | pair[2:]
         at = self.order
-        self.transform = np.where(place[at] >= 2, pair[at - 2], np.uint16(0))
+        before = lambda of, step: np.where(place[at] >= step, of[at - step], np.uint32(0))
+        self.transform = {4: before(four, 4), 2: before(pair, 2)}
 
 
 def interleave(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The merged order as row numbers (shard after shard, each in its own order) and True where ``depth`` bytes differ from the row before."""
+    """The merged order as row numbers (shard after shard, each in its own order) and True where ``depth`` bytes, an even number,
+    differ from the row before."""
     sizes = [len(s.order) for s in shards]
-    transform = np.concatenate([s.transform for s in shards])
     ends = sum(s.ends for s in shards)
     end_shards = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.ends for s in shards])
+    symbols = {step: np.concatenate([s.transform[step] for s in shards]) for step in (4, 2)}
+    named, fours = np.unique(symbols[4], return_inverse=True)
+    small = len(named) <= 1 << 16  # four-byte symbols by their rank, if 16 bits can number them
+    symbols = {4: fours.astype(np.uint16) if small else None, 2: symbols[2].astype(np.uint16)}
+    rounds = [4] * (depth // 4) + [2] * (depth % 4 // 2) if small else [2] * (depth // 2)
     shard = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
-    rows = np.arange(len(shard))
+    rows = np.arange(len(shard), dtype=np.int32)
+    count = np.arange(len(shard), dtype=np.int32)
     block = np.zeros(len(shard), dtype=np.int32)
     border = np.ones(len(shard), dtype=bool)
-    for _ in range(depth // 2):
-        symbol = transform[rows]
-        source = np.flatnonzero(symbol)  # a fragment's first two rows have nothing before them
+    for step in rounds:
+        symbol = symbols[step][rows]
+        source = np.flatnonzero(symbol)
         symbol = symbol[source]
         order = np.argsort(symbol, kind="stable")
         source, symbol = source[order], symbol[order]
         shard = np.concatenate([end_shards, shard[source]])
         before = block[source]
-        border = np.ones(len(shard), dtype=bool)
-        border[ends + 1 :] = (symbol[1:] != symbol[:-1]) | (before[1:] != before[:-1])
+        border[: ends + 1] = True
+        np.logical_or(symbol[1:] != symbol[:-1], before[1:] != before[:-1], out=border[ends + 1 :])
         block = np.cumsum(border, dtype=np.int32)
-        rows = np.empty_like(rows)
-        rows[np.argsort(shard, kind="stable")] = np.arange(len(shard))
+        rows[np.argsort(shard, kind="stable")] = count
     return rows, border
 
 
@@ -255,7 +295,7 @@ def _repeats(bodies: list[bytes], docs: np.ndarray) -> Iterator[tuple[int, int,
     while at < len(bodies):
         end, rows = at, 0
         while end < len(bodies) and (rows == 0 or rows + len(bodies[end]) <= SHARD_ROWS or len(shards) == 254):
-            rows += len(bodies[end]) + 2
+            rows += len(bodies[end]) + PAD
             end += 1
         shards.append((at, Shard(bodies[at:end])))
         at = end
@@ -335,25 +375,27 @@ def removals(docs: DataFrame, with_text: bool = True) -> DataFrame:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    flags = _flags(texts.where("doc_id IS NOT NULL"), buckets)
-    owners = texts.join(flags.where(F.size("owned") > 0).select("doc_id", "owned"), "doc_id")
+    known = texts.where("doc_id IS NOT NULL")
+    flags = _flags(known, buckets)
+    owners = known.join(flags.where(F.size("owned") > 0).select("doc_id", "owned"), "doc_id")
     spans = _compared(_fragments(owners)).groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     marks = flags.select("doc_id", "covered").join(spans, "doc_id", "left")
-    rows = texts.join(marks, "doc_id", "left")
+    nothing = [F.lit(None).cast("array<bigint>").alias(c) for c in ("covered", "firsts", "lasts")]
+    rows = known.join(marks, "doc_id", "left").unionByName(texts.where("doc_id IS NULL").select("*", *nothing))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         data = batch.column("text").to_pylist()
         covered, firsts, lasts = (batch.column(c).to_pylist() for c in ("covered", "firsts", "lasts"))
         runs = Runs([t if c else b"" for t, c in zip(data, covered, strict=True)])
-        borders = np.searchsorted(runs.text, np.arange(len(data) + 1))
+        borders = runs.borders(len(data))
         out = []
         for i, text in enumerate(data):
             lo, hi = borders[i], borders[i + 1]
             first, last = np.array(firsts[i] or [], dtype=np.int64), np.array(lasts[i] or [], dtype=np.int64)
             if covered[i]:
                 hit = lo + np.flatnonzero(np.isin(runs.code[lo:hi], np.array(covered[i], dtype=np.int64).view(np.uint64)))
-                first = np.concatenate([first, runs.first[hit] - runs.base[i]])
-                last = np.concatenate([last, runs.last[hit] + WINDOW - runs.base[i]])
+                first = np.concatenate([first, runs.first[hit]])
+                last = np.concatenate([last, runs.last[hit] + WINDOW])
             spans = _merged(first, last)
             kept, at = [], 0
             for s, e in spans:
