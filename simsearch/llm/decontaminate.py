@@ -15,6 +15,7 @@ items count once. With an empty benchmark nothing is hit; an empty table gives n
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -154,7 +155,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *carry, size: int = WIN
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
         listed = [(r["item"], bytes(r["text"])) for r in own.collect()]  # about part_bytes
-        held = spark.sparkContext.broadcast((f"{id(listed)}-{part}", listed))
+        held = spark.sparkContext.broadcast((uuid.uuid4().hex, listed))
         rows = _pass(rows, held, size)
         if part + 1 < parts:
             rows = checkpoint(rows)
