@@ -374,7 +374,9 @@ def removals(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end, start, end ... in bytes) and, if asked for, kept (the rest)."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    # an id that needs no cast gets no alias either: only then do both joins below read one exchange of the texts
+    number = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
+    texts = docs.select(number, F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     known = texts.where("doc_id IS NOT NULL")
     flags = _flags(known, buckets)
     owners = known.join(flags.where(F.size("owned") > 0).select("doc_id", "owned"), "doc_id")
