@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # The separator of a multi-subject string, the preview length and the paper links.
 SUBJECT_SEPARATOR = "; "
 PREVIEW_CHARS = 300
+# What counts as a label's code, as white space, and the steps of a short count.
+LABEL_CODE = r"\([^)]+\)"
+BLANK = r"[\s\x1c-\x1f]"
+MILLION, THOUSAND = 1_000_000, 1_000
 ABSTRACT_LINK = "https://arxiv.org/abs/"
 PDF_LINK = "https://arxiv.org/pdf/"
 
@@ -25,15 +29,16 @@ def split_subjects(subjects: Column) -> Column:
 
 
 def clean_label(subject: Column) -> Column:
-    """``Machine Learning (cs.LG)`` -> ``Machine Learning``."""
-    return F.trim(F.regexp_replace(subject, r"\s*\([^)]+\)\s*$", ""))
+    """The name without a code in brackets at its end and without (Unicode) white space around it."""
+    named = F.regexp_replace(subject, rf"(?U){BLANK}*{LABEL_CODE}{BLANK}*\z", "")
+    return F.regexp_replace(named, rf"(?U)\A{BLANK}+|{BLANK}+\z", "")
 
 
 def compact_count(n: Column) -> Column:
     """1500000 -> ``1M``, 1500 -> ``1k``, 15 -> ``15``; always rounded down."""
     return (
-        F.when(n >= 1_000_000, F.concat(F.floor(n / 1_000_000).cast("string"), F.lit("M")))
-        .when(n >= 1_000, F.concat(F.floor(n / 1_000).cast("string"), F.lit("k")))
+        F.when(n >= MILLION, F.concat(F.floor(n / MILLION).cast("string"), F.lit("M")))
+        .when(n >= THOUSAND, F.concat(F.floor(n / THOUSAND).cast("string"), F.lit("k")))
         .otherwise(n.cast("string"))
     )
 

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from simsearch.operators.layout import spread_small
 from simsearch.operators.skew import join_group
+from simsearch.session import checkpoint
 
 WORD = r"[\p{L}\p{N}]+"
 
 
 def _with_labels(stages: list, train: DataFrame, label_col: str) -> PipelineModel:
+    """Labels are numbered for fitting only: the model scores every row, whatever its label."""
     indexer = StringIndexer(inputCol=label_col, outputCol="label_ix", handleInvalid="skip").fit(train)
     classifier = LogisticRegression(featuresCol="features", labelCol="label_ix", predictionCol="predicted_ix", maxIter=50)
     names = IndexToString(inputCol="predicted_ix", outputCol="predicted", labels=indexer.labels)
-    return Pipeline(stages=[indexer, *stages, classifier, names]).fit(train)
+    return Pipeline(stages=[*stages, classifier, names]).fit(indexer.transform(train))
 
 
 def fit_on_embeddings(train: DataFrame, label_col: str) -> PipelineModel:
@@ -41,15 +43,32 @@ def fit_on_text(train: DataFrame, label_col: str, text_col: str = "abstract", nu
     return _with_labels(stages, train, label_col)
 
 
+def term_counts(papers: DataFrame, text_col: str = "abstract") -> DataFrame:
+    """``(paper_id, word, tf)``: each text is counted inside its row, from its sorted words; nothing is shuffled."""
+    words = F.sort_array(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0)))
+    rows = spread_small(papers.select("paper_id", text_col)).select("paper_id", words.alias("words")).where(F.size("words") > 0)
+    first = F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda i: (i == 0) | (F.get("words", i) != F.get("words", i - 1))
+    )
+    found = rows.select("paper_id", "words", first.alias("first"))
+    runs = F.transform(
+        "first",
+        lambda at, i: F.struct(
+            F.get("words", at).alias("word"), (F.coalesce(F.get("first", i + 1), F.size("words")) - at).cast("bigint").alias("tf")
+        ),
+    )
+    return found.select("paper_id", F.explode(runs).alias("run")).select("paper_id", "run.word", "run.tf")
+
+
 def tfidf(papers: DataFrame, text_col: str = "abstract") -> DataFrame:
     """``(paper_id, word, tf, df, weight)``: weight = tf * ln((n + 1) / (df + 1)).
 
-    A word found in every paper is counted by partial sums, and its rows get the count from a
+    The texts are read once; the counts are stored and then joined to the words' document counts. A
+    word found in every paper is counted by partial sums, and its rows get the count from a
     broadcast of the few frequent words instead of meeting in one task.
     """
     total = papers.agg(F.count("*").alias("n")).scalar()
-    words = spread_small(papers).select("paper_id", F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0))).alias("word"))
-    counts = words.groupBy("paper_id", "word").agg(F.count("*").alias("tf"))
+    counts = checkpoint(term_counts(papers, text_col))
     frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
     weight = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
     return join_group(counts, frequency, "word", "df").select("paper_id", "word", "tf", "df", weight.alias("weight"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -18,10 +20,10 @@ from simsearch.operators.cutoff import mark_smallest
 from simsearch.operators.topk import BLOCK_CELLS, SearchLimits, search_lists, to_matrix
 from simsearch.sources.tables import EMBEDDINGS, conform
 
+# The defaults of lists and of lists probed.
 DEFAULT_NLIST = 4096
 DEFAULT_NPROBE = 64
-MAX_LISTS = 65_536
-TRAIN_ROWS_PER_LIST = 256
+CENTROID_BYTES = 1 << 30
 CENTROID_DIGITS = 8
 
 
@@ -36,16 +38,18 @@ class IvfIndex:
     nprobe: int = DEFAULT_NPROBE
     limits: SearchLimits = field(default_factory=SearchLimits)
 
+    @functools.cached_property
+    def quantizer(self) -> Broadcast:
+        """List ids and centroids, collected and broadcast once for all searches of this index."""
+        return self.centroids.sparkSession.sparkContext.broadcast(_centroid_matrix(self.centroids))
+
     def with_nprobe(self, nprobe: int | None) -> IvfIndex:
         return self if nprobe is None else replace(self, nprobe=nprobe)
 
 
 def embedding_dim(embeddings: DataFrame, check_all: bool = False) -> int:
-    """The vectors' length, from the first vector; with ``check_all`` every vector must share it.
-
-    Without the check, vectors of another length are left out of the index (``misfits`` counts
-    them), which saves reading all vectors once more.
-    """
+    """The vectors' length, from the first vector. Every later pass over the vectors fails on one of another
+    length; with ``check_all`` they are all looked at now."""
     lengths = embeddings.where(F.col("embedding").isNotNull()).select(F.size("embedding").alias("d"))
     found = (lengths.distinct().limit(2) if check_all else lengths.limit(1)).collect()
     if len(found) != 1:
@@ -54,24 +58,24 @@ def embedding_dim(embeddings: DataFrame, check_all: bool = False) -> int:
 
 
 def misfits(embeddings: DataFrame, dim: int) -> DataFrame:
-    """One row: how many vectors are missing or have another length."""
-    return embeddings.agg(F.count_if(~has_dim(F.col("embedding"), dim)).alias("misfits"))
+    """One row: how many vectors are missing, have another length, or have no direction."""
+    usable = has_dim(F.col("embedding"), dim) & F.coalesce(norm(F.col("embedding")) > 0, F.lit(False))
+    return embeddings.agg(F.count_if(~usable).alias("misfits"))
 
 
 def train_centroids(
-    embeddings: DataFrame, nlist: int = DEFAULT_NLIST, seed: int = 42, iterations: int = 10
+    embeddings: DataFrame, nlist: int = DEFAULT_NLIST, seed: int = 42, iterations: int = 10, train_rows: int | None = None
 ) -> DataFrame:
-    """k-means centroids on unit vectors, from at most 256 vectors per list."""
+    """k-means centroids on unit vectors, from all vectors, or from ``train_rows`` drawn ones if given."""
     total = embeddings.count()
-    if not 1 <= nlist <= min(total, MAX_LISTS):
-        raise ValueError(f"nlist must lie between 1 and {min(total, MAX_LISTS)}, got {nlist}")
+    if not 1 <= nlist <= total:
+        raise ValueError(f"nlist must lie between 1 and {total}, got {nlist}")
     if nlist == 1:
         only = embeddings.select(Summarizer.mean(array_to_vector("embedding")).alias("m"))
         return only.select(F.lit(0).alias("list_id"), l2_normalize(vector_to_array("m")).alias("centroid"))
-    wanted = TRAIN_ROWS_PER_LIST * nlist
     sample = embeddings
-    if total > wanted:
-        sample = mark_smallest(embeddings, "paper_id", (seed, "train"), {"_in": lambda n: F.lit(wanted)})
+    if train_rows is not None and total > train_rows:
+        sample = mark_smallest(embeddings, "paper_id", (seed, "train"), {"_in": lambda n: F.lit(train_rows)})
         sample = sample.where("_in")
     points = sample.where(norm(F.col("embedding")) > 0).select(array_to_vector("embedding").alias("features"))
     model = KMeans(
@@ -94,12 +98,13 @@ def mean_centroids(embeddings: DataFrame, list_col: str) -> DataFrame:
 
 
 def _checked_table(centroids: DataFrame) -> pa.Table:
-    """The centroids in list order; the number of lists is checked first."""
+    """The centroids in list order. They are broadcast, so their size is checked first: 1 GB of doubles holds
+    more than 300,000 lists of 384 values."""
     typed = centroids.select(F.col("list_id").cast("int"), F.col("centroid").cast("array<double>"))
-    table = typed.limit(MAX_LISTS + 1).toArrow()
-    if not 1 <= table.num_rows <= MAX_LISTS:
-        raise ValueError(f"an index has 1 to {MAX_LISTS} lists, found {table.num_rows or 'none'}")
-    return table.sort_by("list_id")
+    count, values = typed.agg(F.count("*"), F.sum(F.size("centroid"))).first()
+    if not count or 8 * values > CENTROID_BYTES:
+        raise ValueError(f"an index has between one list and {CENTROID_BYTES} bytes of centroids, found {count} lists")
+    return typed.toArrow().sort_by("list_id")
 
 
 def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +139,7 @@ def assign_lists(embeddings: DataFrame, centroids: DataFrame, dim: int) -> DataF
                 names=["paper_id", "embedding", "list_id"],
             )
 
-    usable = conform(embeddings, EMBEDDINGS).where(has_dim(F.col("embedding"), dim))
+    usable = conform(embeddings, EMBEDDINGS).where("embedding IS NOT NULL")
     return usable.mapInArrow(assign, "paper_id bigint, embedding array<float>, list_id int")
 
 
@@ -144,13 +149,14 @@ def build_index(
     nprobe: int = DEFAULT_NPROBE,
     seed: int = 42,
     centroids: DataFrame | None = None,
+    train_rows: int | None = None,
 ) -> IvfIndex:
     """Train (unless centroids are given) and assign every vector to its list."""
     embeddings = conform(embeddings, EMBEDDINGS)
     dim = embedding_dim(embeddings)
     if centroids is None:
-        centroids = train_centroids(embeddings, nlist, seed)
-    # at most MAX_LISTS rows: kept as they are, so that no later step computes them again
+        centroids = train_centroids(embeddings, nlist, seed, train_rows=train_rows)
+    # of a checked size: kept as they are, so that no later step computes them again
     table = _checked_table(centroids)
     centroids = embeddings.sparkSession.createDataFrame(table)
     return IvfIndex(centroids, assign_lists(embeddings, centroids, dim), dim, table.num_rows, nprobe)
@@ -159,8 +165,7 @@ def build_index(
 def choose_lists(queries: DataFrame, index: IvfIndex) -> DataFrame:
     """Add ``lists``: the nprobe lists nearest to each query, nprobe being the query's own value
     or the index default, never more than there are lists."""
-    shared = queries.sparkSession.sparkContext.broadcast(_centroid_matrix(index.centroids))
-    dim = index.dim
+    shared, dim = index.quantizer, index.dim
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix = shared.value
@@ -182,16 +187,16 @@ def choose_lists(queries: DataFrame, index: IvfIndex) -> DataFrame:
                 names=["query_id", "embedding", "k", "lists"],
             )
 
-    usable = queries.where(has_dim(F.col("embedding"), dim)).select(
+    usable = queries.where("embedding IS NOT NULL").select(
         "query_id", F.col("embedding").cast("array<float>").alias("embedding"), F.col("k").cast("int"), F.col("nprobe").cast("int")
     )
     return usable.mapInArrow(choose, "query_id bigint, embedding array<float>, k int, lists array<int>")
 
 
-def search(queries: DataFrame, index: IvfIndex, k: int = 10, nprobe: int | None = None, k_max: int | None = None) -> DataFrame:
+def search(queries: DataFrame, index: IvfIndex, k: int = 10, nprobe: int | None = None) -> DataFrame:
     """``hits(query_id, rank, score, paper_id)`` from each query's nearest lists.
 
-    ``queries(query_id, embedding)`` may carry its own ``k`` and ``nprobe``; where they are null
+    ``queries(query_id, embedding)`` may carry its own ``k`` and ``nprobe``, which then hold; where they are null
     or absent the arguments, then the index default, apply. A query gets fewer than k hits when
     its lists hold fewer vectors.
     """
@@ -199,17 +204,13 @@ def search(queries: DataFrame, index: IvfIndex, k: int = 10, nprobe: int | None
         raise RuntimeError("index not loaded: load or build it first")
     own_k = F.col("k") if "k" in queries.columns else F.lit(None).cast("int")
     own_nprobe = F.col("nprobe") if "nprobe" in queries.columns else F.lit(None).cast("int")
-    default = index.with_nprobe(nprobe).nprobe
     asked = queries.select(
         "query_id",
         "embedding",
         F.coalesce(own_k, F.lit(k)).alias("k"),
-        F.greatest(F.lit(1), F.coalesce(own_nprobe, F.lit(default))).alias("nprobe"),
+        F.greatest(F.lit(1), F.coalesce(own_nprobe, F.lit(index.with_nprobe(nprobe).nprobe))).alias("nprobe"),
     )
-    most = k_max or k
-    asked = asked.withColumn("k", F.least(F.col("k"), F.lit(most)))
-    per_query = index.nlist if "nprobe" in queries.columns else min(default, index.nlist)
-    return search_lists(choose_lists(asked, index), index.postings, index.dim, most, per_query, index.limits)
+    return search_lists(choose_lists(asked, index), index.postings, index.dim, index.limits)
 
 
 def list_sizes(index: IvfIndex) -> DataFrame:

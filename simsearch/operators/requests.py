@@ -58,14 +58,14 @@ def values_at_ranks(values: DataFrame, column: str, shares: dict[str, float]) ->
 
     Exact. Equal values are counted first, so repeats cost nothing. Approximate quantiles cut
     the distinct values into even buckets; exact counts then tell which bucket holds the wanted
-    rank, and only that bucket is ordered.
+    rank, and only that bucket is ordered. NaN is the largest value.
     """
     counted = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
     distinct = checkpoint(counted)
     cuts = distinct.approxQuantile("v", [i / QUANTILE_BUCKETS for i in range(1, QUANTILE_BUCKETS)], QUANTILE_ERROR)
     edges = [-float("inf"), *sorted(set(cuts)), float("inf")]
     if len(edges) > 2:
-        bucketed = Bucketizer(splits=edges, inputCol="v", outputCol="bucket").transform(distinct)
+        bucketed = Bucketizer(splits=edges, inputCol="v", outputCol="bucket", handleInvalid="keep").transform(distinct)
     else:
         bucketed = distinct.withColumn("bucket", F.lit(0.0))
     # at most QUANTILE_BUCKETS rows reach these windows

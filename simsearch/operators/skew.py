@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField
 
 from simsearch.session import checkpoint
 
-# a per-group row is some hundred bytes at most, so this bounds a broadcast near 100 MB
+# a per-group table is broadcast within both bounds: rows, and bytes of its values
 MAX_BROADCAST_GROUPS = 1_000_000
+MAX_BROADCAST_BYTES = 128 << 20
 MAX_HEAVY_GROUPS = 10_000
 
 
@@ -21,6 +25,19 @@ def hint_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row's values take."""
+
+    def width(field: StructField) -> Column:
+        if isinstance(field.dataType, StringType | BinaryType):
+            return F.coalesce(F.octet_length(field.name), F.lit(0)) + 24
+        if isinstance(field.dataType, ArrayType):
+            return F.greatest(F.size(field.name), F.lit(0)) * 8 + 24
+        return F.lit(8)
+
+    return functools.reduce(Column.__add__, map(width, df.schema.fields)).cast("bigint")
+
+
 def join_group(rows: DataFrame, groups: DataFrame, key: str, size: str, small: bool | None = None) -> DataFrame:
     """Inner join of ``rows`` with one row per group, safe for hot groups.
 
@@ -31,7 +48,8 @@ def join_group(rows: DataFrame, groups: DataFrame, key: str, size: str, small: b
     """
     if small is None:
         groups = checkpoint(groups)
-        small = groups.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS
+        count, width = groups.agg(F.count("*"), F.coalesce(F.sum(row_bytes(groups)), F.lit(0))).first()
+        small = count <= MAX_BROADCAST_GROUPS and width <= MAX_BROADCAST_BYTES
     if small:
         return rows.join(F.broadcast(groups), key)
     total = groups.agg(F.sum(size)).scalar()

@@ -5,13 +5,18 @@ names the lists it looks into, and only vectors of those lists are scored. Exact
 case of a single list. Scores are rounded before ranking and ties go to the smaller id, so the
 result does not depend on how the vectors were split.
 
-Queries within a checked size are broadcast: the stored vectors are then scanned where they lie
-and only each task's best k per query is shuffled. Larger query tables are cut, together with
-the lists, into cells of bounded size, and each cell is one small matrix product.
+Queries are stored once and broadcast in blocks of a checked size, counted in bytes of vectors and
+of best hits together. Each block scans the stored vectors where they lie, and only each task's
+best k per query is shuffled; a query table of many blocks scans them once a block and writes each
+block's hits. Vectors are never copied or shuffled.
+
+Similarity is the cosine: both sides are scaled to unit length in the scan. A missing or zero vector
+has no direction and is left out (``ivf.misfits`` counts them); a vector of another length is an error.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,36 +26,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from simsearch.functions.vectors import SCORE_DIGITS, has_dim
+from simsearch.functions.vectors import SCORE_DIGITS
+from simsearch.session import checkpoint
 
 HITS_SCHEMA = "query_id bigint, k int, paper_id bigint, score double"
 NO_ID = np.iinfo(np.int64).max
 # the product of a query block and a vector block stays below this many doubles (32 MB)
 BLOCK_CELLS = 4_000_000
 ROUNDING_SLACK = 10.0**-SCORE_DIGITS
+# stored postings lie in this many folders at most; a folder holds the lists of one remainder
+LIST_GROUP, LIST_GROUPS = "list_group", 1024
 
 
 @dataclass(frozen=True)
 class SearchLimits:
     """Sizes that decide how a search runs; none of them changes its result."""
 
-    broadcast_bytes: int = 128 << 20
-    chunk_vectors: int = 20_000
-    chunk_queries: int = 4_000
+    block_bytes: int = 128 << 20
     broadcast_hits: int = 2_000_000
 
-    def broadcast_queries(self, dim: int, lists_per_query: int) -> int:
-        return max(1, self.broadcast_bytes // (8 * dim + 8 * lists_per_query + 32))
+    def block_queries(self, dim: int, k: int, lists_per_query: int) -> int:
+        """Queries of one block: their vectors, list ids, and k best (score, id) each."""
+        return max(1, self.block_bytes // (8 * dim + 8 * lists_per_query + 16 * k + 32))
 
 
 def to_matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
-    """A list column as a float64 matrix, straight from the Arrow buffer."""
+    """A list column as a float64 matrix, straight from the Arrow buffer; every list has ``dim`` values."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths != dim).any():
+        raise ValueError(f"embeddings must have one fixed dimension: expected {dim}, found {lengths[lengths != dim][0]:g}")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64, copy=False).reshape(-1, dim)
 
 
+def unit_rows(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that have a direction, at unit length, and which rows those are."""
+    lengths = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
+    usable = np.flatnonzero(lengths > 0)
+    return matrix[usable] / lengths[usable, None], usable
+
+
 def ids_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
 
@@ -110,117 +127,77 @@ class BestHits:
         )
 
 
-def _rank(candidates: DataFrame, k_max: int) -> DataFrame:
+def _rank(candidates: DataFrame) -> DataFrame:
     """Best k per query out of the candidates, numbered from 1."""
     best_first = W.partitionBy("query_id").orderBy(F.col("score").desc(), "paper_id")
     return (
         candidates.withColumn("rank", F.row_number().over(best_first))
-        .where(F.col("rank") <= k_max)
         .where(F.col("rank") <= F.col("k"))
         .select("query_id", "rank", "score", "paper_id")
     )
 
 
-def search_lists(
-    probes: DataFrame, postings: DataFrame, dim: int, k_max: int, lists_per_query: int, limits: SearchLimits
-) -> DataFrame:
+def search_lists(probes: DataFrame, postings: DataFrame, dim: int, limits: SearchLimits) -> DataFrame:
     """``hits(query_id, rank, score, paper_id)``.
 
-    ``probes(query_id, embedding, k, lists)``: the queries, with the list ids each looks into.
-    ``postings(paper_id, embedding, list_id)``: the stored vectors.
+    ``probes(query_id, embedding, k, lists)``: the queries, with the list ids each looks into; each gets its
+    own k hits. ``postings(paper_id, embedding, list_id)``: the stored vectors.
     """
-    probes = probes.where(has_dim(F.col("embedding"), dim))
-    postings = postings.where(has_dim(F.col("embedding"), dim))
-    bound = limits.broadcast_queries(dim, lists_per_query)
-    block = probes.select("query_id", "embedding", F.col("k").cast("int"), "lists").limit(bound + 1).toArrow()
-    if block.num_rows <= bound:
-        hits = _scan(block, postings, dim, k_max)
-        hits = _rank(hits, k_max)
-        return F.broadcast(hits) if block.num_rows * k_max <= limits.broadcast_hits else hits
-    return _rank(_cells(probes, postings, dim, k_max, limits), k_max)
-
-
-def _scan(block: pa.Table, postings: DataFrame, dim: int, k_max: int) -> DataFrame:
-    """Broadcast the queries and scan the probed lists once."""
+    asked = probes.where("embedding IS NOT NULL").select("query_id", "embedding", F.col("k").cast("int").alias("k"), "lists")
+    stored = checkpoint(asked)
+    count, k_max, lists = stored.agg(F.count("*"), F.max("k"), F.max(F.size("lists"))).first()
+    postings = postings.where("embedding IS NOT NULL")
+    blocks = -(-count // limits.block_queries(dim, k_max or 1, lists or 1))
+    if blocks <= 1:
+        hits = _rank(_scan(stored.toArrow(), postings, dim))
+        return F.broadcast(hits) if count * (k_max or 0) <= limits.broadcast_hits else hits
+    found = []
+    for block in range(blocks):
+        own = stored.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        found.append(checkpoint(_rank(_scan(own.toArrow(), postings, dim))))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _scan(block: pa.Table, postings: DataFrame, dim: int) -> DataFrame:
+    """Broadcast a block of queries and scan the probed lists once."""
+    queries, usable = unit_rows(to_matrix(block.column("embedding"), dim))
+    block = block.take(usable)
     lists = block.column("lists").combine_chunks()
     flat = lists.flatten().to_numpy()
     owner = np.repeat(np.arange(block.num_rows), lists.value_lengths().to_numpy())
     order = np.argsort(flat, kind="stable")
     names, starts = np.unique(flat[order], return_index=True)
     asking = dict(zip(names.tolist(), np.split(owner[order], starts[1:]), strict=True)) if len(names) else {}
-    shared = postings.sparkSession.sparkContext.broadcast(
-        (ids_of(block.column("query_id")), to_matrix(block.column("embedding"), dim), ids_of(block.column("k")), asking)
-    )
+    ks = ids_of(block.column("k"))
+    shared = postings.sparkSession.sparkContext.broadcast((ids_of(block.column("query_id")), queries, ks, asking))
+    k_max = int(ks.max(initial=1))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, queries, ks, asking = shared.value
         best = BestHits(queries, k_max)
         for batch in batches:
-            ids = ids_of(batch.column("paper_id"))
-            in_list = ids_of(batch.column("list_id"))
-            vectors = to_matrix(batch.column("embedding"), dim)
+            vectors, usable = unit_rows(to_matrix(batch.column("embedding"), dim))
+            ids, in_list = ids_of(batch.column("paper_id"))[usable], ids_of(batch.column("list_id"))[usable]
             for name in np.unique(in_list):
                 rows = np.flatnonzero(in_list == name)
                 best.add(asking[int(name)], ids[rows], vectors[rows])
         yield best.to_batch(query_ids, ks)
 
-    # a literal list of partition values, so that only the probed lists' files are opened
+    # literal lists of values, so that only the probed lists' folders and row groups are opened
     probed = postings.where(F.col("list_id").isin(names.tolist()))
+    if LIST_GROUP in postings.columns:
+        probed = probed.where(F.col(LIST_GROUP).isin(np.unique(names % LIST_GROUPS).tolist()))
     return probed.select("paper_id", "embedding", "list_id").mapInArrow(scan, HITS_SCHEMA)
 
 
-def _cells(probes: DataFrame, postings: DataFrame, dim: int, k_max: int, limits: SearchLimits) -> DataFrame:
-    """Cut every list's vectors and its queries into chunks and score chunk against chunk.
-
-    A list holding a third of all vectors, or probed by a third of all queries, becomes many
-    cells instead of one group.
-    """
-    asked = probes.select("query_id", "embedding", "k", F.explode("lists").alias("list_id"))
-
-    def chunks(df: DataFrame, size: int, name: str) -> DataFrame:
-        return df.groupBy("list_id").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
-
-    # one row per list: a list number is bounded by the quantizer (ivf.MAX_LISTS)
-    cells = F.broadcast(
-        chunks(asked, limits.chunk_queries, "q_chunks").join(chunks(postings, limits.chunk_vectors, "v_chunks"), "list_id")
-    )
-
-    def chunk_of(row_id: str, count: str):
-        return F.pmod(F.xxhash64(row_id), F.col(count)).cast("int")
-
-    def every(count: str):
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    left = asked.join(cells, "list_id").withColumn("qc", chunk_of("query_id", "q_chunks")).withColumn("vc", every("v_chunks"))
-    right = postings.join(cells, "list_id").withColumn("vc", chunk_of("paper_id", "v_chunks")).withColumn("qc", every("q_chunks"))
-    cell = ["list_id", "qc", "vc"]
-    left = left.select(*cell, "query_id", F.col("embedding").alias("query"), F.col("k").cast("int").alias("k"))
-    right = right.select(*cell, "paper_id", "embedding")
-
-    def score(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-        empty = queries.num_rows == 0 or vectors.num_rows == 0
-        query_ids = ids_of(queries.column("query_id"))
-        ks = ids_of(queries.column("k"))
-        matrix = np.empty((0, dim)) if empty else to_matrix(queries.column("query"), dim)
-        best = BestHits(matrix, k_max)
-        if empty:
-            return pa.Table.from_batches([best.to_batch(query_ids[:0], ks[:0])])
-        best.add(np.arange(len(query_ids)), ids_of(vectors.column("paper_id")), to_matrix(vectors.column("embedding"), dim))
-        return pa.Table.from_batches([best.to_batch(query_ids, ks)])
-
-    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(score, HITS_SCHEMA)
-
-
 def exact_topk(
     queries: DataFrame, corpus: DataFrame, dim: int, k: int = 10, limits: SearchLimits = SearchLimits()
 ) -> DataFrame:
-    """The k nearest corpus vectors of each query, comparing with every corpus vector.
+    """The k nearest corpus vectors of each query by cosine, comparing with every corpus vector.
 
-    ``queries(query_id, embedding)`` may carry its own ``k``; ``corpus(paper_id, embedding)``.
+    ``queries(query_id, embedding)`` may carry its own ``k``, which then holds; ``corpus(paper_id, embedding)``.
     """
-    asked = queries if "k" in queries.columns else queries.withColumn("k", F.lit(k))
-    probes = asked.select(
-        "query_id", "embedding", F.least(F.coalesce(F.col("k"), F.lit(k)), F.lit(k)).alias("k"), F.array(F.lit(0)).alias("lists")
-    )
+    own = F.coalesce(F.col("k").cast("int"), F.lit(k)) if "k" in queries.columns else F.lit(k)
+    probes = queries.select("query_id", "embedding", own.alias("k"), F.array(F.lit(0)).alias("lists"))
     postings = corpus.select("paper_id", "embedding", F.lit(0).alias("list_id"))
-    return search_lists(probes, postings, dim, k, 1, limits)
+    return search_lists(probes, postings, dim, limits)

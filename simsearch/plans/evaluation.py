@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simsearch.operators import relevance as rel
+from simsearch.operators.encode import Encoder, encode_column
 from simsearch.operators.ivf import IvfIndex, embedding_dim, search
 from simsearch.operators.sampling import ir_sample, stratified_ir_split
 from simsearch.operators.topk import SearchLimits, exact_topk
@@ -53,3 +54,20 @@ def evaluate_per_subject(papers: DataFrame, per_subject: int = 10, seed: int = 4
     judged = judged_search(queries, corpus, 10)
     report = rel.subject_report(rel.query_metrics(judged))
     return report.orderBy(F.col("ndcg_at_10").desc(), "subject")
+
+
+def encoded_corpus(papers: DataFrame, encoder: Encoder, text_col: str = "abstract") -> DataFrame:
+    """``(paper_id, embedding, primary_subject)`` of the papers whose text has content, encoded once and stored."""
+    vectors = encode_column(papers, encoder, "paper_id", text_col, keep=("primary_subject",))
+    return checkpoint(vectors.where("embedding IS NOT NULL"))
+
+
+def evaluate_texts(
+    papers: DataFrame, encoder: Encoder, sample_size: int = DEFAULT_SAMPLE, seed: int = 42, query_count: str = "requested"
+) -> DataFrame:
+    """``metrics(metric, value)`` of an encoder: texts -> vectors -> sample -> exact search -> metrics."""
+    return evaluate(encoded_corpus(papers, encoder), sample_size, seed, query_count)
+
+
+def evaluate_texts_per_subject(papers: DataFrame, encoder: Encoder, per_subject: int = 10, seed: int = 42) -> DataFrame:
+    return evaluate_per_subject(encoded_corpus(papers, encoder), per_subject, seed)

@@ -62,9 +62,9 @@ def preprocess(spark: SparkSession, root: str, config: PreprocessConfig, papers:
     else:
         papers = select_papers(papers, config.columns)
     target = Prepared(root, True)
-    # the draws need ids only; rows without a text are dropped where the text is read anyway
-    split = nested_split(papers, config.test_size, config.seed)
-    store.write_splits(usable(split, config.text_field), target.splits)
+    # rows that cannot be used go first, so that the shares hold for what is stored
+    split = nested_split(usable(papers, config.text_field), config.test_size, config.seed)
+    store.write_splits(split, target.splits)
     for name, path, count in (
         ("train", target.train_pairs, config.number_of_pairs),
         ("eval", target.eval_pairs, config.number_of_eval_pairs),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from simsearch.operators.encode import Encoder, encode_column
 from simsearch.operators.ivf import IvfIndex, hydrate, search
-from simsearch.operators.requests import DEFAULT_K, MAX_K, validate, validate_texts
+from simsearch.operators.requests import DEFAULT_K, validate, validate_texts
 from simsearch.sources.tables import REQUESTS, conform
 
 
@@ -29,7 +29,7 @@ def embed_requests(requests: DataFrame, encoder: Encoder) -> DataFrame:
 
 
 def search_requests(
-    requests: DataFrame, index: IvfIndex | None, papers: DataFrame, encoder: Encoder, k_max: int = MAX_K
+    requests: DataFrame, index: IvfIndex | None, papers: DataFrame, encoder: Encoder
 ) -> Answer:
     """Answer every valid request; a bad one only gets its status code.
 
@@ -43,5 +43,5 @@ def search_requests(
         return Answer(checked.limit(0).select("query_id"), statuses)
     good = checked.where(F.col("status_code") == 200)
     queries = encode_column(good, encoder, "query_id", keep=("k", "nprobe")).where("embedding is not null")
-    hits = search(queries, index, k=DEFAULT_K, k_max=k_max)
+    hits = search(queries, index, k=DEFAULT_K)
     return Answer(hydrate(hits, papers), statuses)

@@ -44,8 +44,7 @@ def split_row_counts(spark, folder):
 
 def union_splits(spark, folder):
     splits = sampling.nested_split(papers(spark, folder).select("paper_id", "primary_subject"), TEST_SIZE, SEED)
-    parts = [splits.where(F.col("split") == s) for s in ("train", "eval", "test")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return splits.where(F.col("split").isin("train", "eval", "test"))
 
 
 def eligible_subjects(spark, folder):
@@ -116,7 +115,13 @@ def subjects_array(spark, folder):
 
 
 def clean_label(spark, folder):
-    return papers(spark, folder).select("paper_id", text.clean_label(F.col("primary_subject")).alias("label"))
+    """Labels with tabs, newlines and no-break spaces around their parts."""
+    around = [("\t", "\n"), ("\u00a0", "\u2003 "), ("", "\u00a0(x)\t")]
+    kind = F.pmod("paper_id", F.lit(len(around)))
+    padded = F.concat(F.lit(around[0][0]), "primary_subject", F.lit(around[0][1]))
+    for i, (before, after) in enumerate(around[1:], 1):
+        padded = F.when(kind == i, F.concat(F.lit(before), "primary_subject", F.lit(after))).otherwise(padded)
+    return papers(spark, folder).select("paper_id", text.clean_label(padded).alias("label"))
 
 
 def format_count(spark, folder):
@@ -136,14 +141,6 @@ def encode_documents(spark, folder):
     )
 
 
-def tfidf_classifier(spark, folder):
-    labels = spark.read.parquet(f"{folder}/labels.parquet").select(F.col("doc_id").alias("paper_id"), "quality")
-    labelled = sampling.train_test_split(papers(spark, folder).join(labels, "paper_id"), TEST_SIZE, SEED)
-    model = classify.fit_on_text(labelled.where("split = 'train'"), "quality")
-    predicted = model.transform(labelled.where("split = 'test'"))
-    return classify.classification_report(classify.confusion(predicted, "quality"))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
@@ -151,7 +148,7 @@ QUERIES = {
         positive_pairs_balanced, positive_pairs_weighted, positive_pairs_next_epoch, contrastive_pairs,
         subject_positions, stratified_sample,
         ir_sample_requested, subject_counts, subject_cardinality, top_bottom_subjects, subject_label_counts,
-        never_primary, subjects_array, clean_label, format_count, tfidf, encode_documents, tfidf_classifier,
+        never_primary, subjects_array, clean_label, format_count, tfidf, encode_documents,
     )
 }
 
@@ -196,7 +193,10 @@ UNION ALL SELECT * FROM (SELECT *, 'bottom' AS side FROM c ORDER BY n, primary_s
   SELECT paper_id, s, unnest(range(1, len(s) + 1)) AS i FROM (
     SELECT paper_id, string_split(joined_subjects, '; ') AS s FROM papers))""",
     "clean_label": q.with_(_P)
-    + r"SELECT paper_id, trim(regexp_replace(primary_subject, '\s*\([^)]+\)\s*$', '')) AS label FROM papers",
+    + r"""SELECT paper_id, regexp_replace(regexp_replace(s, '[\pZ\t-\r\x1c-\x1f\x{85}]*\([^)]+\)[\pZ\t-\r\x1c-\x1f\x{85}]*$', ''),
+  '^[\pZ\t-\r\x1c-\x1f\x{85}]+|[\pZ\t-\r\x1c-\x1f\x{85}]+$', '', 'g') AS label
+FROM (SELECT paper_id, CASE paper_id % 3 WHEN 0 THEN chr(9) || primary_subject || chr(10)
+  WHEN 1 THEN chr(160) || primary_subject || chr(8195) || ' ' ELSE primary_subject || chr(160) || '(x)' || chr(9) END AS s FROM papers)""",
     "format_count": q.with_(_P)
     + """SELECT *, CASE WHEN n_chars >= 1000000 THEN (n_chars // 1000000)::VARCHAR || 'M'
   WHEN n_chars >= 1000 THEN (n_chars // 1000)::VARCHAR || 'k' ELSE n_chars::VARCHAR END AS compact

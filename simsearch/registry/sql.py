@@ -55,11 +55,11 @@ roles AS (
   FROM by_ir WHERE rk <= {size})"""
 
 
-def request_roles(size: int) -> str:
-    """A fifth of a sample's size are queries; every other row is the corpus."""
+def request_roles() -> str:
+    """A fifth of the table are queries; every other row is the corpus."""
     return f"""{ranked("by_ir", "papers", 42, "ir")},
 roles AS (
-  SELECT * EXCLUDE (rk, n), CASE WHEN rk <= least({size}, n) // 5 THEN 'query' ELSE 'corpus' END AS role FROM by_ir)"""
+  SELECT * EXCLUDE (rk, n), CASE WHEN rk <= n // 5 THEN 'query' ELSE 'corpus' END AS role FROM by_ir)"""
 
 
 def stratified_sample(size: int) -> str:
@@ -161,7 +161,7 @@ def ivf_hits(queries: str, k: str = "10", nprobe: str = "3") -> str:
 hits AS (
   SELECT query_id, rank, score, paper_id FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, paper_id)::INTEGER AS rank FROM (
-      SELECT p.* EXCLUDE (embedding), a.paper_id, round(list_inner_product(p.embedding, a.embedding), 6) AS score
+      SELECT p.* EXCLUDE (embedding), a.paper_id, round(list_cosine_similarity(p.embedding, a.embedding), 6) AS score
       FROM probed p JOIN assigned a USING (list_id))) WHERE rank <= {k})"""
 
 
@@ -170,7 +170,7 @@ def exact_hits(k: int = 10) -> str:
     return f"""hits AS (
   SELECT query_id, rank, score, paper_id FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, paper_id)::INTEGER AS rank FROM (
-      SELECT q.paper_id AS query_id, c.paper_id, round(list_inner_product(q.embedding, c.embedding), 6) AS score
+      SELECT q.paper_id AS query_id, c.paper_id, round(list_cosine_similarity(q.embedding, c.embedding), 6) AS score
       FROM roles q CROSS JOIN roles c WHERE q.role = 'query' AND c.role = 'corpus')) WHERE rank <= {k})"""
 
 

@@ -39,8 +39,8 @@ def _roles(source):
 
 
 def _requests(source):
-    """The sampled queries, and every other vector of the table."""
-    count = {"_asked": lambda n: F.floor(F.least(F.lit(SAMPLE), n) / 5)}
+    """A fifth of the table as queries, and every other vector."""
+    count = {"_asked": lambda n: F.floor(n / 5)}
     marked = mark_smallest(source, "paper_id", (SEED, "ir"), count)
     asked = marked.where("_asked").select(F.col("paper_id").alias("query_id"), "embedding")
     return asked, marked.where(~F.col("_asked")).drop("_asked")
@@ -78,11 +78,6 @@ def exact_knn(spark, folder):
     return exact_topk(queries, others, ivf.embedding_dim(source))
 
 
-def ivf_train(spark, folder):
-    source = papers(spark, folder)
-    return ivf.list_sizes(ivf.build_index(source, nlist=16, seed=SEED))
-
-
 def ivf_assign(spark, folder):
     return _mean_index(papers(spark, folder)).postings.select("paper_id", "list_id")
 
@@ -121,10 +116,6 @@ def reconstruct_sample(spark, folder):
     )
 
 
-def pca_2d(spark, folder):
-    return _rounded(project.project_2d(papers(spark, folder)), "x", "y")
-
-
 def _points(spark, folder):
     """The first two components stand in for stored coordinates."""
     e = vec.as_double(F.col("embedding"))
@@ -220,27 +211,20 @@ def classification_summary(spark, folder):
     return _rounded(classify.summary(report), "accuracy", "macro_f1")
 
 
-def embedding_classifier(spark, folder):
-    split = sampling.train_test_split(papers(spark, folder), 0.2, SEED)
-    rows = split.withColumn("features", array_to_vector("embedding"))
-    model = classify.fit_on_embeddings(rows.where("split = 'train'"), "label")
-    return classify.classification_report(classify.confusion(model.transform(rows.where("split = 'test'"))))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
-        l2_normalize, embedding_stats, cosine_scores, exact_knn, ivf_train, ivf_assign, ivf_list_sizes, ivf_search,
-        search_with_metadata, index_subjects, index_metadata_mismatch, reconstruct_sample, pca_2d, subject_centroids,
+        l2_normalize, embedding_stats, cosine_scores, exact_knn, ivf_assign, ivf_list_sizes, ivf_search,
+        search_with_metadata, index_subjects, index_metadata_mismatch, reconstruct_sample, subject_centroids,
         draw_order, plot_extent, ir_sample, stratified_ir_split, qrels_counts, ir_metrics, subject_metrics,
         metric_delta, contrastive_loss, hard_pairs, in_batch_loss, confusion_counts, classification_report,
-        classification_summary, embedding_classifier,
+        classification_summary,
     )
 }
 
 _V = q.VECTORS
 _ROLES = q.sample_roles(SAMPLE, "actual")
-_REQUESTS = q.request_roles(SAMPLE)
+_REQUESTS = q.request_roles()
 _INDEX = f"{q.centroids('papers', 'label')},\n{q.assigned('papers')}"
 _ASKED = "asked AS (SELECT paper_id AS query_id, embedding FROM roles WHERE role = 'query')"
 _IVF = q.with_(_V, _REQUESTS, _ASKED, _INDEX, q.ivf_hits("asked", "10", str(NPROBE)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _shipped: set[str] = set()
+_own: dict[str, str] = {}
 
 
 def build_session(app_name: str = "simsearch", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,21 +34,27 @@ def build_session(app_name: str = "simsearch", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared folder; a lost executor cannot lose the result.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``. Only a local session without one (a test,
+    a laptop) gets a temporary folder."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+        folder = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="simsearch-shared-"))
+    return folder.rstrip("/")
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without one
-    (a test, a laptop) gets a temporary folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, for tables that a job writes and reads again."""
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the cluster's shared folder; a lost executor cannot lose the result."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="simsearch-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_base(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

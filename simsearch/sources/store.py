@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 import uuid
+from dataclasses import asdict, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.operators.ivf import DEFAULT_NPROBE, MAX_LISTS, IvfIndex, list_sizes
+from simsearch.operators.ivf import DEFAULT_NPROBE, IvfIndex, list_sizes
 from simsearch.operators.pairs import PairBuilder, PairConfig
-from simsearch.operators.skew import hint_if
-from simsearch.operators.topk import SearchLimits
+from simsearch.operators.topk import LIST_GROUP, LIST_GROUPS, SearchLimits
 from simsearch.sources.tables import read_table
 
 log = logging.getLogger(__name__)
@@ -56,60 +57,75 @@ def load_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_or_create_pairs(papers: DataFrame, builder: PairBuilder, path: str, config: PairConfig) -> DataFrame:
-    """The stored pairs when they exist, else new ones."""
-    try:
-        return load_pairs(papers.sparkSession, path)
-    except FileNotFoundError:
-        return create_pairs(papers, builder, path, config)
+    """The stored pairs of the same builder and configuration, else new ones.
+
+    Every build has its own folder and is named in the manifest when it is whole, so neither another
+    configuration's pairs nor a broken build are ever returned.
+    """
+    spark = papers.sparkSession
+    wanted = {"builder": getattr(builder, "__name__", str(builder)), **asdict(config)}
+    saved = read_manifest(spark, f"{path}/_manifest")
+    if saved is not None and saved["config"] == wanted and exists(spark, f"{path}/{saved['build']}"):
+        return load_pairs(spark, f"{path}/{saved['build']}")
+    build = f"build-{uuid.uuid4().hex[:12]}"
+    made = create_pairs(papers, builder, f"{path}/{build}", config)
+    write_manifest(spark, f"{path}/_manifest", {"config": wanted, "build": build})
+    return made
 
 
 def write_manifest(spark: SparkSession, path: str, config: dict) -> None:
-    row = spark.createDataFrame([(json.dumps(config, sort_keys=True),)], "config string")
-    row.coalesce(1).write.mode("overwrite").text(path)
+    """Add a description; the newest counts, and those before it are never touched, so a reader always finds one."""
+    row = spark.createDataFrame([(json.dumps({"at": time.time_ns(), "config": config}, sort_keys=True),)], "value string")
+    row.coalesce(1).write.mode("append").text(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict | None:
-    """The stored configuration, or None when there is none."""
+    """The newest stored configuration, or None when there is none."""
+    at, config = F.get_json_object("value", "$.at").cast("bigint"), F.get_json_object("value", "$.config")
     try:
-        rows = read_text(spark, path)
-    except FileNotFoundError:
-        return None
-    return json.loads(rows[0]) if rows else None
-
-
-def read_text(spark: SparkSession, path: str) -> list[str]:
-    try:
-        return [r["value"] for r in spark.read.text(path).limit(2).collect()]
+        newest = spark.read.text(path).agg(F.max_by(config, at)).first()[0]
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-            raise FileNotFoundError(path) from e
+            return None
         raise
+    return json.loads(newest) if newest else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a whole table lies there; a folder that a failed write left behind holds none."""
     try:
         read_table(spark, path)
     except FileNotFoundError:
         return False
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in (e.getCondition() or ""):
+            return False
+        raise
     return True
 
 
 def save_index(index: IvfIndex, path: str) -> None:
-    """Postings partitioned by list, centroids, and last the description that makes them loadable.
+    """Postings, centroids, and last the description that makes them loadable.
 
-    Every save gets its own folder under ``path``; a failed save leaves the former index in use.
-    A large list is written by several tasks, a small one by one task into one file.
+    Every save gets its own folder under ``path``; a failed save leaves the former index in use. Lists share at most
+    1,024 folders and are sorted inside their files, so a search opens few folders and few row groups. The
+    assignment is computed once; a large list is written by several tasks.
     """
     build = f"build-{uuid.uuid4().hex[:12]}"
+    spark = index.postings.sparkSession
+    index.postings.write.parquet(f"{path}/{build}/assigned")
+    assigned = read_table(spark, f"{path}/{build}/assigned")
     files = F.ceil(F.greatest(F.col("n_vectors"), F.lit(1)) / VECTORS_PER_FILE)
-    sizes = list_sizes(index).select("list_id", files.cast("int").alias("files"))
-    postings = index.postings.join(hint_if(sizes, index.nlist <= MAX_LISTS), "list_id")
+    sizes = list_sizes(replace(index, postings=assigned)).select("list_id", files.cast("int").alias("files"))
+    postings = assigned.join(F.broadcast(sizes), "list_id")  # one row a list, whose centroids are of a checked size
+    group = F.pmod("list_id", F.lit(LIST_GROUPS)).alias(LIST_GROUP)
     part = F.pmod(F.xxhash64("paper_id"), F.col("files"))
-    spread = postings.repartition("list_id", part).sortWithinPartitions("list_id").drop("files")
-    spread.write.partitionBy("list_id").parquet(f"{path}/{build}/postings")
+    spread = postings.select("paper_id", "embedding", "list_id", group, part.alias("part")).repartition(LIST_GROUP, "list_id", "part")
+    spread = spread.sortWithinPartitions(LIST_GROUP, "list_id").drop("part")
+    spread.write.partitionBy(LIST_GROUP).parquet(f"{path}/{build}/postings")
     index.centroids.write.parquet(f"{path}/{build}/centroids")
     meta = {"dim": index.dim, "nlist": index.nlist, "nprobe": index.nprobe, "build": build}
-    write_manifest(index.postings.sparkSession, f"{path}/meta", meta)
+    write_manifest(spark, f"{path}/meta", meta)
 
 
 def load_index(

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from simsearch.operators.encode import HashingEncoder
 from simsearch.operators.ivf import list_sizes
-from simsearch.operators.pairs import PairConfig, positive_pairs
+from simsearch.operators.pairs import PairConfig, contrastive_pairs, positive_pairs
 from simsearch.plans.indexing import index_splits
 from simsearch.plans.preprocess import Prepared, PreprocessConfig, ensure_data
 from simsearch.sources import store
@@ -93,7 +93,18 @@ def test_missing_tables_are_file_errors(spark, tmp_path):
 def test_cached_pairs_are_reused(spark, papers, tmp_path):
     path = str(tmp_path / "pairs")
     first = store.load_or_create_pairs(papers, positive_pairs, path, PairConfig(20, seed=1)).collect()
-    assert store.load_or_create_pairs(papers, positive_pairs, path, PairConfig(30, seed=2)).collect() == first
+    assert store.load_or_create_pairs(papers, positive_pairs, path, PairConfig(20, seed=1)).collect() == first
+    other = store.load_or_create_pairs(papers, positive_pairs, path, PairConfig(30, seed=2)).collect()
+    assert len(other) == 30
+    assert "label" in store.load_or_create_pairs(papers, contrastive_pairs, path, PairConfig(30, seed=2)).columns
+
+
+def test_a_build_that_broke_off_is_made_again(spark, papers, tmp_path):
+    path = str(tmp_path / "pairs")
+    (tmp_path / "pairs" / "_temporary").mkdir(parents=True)
+    (tmp_path / "pairs" / "_manifest" / "_temporary").mkdir(parents=True)
+    assert not store.exists(spark, path)
+    assert store.load_or_create_pairs(papers, positive_pairs, path, PairConfig(20, seed=1)).count() == 20
 
 
 def test_missing_splits_are_skipped_unless_all_are(spark, papers, tmp_path, caplog):

@@ -174,3 +174,13 @@ def test_tfidf_weights(spark):
         got[r["paper_id"]][r["word"]] = (r["tf"], r["df"], r["weight"])
     assert got[1]["b"] == (2, 1, pytest.approx(2 * math.log(4 / 2)))
     assert got[2]["a"] == (1, 3, pytest.approx(0.0)) and set(got[3]) == {"a"}
+
+
+def test_no_test_row_is_lost_for_its_label(spark):
+    rows = [(i, [float(i % 2), 1.0 - i % 2], "ab"[i % 2]) for i in range(20)]
+    train = classify.features(spark.createDataFrame(rows, "paper_id bigint, embedding array<float>, label string"))
+    odd = [(90, [1.0, 0.0], "b"), (91, [1.0, 0.0], "unseen"), (92, [0.0, 1.0], None)]
+    test = classify.features(spark.createDataFrame(odd, "paper_id bigint, embedding array<float>, label string"))
+    scored = classify.fit_on_embeddings(train, "label").transform(test)
+    assert {r["paper_id"]: r["predicted"] for r in scored.collect()} == {90: "b", 91: "b", 92: "a"}
+    assert classify.summary(classify.classification_report(classify.confusion(scored))).first()["accuracy"] == pytest.approx(1 / 3)

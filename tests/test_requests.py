@@ -165,3 +165,9 @@ def test_log_schema_is_explicit():
     from simsearch.sources.tables import REQUEST_LOG
 
     assert REQUEST_LOG["ts"].dataType == T.TimestampType()
+
+
+def test_nan_is_the_largest_latency(spark):
+    values = spark.createDataFrame([(float(i),) for i in range(9)] + [(float("nan"),), (None,)], "latency double")
+    got = {r["name"]: r["value"] for r in req.values_at_ranks(values, "latency", {"mid": 0.5, "top": 0.95}).collect()}
+    assert got["mid"] == 5.0 and got["top"] != got["top"]

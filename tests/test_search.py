@@ -6,12 +6,13 @@ from simsearch.operators import ivf, skew
 from simsearch.operators.topk import BestHits, SearchLimits, exact_topk
 from simsearch.sources import store
 
-TINY = SearchLimits(broadcast_bytes=1, chunk_vectors=37, chunk_queries=9, broadcast_hits=0)
+TINY = SearchLimits(block_bytes=60_000, broadcast_hits=0)
 
 
 def brute(queries, vectors, k):
     out = {}
     x = vectors.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
     for q in queries:
         scores = np.round(x @ x[q], 6)
         out[q] = [(int(i), float(scores[i])) for i in np.lexsort((np.arange(len(x)), -scores))[:k]]
@@ -44,19 +45,36 @@ def test_every_row_may_be_a_query(embeddings, matrix, limits):
     assert as_dict(hits) == brute(range(400), matrix, 3)
 
 
-def test_each_query_may_have_its_own_k(embeddings):
-    queries = asked(embeddings, [1, 2]).withColumn("k", F.col("query_id").cast("int") + 1)
-    got = as_dict(exact_topk(queries, embeddings, 16, 10))
-    assert len(got[1]) == 2 and len(got[2]) == 3
+def test_each_query_may_have_its_own_k(embeddings, index):
+    queries = asked(embeddings, [1, 2, 15]).withColumn("k", F.col("query_id").cast("int") + 1)
+    for got in (as_dict(exact_topk(queries, embeddings, 16, 10)), as_dict(ivf.search(queries, index, 10, nprobe=8))):
+        assert [len(got[q]) for q in (1, 2, 15)] == [2, 3, 16]
 
 
-def test_unusable_vectors_are_left_out(spark, embeddings):
-    extra = spark.createDataFrame([(900, None), (901, [1.0, 2.0])], "paper_id bigint, embedding array<float>")
-    hits = exact_topk(asked(embeddings, [3]), embeddings.unionByName(extra), 16, 1000)
-    assert hits.count() == 400
-    assert ivf.misfits(embeddings.unionByName(extra), 16).first()["misfits"] == 2
+def test_vectors_without_direction_are_left_out_and_counted(spark, embeddings):
+    extra = spark.createDataFrame([(900, None), (901, [0.0] * 16)], "paper_id bigint, embedding array<float>")
+    both = embeddings.unionByName(extra)
+    assert exact_topk(asked(embeddings, [3]), both, 16, 1000).count() == 400
+    assert ivf.misfits(both, 16).first()["misfits"] == 2
+
+
+def test_a_vector_of_another_length_is_an_error(spark, embeddings):
+    extra = spark.createDataFrame([(901, [1.0, 2.0])], "paper_id bigint, embedding array<float>")
+    both = embeddings.unionByName(extra)
+    assert ivf.misfits(both, 16).first()["misfits"] == 1
     with pytest.raises(ValueError, match="one fixed dimension"):
-        ivf.embedding_dim(embeddings.unionByName(extra), check_all=True)
+        ivf.embedding_dim(both, check_all=True)
+    with pytest.raises(Exception, match="one fixed dimension"):
+        exact_topk(asked(embeddings, [3]), both, 16, 10).collect()
+
+
+def test_scores_are_cosines_whatever_the_length(spark, embeddings):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [5.0, 5.0]), (3, [-3.0, 0.0])], "paper_id bigint, embedding array<float>")
+    queries = spark.createDataFrame([(9, [2.0, 0.0])], "query_id bigint, embedding array<float>")
+    got = [(r["paper_id"], r["score"]) for r in exact_topk(queries, rows, 2, 3).orderBy("rank").collect()]
+    assert got == [(1, 1.0), (2, 0.707107), (3, -1.0)]
+    scaled = embeddings.withColumn("embedding", F.transform("embedding", lambda x: x * (F.col("paper_id") % 7 + 1).cast("float")))
+    assert as_dict(exact_topk(asked(scaled, IDS), scaled, 16, 5)).keys() == as_dict(exact_topk(asked(embeddings, IDS), embeddings, 16, 5)).keys()
 
 
 def test_blocks_do_not_change_the_best(monkeypatch, matrix):
@@ -137,7 +155,7 @@ def test_search_opens_only_the_probed_lists(spark, embeddings, index, tmp_path):
     hits = ivf.search(asked(embeddings, [5]), loaded, 10, nprobe=2)
     plan = hits._jdf.queryExecution().executedPlan().toString()
     line = next(x for x in plan.splitlines() if "PartitionFilters" in x and "list_id" in x)
-    assert "PartitionFilters: [list_id" in line or "PartitionFilters: [isnotnull(list_id" in line
+    assert "list_group" in line.split("PartitionFilters: [")[1].split("]")[0] and "In(list_id" in line.split("PushedFilters")[1]
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
