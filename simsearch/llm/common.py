@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.session import CHECKPOINT_DIR
+from simsearch.session import shared_folder  # noqa: F401
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLICE_BYTES = 8 << 20
@@ -31,14 +29,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose texts hold about 8 MB, so that a task's memory follows its longest row."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts hold about ``limit`` bytes, so that a task's memory follows its longest row."""
     for batch in batches:
         values = batch.column(column)
         start, held = 0, 0
         for i in range(len(values)):
             size = len(values[i].as_buffer() or b"") if values[i].is_valid else 0
-            if held and held + size > SLICE_BYTES:
+            if held and held + size > limit:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size
@@ -46,11 +44,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             yield batch.slice(start)
 
 
-def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
     """Apply ``work`` to bounded batches inside the tasks that hold them; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column):
+        for part in slices(batches, column, limit):
             done = work(part)
             if done is not None and done.num_rows:
                 yield done
@@ -61,13 +59,3 @@ def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.R
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if its counted rows, of a few numbers and short keys each, are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share, under ``spark.checkpoint.dir``; a local session without one gets its own."""
-    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="simsearch-shared-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -37,9 +37,10 @@ from simsearch.session import checkpoint
 
 WINDOW, GRAM = 50, 16
 RUN_WINDOWS = 64
-CHUNK_BYTES = 128 << 10
+CHUNK_BYTES, SLICE = 128 << 10, 2 << 20
 SHARD_ROWS, MERGE_ROWS = 1 << 14, 1 << 17
 PAD = 4
+BUCKETS_A_PARTITION = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -160,20 +161,25 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "high", "code", "doc", "g_doc", "g_code"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {"high": [], "code": [], "doc": []}
+        """One bucket after the other, so that a task holds the hashes of one."""
+        now, held = None, []
         for batch in batches:
-            for name, into in held.items():
-                into += batch.column(name).to_pylist()
-            for doc, code in zip(batch.column("g_doc").to_pylist(), batch.column("g_code").to_pylist(), strict=True):
-                if doc:
-                    doc = np.frombuffer(doc, dtype=np.int64)
-                    yield _flat(doc, np.frombuffer(code, dtype=np.uint64), np.zeros(len(doc), dtype=bool))
-        code = np.frombuffer(b"".join(held.pop("code")), dtype=np.uint64)
-        high = np.frombuffer(b"".join(held.pop("high")), dtype=np.uint16).astype(np.uint64)
-        doc = np.frombuffer(b"".join(held.pop("doc")), dtype=np.int64)
-        if not len(code):
-            return
-        key = high << np.uint64(32) | code & LOW
+            rows = zip(*[batch.column(c).to_pylist() for c in ("bucket", "high", "code", "doc", "g_doc", "g_code")], strict=True)
+            for bucket, high, code, doc, gone_doc, gone_code in rows:
+                if bucket != now and held:
+                    yield settle(held)
+                    held = []
+                now = bucket
+                held.append((high, code, doc))
+                if gone_doc:
+                    gone = np.frombuffer(gone_doc, dtype=np.int64)
+                    yield _flat(gone, np.frombuffer(gone_code, dtype=np.uint64), np.zeros(len(gone), dtype=bool))
+        if held:
+            yield settle(held)
+
+    def settle(held: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+        high, code, doc = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*held, strict=True), (np.uint16, np.uint64, np.int64), strict=True))
+        key = high.astype(np.uint64) << np.uint64(32) | code & LOW
         order = np.lexsort((doc, code, key))
         key, code, doc = key[order], code[order], doc[order]
         start = np.r_[True, key[1:] != key[:-1]]
@@ -184,10 +190,10 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
         documents = np.repeat(np.maximum.reduceat(doc, np.flatnonzero(start)) != np.minimum.reduceat(doc, np.flatnonzero(start)), size(start))
         covered, owner = doc > least, fresh & (fragments > 1) & documents
         keep = covered | owner
-        yield _flat(doc[keep], code[keep], owner[keep])
+        return _flat(doc[keep], code[keep], owner[keep])
 
-    packed = map_slices(texts, "text", summarise, "bucket int, high binary, code binary, doc binary, g_doc binary, g_code binary")
-    found = packed.repartition(buckets, "bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
+    packed = map_slices(texts, "text", summarise, "bucket int, high binary, code binary, doc binary, g_doc binary, g_code binary", SLICE)
+    found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
     pick = lambda owner: F.collect_set(F.when(F.col("owner") == owner, F.col("code")))
     return checkpoint(found.groupBy("doc_id").agg(pick(False).alias("covered"), pick(True).alias("owned")))
 
@@ -223,7 +229,7 @@ def _fragments(owners: DataFrame) -> DataFrame:
         arrays = [pa.array(np.concatenate(x or none), pa.int64()) for x in (key, doc, start)] + [pa.array(body, pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, ["key", "doc_id", "start", "body"])
 
-    return map_slices(owners, "text", work, "key bigint, doc_id bigint, start bigint, body binary")
+    return map_slices(owners, "text", work, "key bigint, doc_id bigint, start bigint, body binary", SLICE)
 
 
 class Shard:
@@ -373,7 +379,7 @@ def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
 def removals(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end, start, end ... in bytes) and, if asked for, kept (the rest)."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # an id that needs no cast gets no alias either: only then do both joins below read one exchange of the texts
     number = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
     texts = docs.select(number, F.coalesce("text", F.lit("")).cast("binary").alias("text"))
@@ -411,7 +417,7 @@ def removals(docs: DataFrame, with_text: bool = True) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<bigint>, kept binary"
-    return map_slices(rows, "text", cut, schema)
+    return map_slices(rows, "text", cut, schema, SLICE)
 
 
 def op4_suffix_dedup(spark, sf_dir):
