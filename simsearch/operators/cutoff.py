@@ -104,13 +104,14 @@ def mark_smallest(
 
 
 def mark_smallest_per_group(
-    df: DataFrame, id_col: str, draw: tuple, wanted: dict[str, Wanted], group: str
+    df: DataFrame, id_col: str, draw: tuple, wanted: dict[str, Wanted], group: str, small: bool | None = None
 ) -> DataFrame:
     """As ``mark_smallest``, with the counts and thresholds taken inside each group.
 
-    Groups in which nothing is wanted, and rows without a group, are left out.
+    Groups in which nothing is wanted, and rows without a group, are left out. ``small`` says whether the
+    groups are few enough to broadcast, if the caller knows.
     """
-    small = few_groups(df, group)
+    small = few_groups(df, group) if small is None else small
     keys = cut_keys(df, id_col, draw, wanted, group=group, small_groups=small)
     keys = keys.select(group, F.col("total").alias("_n"), F.struct(*wanted).alias("_k"))
     row_id, h = F.col(id_col), h48(*draw, F.col(id_col))

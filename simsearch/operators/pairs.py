@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from simsearch.functions.keyed import h48
 from simsearch.operators.positions import index_subjects
-from simsearch.operators.skew import MAX_BROADCAST_GROUPS, hint_if
+from simsearch.operators.skew import MAX_BROADCAST_GROUPS, hint_if, join_group
 
 # a drawn id costs about 50 bytes when broadcast, so this bounds the broadcast near 100 MB
 MAX_BROADCAST_DRAWS = 2_000_000
@@ -66,7 +66,8 @@ def _rows_of_subject(draws: DataFrame, index: Indexed, balanced: bool) -> DataFr
         return draws.withColumn("ix", F.col("r") % index.n_subjects).join(subjects, "ix")
     # r % n_rows falls into one subject's [lo, lo + n). Cut the range into cells so that the
     # lookup is an equi-join on the cell; a large subject simply covers many cells.
-    width = F.lit(max(1, index.n_rows // RANGE_CELLS)).cast("bigint")
+    cells = max(RANGE_CELLS, index.n_subjects)  # about one subject a cell, however many there are
+    width = F.lit(max(1, index.n_rows // cells)).cast("bigint")
     spans = subjects.withColumn("w", width).withColumn(
         "cell",
         F.explode(
@@ -114,14 +115,26 @@ def _two_subjects(papers: DataFrame, index: Indexed, cfg: PairConfig, first: int
     return picked.select("pair_id", "subject", "side", (F.col("lo") + F.col("r") % F.col("n")).alias("pos"))
 
 
+def _join_drawn(lookups: DataFrame, table: DataFrame, key: str, draws: int) -> DataFrame:
+    """Each lookup with the table's row of its key.
+
+    Lookups within their bound are broadcast. Beyond it the table is first reduced to the drawn keys, with how often
+    each is drawn; a key with a large share of the draws (a two-row subject among few subjects) is then
+    broadcast by ``join_group`` instead of meeting its lookups in one task.
+    """
+    if draws <= MAX_BROADCAST_DRAWS:
+        return table.join(F.broadcast(lookups), key)
+    times = lookups.groupBy(key).agg(F.count("*").alias("_times"))
+    return join_group(lookups, table.join(times, key), key, "_times").drop("_times")
+
+
 def attach_both_sides(lookups: DataFrame, table: DataFrame, columns: list[str], draws: int) -> DataFrame:
     """One row per pair with ``<column>1`` and ``<column>2`` from the table's rows.
 
     ``lookups(pair_id, side, paper_id, ...)`` is broadcast while the number of draws is within
-    its bound; beyond it Spark shuffles both sides on the id. The table is scanned once.
+    its bound; beyond it only the drawn papers' texts are shuffled. The table is scanned once.
     """
-    sides = hint_if(lookups, draws <= MAX_BROADCAST_DRAWS)
-    found = table.select("paper_id", *columns).join(sides, "paper_id")
+    found = _join_drawn(lookups, table.select("paper_id", *columns), "paper_id", draws)
     wanted = ["paper_id", *columns]
     extra = [c for c in lookups.columns if c not in ("pair_id", "side", "paper_id")]
     return found.groupBy("pair_id").agg(
@@ -135,7 +148,7 @@ def attach_both_sides(lookups: DataFrame, table: DataFrame, columns: list[str],
 
 
 def _ids(index: Indexed, lookups: DataFrame, draws: int) -> DataFrame:
-    return index.positions.join(hint_if(lookups, draws <= MAX_BROADCAST_DRAWS), "pos").drop("pos")
+    return _join_drawn(lookups, index.positions, "pos", draws).drop("pos")
 
 
 def positive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:

@@ -1,6 +1,6 @@
 """Dense positions for random access by rank, safe for a subject that dominates the table.
 
-The reference picks "row i of subject s". On a distributed table that needs a position for every
+A pair draw picks "row i of subject s". On a distributed table that needs a position for every
 row. Rows are ordered by a keyed draw; the draw's leading bits split each subject into thousands
 of equal slices, slices are counted first, and rows are numbered inside a slice only.
 """

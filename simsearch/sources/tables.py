@@ -49,7 +49,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         return reader.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-            raise FileNotFoundError(f"nothing stored at {path}; run preprocessing first") from e
+            raise FileNotFoundError(f"no table at {path}") from e
         raise
 
 

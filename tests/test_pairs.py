@@ -92,3 +92,15 @@ def test_builders_by_loss_name():
     assert pair_builder("MultipleNegativesRankingLoss") is positive_pairs
     with pytest.raises(ValueError, match="unsupported loss"):
         pair_builder("Contrastive")
+
+
+@pytest.mark.parametrize("build", [pairs.positive_pairs, pairs.contrastive_pairs])
+def test_a_paper_that_is_drawn_all_the_time_changes_nothing(spark, monkeypatch, build):
+    """A two-row subject beside a huge one: past the broadcast bound its papers are hot keys."""
+    rows = [(i, f"text {i}", "tiny" if i < 2 else "huge") for i in range(600)]
+    papers = spark.createDataFrame(rows, "paper_id bigint, abstract string, primary_subject string")
+    config = pairs.PairConfig(num_pairs=300, seed=3)
+    want = sorted(map(tuple, build(papers, config).collect()))
+    monkeypatch.setattr(pairs, "MAX_BROADCAST_DRAWS", 0)
+    monkeypatch.setattr("simsearch.operators.skew.MAX_BROADCAST_GROUPS", 1)
+    assert sorted(map(tuple, build(papers, config).collect())) == want and len(want) == 300
