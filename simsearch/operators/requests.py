@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -18,6 +20,7 @@ MAX_NPROBE = 1024
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 QUANTILE_BUCKETS = 512
 QUANTILE_ERROR = 1 / 4096
+SORT_VALUES = 1_000_000  # distinct values that one task orders
 
 
 def validate(requests: DataFrame, index_loaded: bool = True) -> DataFrame:
@@ -56,40 +59,40 @@ def request_counts(log: DataFrame) -> DataFrame:
 def values_at_ranks(values: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
     """``(name, value)``: the element at 0-based index ``int(n * share)`` of the sorted values.
 
-    Exact. Equal values are counted first, so repeats cost nothing. Approximate quantiles cut
-    the distinct values into even buckets; exact counts then tell which bucket holds the wanted
-    rank, and only that bucket is ordered. NaN is the largest value.
+    Exact. Equal values are counted first, so repeats cost nothing. While more distinct values are left than one task
+    should order, approximate quantiles cut them into even buckets, exact counts tell which bucket holds the
+    wanted rank, and only that bucket is kept. NaN is the largest value.
     """
-    counted = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("c"))
+    counted = values.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("c"))
     distinct = checkpoint(counted)
-    cuts = distinct.approxQuantile("v", [i / QUANTILE_BUCKETS for i in range(1, QUANTILE_BUCKETS)], QUANTILE_ERROR)
-    edges = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    if len(edges) > 2:
-        bucketed = Bucketizer(splits=edges, inputCol="v", outputCol="bucket", handleInvalid="keep").transform(distinct)
-    else:
-        bucketed = distinct.withColumn("bucket", F.lit(0.0))
-    # at most QUANTILE_BUCKETS rows reach these windows
-    sizes = (
-        bucketed.groupBy("bucket")
-        .agg(F.sum("c").alias("rows"))
-        .withColumn("upto", F.sum("rows").over(W.orderBy("bucket")))
-        .withColumn("total", F.sum("rows").over(W.partitionBy()))
-    )
-    ranks = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), F.floor(F.col("total") * F.lit(share)).cast("bigint").alias("at"))
-            for name, share in shares.items()
-        ]
-    )
-    before = F.col("upto") - F.col("rows")
-    targets = (
-        sizes.select("bucket", "rows", "upto", F.inline(ranks))
-        .where((before <= F.col("at")) & (F.col("at") < F.col("upto")))
-        .select("bucket", "name", (F.col("at") - before).alias("offset"))
-    )
-    inside = bucketed.join(F.broadcast(targets), "bucket")  # one row per share
-    upto = F.sum("c").over(W.partitionBy("name").orderBy("v"))
-    return inside.withColumn("upto", upto).where(F.col("upto") > F.col("offset")).groupBy("name").agg(F.min("v").alias("value"))
+    total, n = distinct.agg(F.sum("c"), F.count("*")).first()
+    near = []
+    for name, share in shares.items():
+        rows, offset = _bucket_of(distinct, n, int((total or 0) * share))
+        near.append(rows.select(F.lit(name).alias("name"), "v", "c", F.lit(offset).alias("offset")))
+    upto = F.sum("c").over(W.partitionBy("name").orderBy("v"))  # at most SORT_VALUES rows a name
+    inside = functools.reduce(DataFrame.unionByName, near).withColumn("upto", upto)
+    return inside.where(F.col("upto") > F.col("offset")).groupBy("name").agg(F.min("v").alias("value"))
+
+
+def _bucket_of(distinct: DataFrame, n: int, at: int) -> tuple[DataFrame, int]:
+    """The few distinct values around index ``at``, and the index among them."""
+    rows = distinct
+    while n > SORT_VALUES:
+        cuts = rows.approxQuantile("v", [i / QUANTILE_BUCKETS for i in range(1, QUANTILE_BUCKETS)], QUANTILE_ERROR)
+        edges = [-float("inf"), *sorted(set(cuts)), float("inf")]
+        if len(edges) < 4:
+            break
+        cut = Bucketizer(splits=edges, inputCol="v", outputCol="bucket", handleInvalid="keep").transform(rows)
+        sizes = sorted(cut.groupBy("bucket").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect())
+        for size in sizes:  # one row a bucket
+            if at < size["c"]:
+                break
+            at -= size["c"]
+        rows, n, before = checkpoint(cut.where(F.col("bucket") == size["bucket"]).drop("bucket")), size["n"], n
+        if n == before:
+            break
+    return rows, at
 
 
 def latency_stats(log: DataFrame, percentiles: dict[str, float] = PERCENTILES) -> DataFrame:

@@ -171,3 +171,13 @@ def test_nan_is_the_largest_latency(spark):
     values = spark.createDataFrame([(float(i),) for i in range(9)] + [(float("nan"),), (None,)], "latency double")
     got = {r["name"]: r["value"] for r in req.values_at_ranks(values, "latency", {"mid": 0.5, "top": 0.95}).collect()}
     assert got["mid"] == 5.0 and got["top"] != got["top"]
+
+
+def test_buckets_are_cut_again_until_few_values_are_left(spark, monkeypatch):
+    monkeypatch.setattr(req, "SORT_VALUES", 10)
+    monkeypatch.setattr(req, "QUANTILE_BUCKETS", 4)
+    numbers = [float(i * i % 997) for i in range(700)] + [5.0] * 300 + [float("nan")] * 5
+    shares = {f"p{i}": i / 20 for i in range(20)} | {"last": 0.9999}
+    got = {r["name"]: r["value"] for r in req.values_at_ranks(spark.createDataFrame([(x,) for x in numbers], "v double"), "v", shares).collect()}
+    ordered = sorted(x for x in numbers if x == x) + [float("nan")] * 5
+    assert {n: repr(v) for n, v in got.items()} == {n: repr(ordered[int(len(ordered) * s)]) for n, s in shares.items()}
