@@ -153,6 +153,7 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
             own, gone = new[lo:hi], covered[lo:hi]
             by_doc = np.argsort(doc[lo:hi][own], kind="stable")
             parts = [x[lo:hi][own][by_doc] for x in (key, code, doc)] + [x[lo:hi][gone] for x in (doc, code)]
+            parts[2] = np.diff(parts[2], prepend=0)  # ids in order travel as small steps
             if hi > lo:
                 # the code has the key's low half; the bucket stands for its highest bits, and 16 more bits are sent
                 rows.append((b, *[p.tobytes() for p in ((parts[0] >> np.uint64(32)).astype(np.uint16), parts[1], parts[2], parts[3], parts[4])]))
@@ -178,7 +179,8 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
             yield settle(held)
 
     def settle(held: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
-        high, code, doc = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(zip(*held, strict=True), (np.uint16, np.uint64, np.int64), strict=True))
+        high, code = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(list(zip(*held, strict=True))[:2], (np.uint16, np.uint64), strict=True))
+        doc = np.concatenate([np.cumsum(np.frombuffer(steps, dtype=np.int64)) for _, _, steps in held])
         key = high.astype(np.uint64) << np.uint64(32) | code & LOW
         order = np.lexsort((doc, code, key))
         key, code, doc = key[order], code[order], doc[order]
@@ -189,10 +191,11 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
         fragments = np.repeat(np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(start)), size(start))
         documents = np.repeat(np.maximum.reduceat(doc, np.flatnonzero(start)) != np.minimum.reduceat(doc, np.flatnonzero(start)), size(start))
         covered, owner = doc > least, fresh & (fragments > 1) & documents
-        keep = covered | owner
+        keep = np.flatnonzero(covered | owner)
+        keep = keep[np.argsort(doc[keep], kind="stable")]
         return _flat(doc[keep], code[keep], owner[keep])
 
-    packed = map_slices(texts, "text", summarise, "bucket int, high binary, code binary, doc binary, g_doc binary, g_code binary", SLICE)
+    packed = map_slices(texts, "text", summarise, "bucket int, high binary, code binary, doc binary, g_doc binary, g_code binary")
     found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
     pick = lambda owner: F.collect_set(F.when(F.col("owner") == owner, F.col("code")))
     return checkpoint(found.groupBy("doc_id").agg(pick(False).alias("covered"), pick(True).alias("owned")))
