@@ -19,11 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_bytes(column: str = "text") -> Column:
-    """The UTF-8 bytes of a text; a null text is empty."""
-    return F.coalesce(F.col(column), F.lit("")).cast("binary")
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z only; other scripts keep their case."""
     return F.translate(text, UPPER, LOWER)

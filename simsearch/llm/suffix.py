@@ -152,36 +152,36 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
             lo, hi = np.searchsorted(bucket, [b, b + 1])
             own, gone = new[lo:hi], covered[lo:hi]
             by_doc = np.argsort(doc[lo:hi][own], kind="stable")
-            parts = [x[lo:hi][own][by_doc] for x in (key, code, doc)] + [x[lo:hi][gone] for x in (doc, code)]
-            parts[2] = np.diff(parts[2], prepend=0)  # ids in order travel as small steps
+            parts = [x[lo:hi][own][by_doc] for x in (code, doc)] + [x[lo:hi][gone] for x in (doc, code)]
+            parts[1] = np.diff(parts[1], prepend=0)  # ids in order travel as small steps
             if hi > lo:
-                # the code has the key's low half; the bucket stands for its highest bits, and 16 more bits are sent
-                rows.append((b, *[p.tobytes() for p in ((parts[0] >> np.uint64(32)).astype(np.uint16), parts[1], parts[2], parts[3], parts[4])]))
-        kinds = [pa.int32()] + [pa.binary()] * 5
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "high", "code", "doc", "g_doc", "g_code"])
+                # the code has the key's low half, the bucket stands for its highest bits; keys that agree in both are compared together
+                rows.append((b, *[p.tobytes() for p in parts]))
+        kinds = [pa.int32()] + [pa.binary()] * 4
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "code", "doc", "g_doc", "g_code"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One bucket after the other, so that a task holds the hashes of one."""
         now, held = None, []
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("bucket", "high", "code", "doc", "g_doc", "g_code")], strict=True)
-            for bucket, high, code, doc, gone_doc, gone_code in rows:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("bucket", "code", "doc", "g_doc", "g_code")], strict=True)
+            for bucket, code, doc, gone_doc, gone_code in rows:
                 if bucket != now and held:
                     yield settle(held)
                     held = []
                 now = bucket
-                held.append((high, code, doc))
+                held.append((code, doc))
                 if gone_doc:
                     gone = np.frombuffer(gone_doc, dtype=np.int64)
                     yield _flat(gone, np.frombuffer(gone_code, dtype=np.uint64), np.zeros(len(gone), dtype=bool))
         if held:
             yield settle(held)
 
-    def settle(held: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
-        high, code = (np.frombuffer(b"".join(x), dtype=t) for x, t in zip(list(zip(*held, strict=True))[:2], (np.uint16, np.uint64), strict=True))
-        doc = np.concatenate([np.cumsum(np.frombuffer(steps, dtype=np.int64)) for _, _, steps in held])
-        key = high.astype(np.uint64) << np.uint64(32) | code & LOW
+    def settle(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        code = np.frombuffer(b"".join(codes for codes, _ in held), dtype=np.uint64)
+        doc = np.concatenate([np.cumsum(np.frombuffer(steps, dtype=np.int64)) for _, steps in held])
+        key = code & LOW
         order = np.lexsort((doc, code, key))
         key, code, doc = key[order], code[order], doc[order]
         start = np.r_[True, key[1:] != key[:-1]]
@@ -195,7 +195,7 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
         keep = keep[np.argsort(doc[keep], kind="stable")]
         return _flat(doc[keep], code[keep], owner[keep])
 
-    packed = map_slices(texts, "text", summarise, "bucket int, high binary, code binary, doc binary, g_doc binary, g_code binary")
+    packed = map_slices(texts, "text", summarise, "bucket int, code binary, doc binary, g_doc binary, g_code binary")
     found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
     pick = lambda owner: F.collect_set(F.when(F.col("owner") == owner, F.col("code")))
     return checkpoint(found.groupBy("doc_id").agg(pick(False).alias("covered"), pick(True).alias("owned")))
