@@ -4,8 +4,8 @@ A byte of a document goes if a 50-byte string over it also starts in a document
 
 Dealing out. A 50-byte window is represented by the smallest hash among its 16-byte grams, so equal windows always meet under
 one key. A run is a stretch of windows with one representative; its bytes are a fragment. Each task first merges equal fragments
-of its own batch, then one row a distinct fragment and batch travels (two hashes and the smallest id, never the text). Where a
-key has one fragment in several documents, all but the first lose it whole. Where it has several fragments, the smallest
+of its own batch, then one row a distinct fragment and batch travels (half the key, 64 bits of hash of the fragment's own, and the
+smallest id, never the text). Where a key has one fragment in several documents, all but the first lose it whole. Where it has several fragments, the smallest
 document of each sends the bytes, now keyed by a second representative as well, so that even a very common gram is
 split by what stands around it.
 
@@ -105,10 +105,8 @@ class Runs:
             near = Windows(texts[lo:hi])
             first, last = _runs(near.least, near.inside)
             text, raw = near.text_of(first), near.raw
-            hashes = [digest(raw[s : e + WINDOW]) for s, e in zip(first.tolist(), last.tolist(), strict=True)]
-            key = near.least[first]
-            code = np.array(hashes, dtype=np.uint64) << np.uint64(32) | key & LOW
-            parts.append((text + lo, first - near.base[text], last - near.base[text], key, code))
+            code = np.array([digest(raw[s : e + WINDOW]) for s, e in zip(first.tolist(), last.tolist(), strict=True)], dtype=np.uint64)
+            parts.append((text + lo, first - near.base[text], last - near.base[text], near.least[first], code))
         self.text, self.first, self.last, self.key, self.code = map(np.concatenate, zip(*parts, strict=True))
 
     def borders(self, texts: int) -> np.ndarray:
@@ -130,6 +128,15 @@ def _runs(value: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, last
 
 
+def _packed_ids(ids: np.ndarray) -> bytes:
+    """Sorted ids as steps, all lowest bytes first and all highest last: of small steps one byte each is left when compressed."""
+    return np.diff(ids, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked_ids(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T.copy().view("<i8").ravel())
+
+
 def _flat(doc: np.ndarray, code: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
     arrays = [pa.array(doc, pa.int64()), pa.array(code.view(np.int64), pa.int64()), pa.array(owner, pa.bool_())]
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "code", "owner"])
@@ -152,36 +159,35 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
             lo, hi = np.searchsorted(bucket, [b, b + 1])
             own, gone = new[lo:hi], covered[lo:hi]
             by_doc = np.argsort(doc[lo:hi][own], kind="stable")
-            parts = [x[lo:hi][own][by_doc] for x in (code, doc)] + [x[lo:hi][gone] for x in (doc, code)]
-            parts[1] = np.diff(parts[1], prepend=0)  # ids in order travel as small steps
             if hi > lo:
-                # the code has the key's low half, the bucket stands for its highest bits; keys that agree in both are compared together
-                rows.append((b, *[p.tobytes() for p in parts]))
-        kinds = [pa.int32()] + [pa.binary()] * 4
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "code", "doc", "g_doc", "g_code"])
+                # of the key only the low half travels, the bucket stands for its highest bits; keys that agree in both are compared together
+                sent = [x[lo:hi][own][by_doc] for x in ((key & LOW).astype(np.uint32), code, doc)]
+                rows.append((b, sent[0].tobytes(), sent[1].tobytes(), _packed_ids(sent[2]), *[x[lo:hi][gone].tobytes() for x in (doc, code)]))
+        kinds = [pa.int32()] + [pa.binary()] * 5
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "key", "code", "doc", "g_doc", "g_code"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One bucket after the other, so that a task holds the hashes of one."""
         now, held = None, []
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("bucket", "code", "doc", "g_doc", "g_code")], strict=True)
-            for bucket, code, doc, gone_doc, gone_code in rows:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("bucket", "key", "code", "doc", "g_doc", "g_code")], strict=True)
+            for bucket, key, code, doc, gone_doc, gone_code in rows:
                 if bucket != now and held:
                     yield settle(held)
                     held = []
                 now = bucket
-                held.append((code, doc))
+                held.append((key, code, doc))
                 if gone_doc:
                     gone = np.frombuffer(gone_doc, dtype=np.int64)
                     yield _flat(gone, np.frombuffer(gone_code, dtype=np.uint64), np.zeros(len(gone), dtype=bool))
         if held:
             yield settle(held)
 
-    def settle(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        code = np.frombuffer(b"".join(codes for codes, _ in held), dtype=np.uint64)
-        doc = np.concatenate([np.cumsum(np.frombuffer(steps, dtype=np.int64)) for _, steps in held])
-        key = code & LOW
+    def settle(held: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+        key = np.frombuffer(b"".join(keys for keys, _, _ in held), dtype=np.uint32)
+        code = np.frombuffer(b"".join(codes for _, codes, _ in held), dtype=np.uint64)
+        doc = np.concatenate([_unpacked_ids(steps) for _, _, steps in held])
         order = np.lexsort((doc, code, key))
         key, code, doc = key[order], code[order], doc[order]
         start = np.r_[True, key[1:] != key[:-1]]
@@ -195,7 +201,7 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
         keep = keep[np.argsort(doc[keep], kind="stable")]
         return _flat(doc[keep], code[keep], owner[keep])
 
-    packed = map_slices(texts, "text", summarise, "bucket int, code binary, doc binary, g_doc binary, g_code binary")
+    packed = map_slices(texts, "text", summarise, "bucket int, key binary, code binary, doc binary, g_doc binary, g_code binary")
     found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
     pick = lambda owner: F.collect_set(F.when(F.col("owner") == owner, F.col("code")))
     return checkpoint(found.groupBy("doc_id").agg(pick(False).alias("covered"), pick(True).alias("owned")))

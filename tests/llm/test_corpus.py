@@ -219,6 +219,24 @@ def test_suffix_dedup_equals_brute_force(docs, monkeypatch):
     assert suffix.removals(docs.limit(0)).count() == 0
 
 
+def test_fragments_that_agree_in_half_their_hash_stay_apart(spark):
+    """Two different texts of one window and one key whose 64-bit hashes agree in the low 32 bits remove nothing from each other."""
+    rng = np.random.default_rng(8)
+    letters = rng.integers(97, 123, 1 << 20, dtype=np.uint8)
+    at = int(suffix._grams(letters).argmin())  # a gram that is the smallest of nearly any window it is in
+    tails = rng.integers(97, 123, (1 << 18, suffix.WINDOW - suffix.GRAM), dtype=np.uint8)
+    texts = np.hstack([np.tile(letters[at : at + suffix.GRAM], (len(tails), 1)), tails])
+    half = np.array([xxhash.xxh3_64_intdigest(t.tobytes()) & 0xFFFFFFFF for t in texts], dtype=np.uint64)
+    order = np.argsort(half, kind="stable")
+    same = np.flatnonzero(half[order[1:]] == half[order[:-1]])
+    pairs = [[texts[i].tobytes() for i in order[j : j + 2]] for j in same]
+    rows = [(2 * i + k, pair[k].decode()) for i, pair in enumerate(pairs) for k in (0, 1)]
+    assert rows and {len(set(suffix.Runs(pair).key.tolist())) for pair in pairs} == {1}
+    assert _got(suffix.removals(spark.createDataFrame(rows, "doc_id bigint, text string")).drop("spans", "kept")) == _removed(rows)
+    ids = np.array([-5, 0, 0, 7, 300, 1 << 40], dtype=np.int64)
+    assert suffix._unpacked_ids(suffix._packed_ids(ids)).tolist() == ids.tolist()
+
+
 def test_merged_shards_find_the_windows_that_brute_force_finds():
     rng = random.Random(1)
     for alphabet in ("ab", "abcdefgh"):
