@@ -18,13 +18,20 @@ repeats.
 
 Nulls: a null text is empty; rows without an id are left as they are and remove nothing elsewhere. Rows that repeat an id
 remove nothing from each other. Texts under 50 bytes lose nothing. An empty table gives no rows. Only ``doc_id`` and ``text`` are
-read. A task holds one document, one partition's hashes, and the fragments under one pair of representatives.
+read. A task holds one document, one bucket's hashes, and at most ``GROUP_ROWS`` bytes of different fragments under one key: a
+key with more is cut by a third representative, a fourth and a fifth, and then by whole windows, and dealt out to temporary files
+of its task until each has few enough.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
+import operator
+import struct
+import tempfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +46,7 @@ WINDOW, GRAM = 50, 16
 RUN_WINDOWS = 64
 CHUNK_BYTES, SLICE = 128 << 10, 2 << 20
 SHARD_ROWS, MERGE_ROWS = 1 << 14, 1 << 17
+GROUP_ROWS, MOST_REPRESENTATIVES, SPLIT_BITS = 1 << 20, 5, 5
 PAD = 4
 BUCKETS_A_PARTITION = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -207,6 +215,38 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
     return checkpoint(found.groupBy("doc_id").agg(pick(False).alias("covered"), pick(True).alias("owned")))
 
 
+def _window_keys(near: Windows, representatives: int) -> np.ndarray:
+    """A key of each window: its smallest grams in so many orders or, beyond the most, a hash of all its bytes."""
+    if representatives > MOST_REPRESENTATIVES:
+        n, key = len(near.least), np.zeros(len(near.least), dtype=np.uint64)
+        for at in (0, GRAM, 2 * GRAM, WINDOW - GRAM):  # these grams cover the window
+            key = (key ^ near.grams[at : at + n]) * _B
+            key ^= key >> np.uint64(29)
+        return key
+    key = near.least
+    for i in range(1, representatives):
+        key = key * _B ^ _sliding_min((near.grams ^ np.uint64(i * int(_B) % (1 << 64))) * _A, WINDOW - GRAM + 1)
+    return key
+
+
+def _cut(near: Windows, inside: np.ndarray, representatives: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """The pieces of the windows ``inside``: key, text, first window there, bytes."""
+    value = _window_keys(near, representatives)
+    first, last = _runs(value, inside)
+    text = near.text_of(first)
+    body = [near.raw[s : e + WINDOW] for s, e in zip(first.tolist(), last.tolist(), strict=True)]
+    return value[first].view(np.int64), text, first - near.base[text], body
+
+
+FRAGMENTS = "key bigint, doc_id bigint, start bigint, body binary"
+
+
+def _pieces(key: list[np.ndarray], doc: list[np.ndarray], start: list[np.ndarray], body: list[bytes]) -> pa.RecordBatch:
+    none = [np.zeros(0, dtype=np.int64)]
+    arrays = [pa.array(np.concatenate(x or none), pa.int64()) for x in (key, doc, start)] + [pa.array(body, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, ["key", "doc_id", "start", "body"])
+
+
 def _fragments(owners: DataFrame) -> DataFrame:
     """key, doc_id, start, body: the owned fragments, cut again where a second representative changes."""
 
@@ -227,18 +267,14 @@ def _fragments(owners: DataFrame) -> DataFrame:
             inside = np.cumsum(chosen[:-1]) > 0
             if not inside.any():
                 continue
-            both = near.least * _B ^ _sliding_min((near.grams ^ _B) * _A, WINDOW - GRAM + 1)
-            first, last = _runs(both, inside)
-            text = near.text_of(first)
-            key.append(both[first].view(np.int64))
+            keys, text, first, bodies = _cut(near, inside, 2)
+            key.append(keys)
             doc.append(ids[lo + text])
-            start.append(first - near.base[text])
-            body += [near.raw[s : e + WINDOW] for s, e in zip(first.tolist(), last.tolist(), strict=True)]
-        none = [np.zeros(0, dtype=np.int64)]
-        arrays = [pa.array(np.concatenate(x or none), pa.int64()) for x in (key, doc, start)] + [pa.array(body, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["key", "doc_id", "start", "body"])
+            start.append(first)
+            body += bodies
+        return _pieces(key, doc, start, body)
 
-    return map_slices(owners, "text", work, "key bigint, doc_id bigint, start bigint, body binary", SLICE)
+    return map_slices(owners, "text", work, FRAGMENTS, SLICE)
 
 
 class Shard:
@@ -277,14 +313,15 @@ def interleave(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]
     """The merged order as row numbers (shard after shard, each in its own order) and True where ``depth`` bytes, an even number,
     differ from the row before."""
     sizes = [len(s.order) for s in shards]
+    number = np.uint8 if len(shards) <= 1 << 8 else np.uint16 if len(shards) <= 1 << 16 else np.uint32
     ends = sum(s.ends for s in shards)
-    end_shards = np.repeat(np.arange(len(shards), dtype=np.uint8), [s.ends for s in shards])
+    end_shards = np.repeat(np.arange(len(shards), dtype=number), [s.ends for s in shards])
     symbols = {step: np.concatenate([s.transform[step] for s in shards]) for step in (4, 2)}
     named, fours = np.unique(symbols[4], return_inverse=True)
     small = len(named) <= 1 << 16  # four-byte symbols by their rank, if 16 bits can number them
     symbols = {4: fours.astype(np.uint16) if small else None, 2: symbols[2].astype(np.uint16)}
     rounds = [4] * (depth // 4) + [2] * (depth % 4 // 2) if small else [2] * (depth // 2)
-    shard = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
+    shard = np.repeat(np.arange(len(shards), dtype=number), sizes)
     rows = np.arange(len(shard), dtype=np.int32)
     count = np.arange(len(shard), dtype=np.int32)
     block = np.zeros(len(shard), dtype=np.int32)
@@ -309,7 +346,7 @@ def _repeats(bodies: list[bytes], docs: np.ndarray) -> Iterator[tuple[int, int,
     shards, at = [], 0
     while at < len(bodies):
         end, rows = at, 0
-        while end < len(bodies) and (rows == 0 or rows + len(bodies[end]) <= SHARD_ROWS or len(shards) == 254):
+        while end < len(bodies) and (rows == 0 or rows + len(bodies[end]) + PAD <= SHARD_ROWS):
             rows += len(bodies[end]) + PAD
             end += 1
         shards.append((at, Shard(bodies[at:end])))
@@ -330,47 +367,106 @@ def _repeats(bodies: list[bytes], docs: np.ndarray) -> Iterator[tuple[int, int,
         yield from zip(f[fresh].tolist(), p[fresh].tolist(), p[last].tolist(), strict=True)
 
 
-def _compared(fragments: DataFrame) -> DataFrame:
-    """doc_id, first, last: byte ranges that repeat a smaller document, from the merged transforms of each key's fragments."""
+Group = dict[bytes, tuple[int, list[int]]]  # fragment -> its smallest document, starts there
+RECORD = struct.Struct("<qqB")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: dict[bytes, list[tuple[int, int]]] = {}  # fragment -> its (document, start)s, of whole keys
-        key, group, size = None, {}, 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal pending, size
-            bodies = list(pending)
-            docs = np.array([min(pending[b])[0] for b in bodies], dtype=np.int64)
-            out = []
-            for body, least in zip(bodies, docs.tolist(), strict=True):
-                out += [(d, s, s + len(body)) for d, s in pending[body] if d > least]
-            if len(bodies) > 1:
-                for f, first, last in _repeats(bodies, docs):
-                    least = int(docs[f])
-                    out += [(d, s + first, s + last + WINDOW) for d, s in pending[bodies[f]] if d == least]
+
+def _gathered(rows: Iterator[tuple[int, int, bytes]], group_rows: int, group: Group) -> Iterator[tuple[int, int, int]]:
+    """Fill ``group`` from rows (document, start, fragment) in the order of documents until it is crowded; the ranges of copies."""
+    size = 0
+    for doc, start, body in rows:
+        held = group.get(body)
+        if held is None:
+            group[body] = (doc, [start])
+            size += len(body) + PAD
+            if size > group_rows and len(group) > 1:
+                return
+        elif doc > held[0]:
+            yield doc, start, start + len(body)
+        else:
+            held[1].append(start)
+
+
+def _rows_in(group: Group) -> int:
+    return sum(map(len, group)) + PAD * len(group)
+
+
+def _merge(group: Group) -> Iterator[tuple[int, int, int]]:
+    bodies = list(group)
+    if len(bodies) > 1:
+        for f, first, last in _repeats(bodies, np.array([d for d, _ in group.values()], dtype=np.int64)):
+            doc, starts = group[bodies[f]]
+            yield from ((doc, s + first, s + last + WINDOW) for s in starts)
+
+
+def _dealt(rows: Iterator[tuple[int, int, bytes]], representatives: int) -> list[BinaryIO]:
+    """The rows cut by more representatives and dealt out to temporary files, in which they stay in order."""
+    files = [tempfile.TemporaryFile() for _ in range(1 << SPLIT_BITS)]
+    while chunk := list(itertools.islice(rows, CHUNK_BYTES >> 6)):
+        near = Windows([body for _, _, body in chunk])
+        keys, text, first, bodies = _cut(near, near.inside, representatives)
+        mixed = (keys.view(np.uint64) ^ np.uint64(representatives)) * _A
+        mixed = (mixed ^ mixed >> np.uint64(32)) * _B >> np.uint64(64 - SPLIT_BITS)
+        for at, i, place, body in zip(mixed.tolist(), text.tolist(), first.tolist(), bodies, strict=True):
+            files[at].write(RECORD.pack(chunk[i][0], chunk[i][1] + place, len(body)) + body)
+    return files
+
+
+def _read(file: BinaryIO) -> Iterator[tuple[int, int, bytes]]:
+    file.seek(0)
+    while head := file.read(RECORD.size):
+        doc, start, size = RECORD.unpack(head)
+        yield doc, start, file.read(size)
+
+
+def _crowded(rows: Iterator[tuple[int, int, bytes]], representatives: int, group_rows: int) -> Iterator[tuple[int, int, int]]:
+    """The repeats among more fragments than are merged at once: equal windows meet in one file, and a file with too many is dealt again."""
+    for file in _dealt(rows, representatives):
+        with file:
+            group: Group = {}
+            part = _read(file)
+            yield from _gathered(part, group_rows, group)
+            if len(group) > 1 and _rows_in(group) > group_rows:
+                again = itertools.chain(((d, s, b) for b, (d, starts) in group.items() for s in starts), part)
+                yield from _crowded(again, representatives + 1, group_rows)
+            else:
+                yield from _merge(group)
+
+
+def _ranges(rows: Iterator[tuple[int, int, int, bytes]], group_rows: int) -> Iterator[tuple[int, int, int]]:
+    """(document, first, last) of the repeats among rows (key, document, start, fragment), which come by key and document."""
+    pending: Group = {}  # of whole keys
+    size = 0
+    for _, own in itertools.groupby(rows, key=operator.itemgetter(0)):
+        group: Group = {}
+        members = map(operator.itemgetter(1, 2, 3), own)
+        yield from _gathered(members, group_rows, group)
+        if len(group) < 2:
+            continue
+        held = _rows_in(group)
+        if held > group_rows:
+            again = itertools.chain(((d, s, b) for b, (d, starts) in group.items() for s in starts), members)
+            yield from _crowded(again, 3, group_rows)
+            continue
+        pending.update(group)
+        size += held
+        if size >= MERGE_ROWS:
+            yield from _merge(pending)
             pending, size = {}, 0
-            columns = list(zip(*out, strict=True)) if out else [[]] * 3
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "first", "last"])
+    yield from _merge(pending)
 
-        def close() -> None:
-            nonlocal group, size
-            if len(group) > 1 or any(len(v) > 1 for v in group.values()):
-                pending.update(group)
-                size += sum(map(len, group))
-            group = {}
 
-        for batch in batches:
-            for k, doc, start, body in zip(*[batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "body")], strict=True):
-                if k != key:
-                    close()
-                    key = k
-                    if size >= MERGE_ROWS:
-                        yield flush()
-                group.setdefault(body, []).append((doc, start))
-        close()
-        yield flush()
-
-    dealt = fragments.repartition("key").sortWithinPartitions("key")
+def _compared(fragments: DataFrame, group_rows: int) -> DataFrame:
+    """doc_id, first, last: byte ranges that repeat a smaller document, from the merged transforms of each key's fragments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "doc_id", "start", "body")
+        found = _ranges((row for b in batches for row in zip(*[b.column(c).to_pylist() for c in names], strict=True)), group_rows)
+        while part := list(itertools.islice(found, 1 << 14)):
+            columns = [pa.array(c, pa.int64()) for c in zip(*part, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "last"])
+
+    dealt = fragments.repartition("key").sortWithinPartitions("key", "doc_id")
     return dealt.mapInArrow(run, "doc_id bigint, first bigint, last bigint")
 
 
@@ -385,7 +481,7 @@ def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
     return spans
 
 
-def removals(docs: DataFrame, with_text: bool = True) -> DataFrame:
+def removals(docs: DataFrame, with_text: bool = True, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end, start, end ... in bytes) and, if asked for, kept (the rest)."""
     spark = docs.sparkSession
     buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -395,7 +491,7 @@ def removals(docs: DataFrame, with_text: bool = True) -> DataFrame:
     known = texts.where("doc_id IS NOT NULL")
     flags = _flags(known, buckets)
     owners = known.join(flags.where(F.size("owned") > 0).select("doc_id", "owned"), "doc_id")
-    spans = _compared(_fragments(owners)).groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
+    spans = _compared(_fragments(owners), group_rows).groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     marks = flags.select("doc_id", "covered").join(spans, "doc_id", "left")
     nothing = [F.lit(None).cast("array<bigint>").alias(c) for c in ("covered", "firsts", "lasts")]
     rows = known.join(marks, "doc_id", "left").unionByName(texts.where("doc_id IS NULL").select("*", *nothing))

@@ -255,6 +255,36 @@ def test_merged_shards_find_the_windows_that_brute_force_finds():
             assert found == want
 
 
+def test_no_shard_exceeds_its_rows_whatever_their_number(monkeypatch):
+    rng = random.Random(2)
+    base = "".join(rng.choice("abcd") for _ in range(300)).encode()
+    bodies = list({base[i : i + rng.randint(50, 110)] for i in (rng.randint(0, 190) for _ in range(900))})
+    docs = np.arange(len(bodies))[::-1].copy()
+    least, sizes, whole = {}, [], suffix.Shard.__init__
+    for b, d in zip(bodies, docs.tolist(), strict=True):
+        for i in range(len(b) - 49):
+            least[b[i : i + 50]] = min(d, least.get(b[i : i + 50], d))
+    monkeypatch.setattr(suffix, "SHARD_ROWS", 130)
+    monkeypatch.setattr(suffix.Shard, "__init__", lambda self, own: (whole(self, own), sizes.append(len(self.order)))[0])
+    found = {(f, i) for f, s, e in suffix._repeats(bodies, docs) for i in range(s, e + 1)}
+    assert found == {(f, i) for f, b in enumerate(bodies) for i in range(len(b) - 49) if least[b[i : i + 50]] < docs[f]}
+    assert len(sizes) > 256 and max(sizes) <= 130
+
+
+@pytest.mark.parametrize("group_rows", [1, 1500])
+def test_crowded_keys_are_cut_further_and_lose_nothing(spark, monkeypatch, group_rows):
+    """A passage with other words around it in every document, some of them alike; one row of fragments is crowded already."""
+    rng = random.Random(9)
+    shared, near = _prose(rng, 30), [_prose(rng, 6) for _ in range(4)]
+    rows = [(i, f"{_prose(rng, 9)} {rng.choice(near)} {shared} {rng.choice(near)} {_prose(rng, 9)}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert _got(suffix.removals(df, group_rows=group_rows).drop("spans", "kept")) == _removed(rows)
+    merged, whole = [], suffix._repeats
+    monkeypatch.setattr(suffix, "_repeats", lambda bodies, docs: (merged.append(sum(map(len, bodies)) + 4 * len(bodies)), whole(bodies, docs))[1])
+    list(suffix._ranges(iter([(0, d, 0, t.encode()[:110]) for d, t in rows]), group_rows))
+    assert all(n <= group_rows for n in merged)  # no more is ever merged at once
+
+
 # ---- chat
 
 
