@@ -95,15 +95,16 @@ def refined(rows: DataFrame) -> DataFrame:
 
 
 def _forest(x: np.ndarray, bits: int) -> list[tuple[int, np.ndarray]]:
-    """Stars that join exactly the fingerprints that links inside ``x`` join."""
+    """Links, as stars of near fingerprints, that join exactly the fingerprints that links inside ``x`` join."""
     stars = []
     while len(x) > 1:
         root, x = x[0], x[1:]
         reached = [root]
         while reached and len(x):
-            near = np.bitwise_count(x ^ reached.pop()) <= bits
+            member = reached.pop()
+            near = np.bitwise_count(x ^ member) <= bits
             if near.any():
-                stars.append((root, x[near]))
+                stars.append((member, x[near]))
                 reached.extend(x[near])
                 x = x[~near]
     return stars
@@ -124,8 +125,8 @@ def _links(keys: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarray, np
         a.append(x[near])
         b.append(x[near + d])
     for at, n in zip(borders[sizes > RUN_AT_ONCE], sizes[sizes > RUN_AT_ONCE], strict=True):
-        for root, near in _forest(np.sort(fps[at : at + n]), bits):
-            a.append(np.full(len(near), root, dtype=np.uint64))
+        for member, near in _forest(np.sort(fps[at : at + n]), bits):
+            a.append(np.full(len(near), member, dtype=np.uint64))
             b.append(near)
     empty = np.zeros(0, dtype=np.uint64)
     return np.concatenate([empty, *a]), np.concatenate([empty, *b])
@@ -211,9 +212,10 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes = [shingle_hashes(t, words) for t in batch.column("text").to_pylist()]
         arrays = [batch.column("doc_id"), pa.array(list(map(majority, hashes)), pa.int64()), pa.array(list(map(_bands, hashes)), pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "fp", "bands"])
+        arrays.append(pa.array([len(np.unique(h)) for h in hashes], pa.int64()))
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "fp", "bands", "n"])
 
-    return map_slices(docs, "text", work, "doc_id bigint, fp bigint, bands array<bigint>")
+    return map_slices(docs, "text", work, "doc_id bigint, fp bigint, bands array<bigint>, n bigint")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -232,29 +234,91 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return map_slices(both, "other", work, "a bigint, b bigint")
 
 
+def _apart(members: DataFrame, similarity: float) -> DataFrame:
+    """members(band, key, node, root, n) to all pairs (a, b) under one key whose roots differ and whose ``n`` allow the similarity.
+
+    A task holds three numbers a member of one key and writes its pairs as it goes.
+    """
+
+    def pairs(root: np.ndarray, node: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
+        order = np.argsort(n, kind="stable")
+        root, node, n = root[order], node[order], n[order]
+        ends = np.searchsorted(n * similarity, n, side="right")
+        for i in range(len(n) - 1):
+            far = np.flatnonzero(root[i + 1 : ends[i]] != root[i]) + i + 1
+            yield np.stack([np.full(len(far), node[i]), node[far]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("band", "key", "root", "node", "n")
+        held, ready, size = np.zeros((5, 0), dtype=np.int64), [np.zeros((2, 0), dtype=np.int64)], 0
+
+        def out() -> pa.RecordBatch:
+            nonlocal ready, size
+            found = np.unique(np.sort(np.concatenate(ready, axis=1), axis=0), axis=1)
+            ready, size = [np.zeros((2, 0), dtype=np.int64)], 0
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+
+        def keys(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            new = np.any(rows[:2, 1:] != rows[:2, :-1], axis=0)
+            borders = np.r_[0, np.flatnonzero(new) + 1, rows.shape[1]]
+            crossed = np.r_[0, np.cumsum(rows[2, 1:] != rows[2, :-1])]
+            for lo, hi in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+                if hi > lo and crossed[hi - 1] != crossed[lo]:
+                    for found in pairs(*rows[2:, lo:hi]):
+                        ready.append(found)
+                        size += found.shape[1]
+                        if size >= PART:
+                            yield out()
+
+        for batch in batches:
+            held = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], axis=1)
+            same = np.all(held[:2] == held[:2, -1:], axis=0)
+            end = int(same.argmax()) if same.size else 0  # the last key may go on in the next batch
+            yield from keys(held[:, :end])
+            held = held[:, end:]
+        yield from keys(held)
+        yield out()
+
+    dealt = members.select("band", "key", "root", "node", "n").repartition("band", "key").sortWithinPartitions("band", "key")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def similar_groups(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
     """doc_id, first: the smallest id of each document's group of texts with at least the similarity, by links.
 
     Three bits of 64 are about 0.98 of the shingles, so deletion variants alone cannot reach 0.8. The fingerprint links are
-    joined by candidates from banded least hashes, under each key with that key's smallest document, and every candidate of
-    either kind is checked on the whole texts. Documents without an id are in no group.
+    joined by candidates from banded least hashes, and every candidate of either kind is checked on the whole texts. All that
+    share a band key, or whose fingerprints are joined by links, are candidates of each other. They are checked in two steps:
+    with the key's smallest document first, and then all those that are in different groups still, except pairs whose counts of
+    shingles rule the similarity out. Documents without an id are in no group.
     """
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     rows = checkpoint(_sketches(texts, words))
-    nodes = checkpoint(rows.groupBy("fp", "bands").agg(F.min("doc_id").alias("node")))
+    least = F.min(F.struct("doc_id", "n"))
+    nodes = checkpoint(rows.groupBy("fp", "bands").agg(least.alias("_least")).select("fp", "bands", F.col("_least.doc_id").alias("node"), F.col("_least.n").alias("n")))
     by_fp = nodes.groupBy("fp").agg(F.min("node").alias("least"))
-    linked = links(nodes.select("fp").distinct(), bits)
+    linked = checkpoint(links(nodes.select("fp").distinct(), bits))
     pick = lambda c, name: by_fp.select(F.col("fp").alias(c), F.col("least").alias(name))
-    pairs = linked.join(pick("a", "x"), "a").join(pick("b", "y"), "b").select("x", "y")
-    pairs = pairs.union(nodes.join(by_fp, "fp").select("least", "node"))
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = keyed.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
-    pairs = pairs.union(keyed.join(shared, ["band", "key"]).select("least", "node")).toDF("a", "b").where("a <> b")
-    pairs = checkpoint(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    roots = components(_similar(pairs, texts, words, similarity))
-    placed = nodes.join(roots, "node", "left").select("fp", "bands", F.col("node").alias("own"), F.coalesce("root", "node").alias("root"))
-    smallest = placed.groupBy("root").agg(F.min("own").alias("first"))
-    return rows.join(placed.join(smallest, "root").select("fp", "bands", "first"), ["fp", "bands"]).select("doc_id", "first")
+    near = linked.join(pick("a", "x"), "a").join(pick("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    around = nodes.join(components(linked).withColumnRenamed("node", "fp"), "fp", "left").select("node", "n", F.lit(-1).alias("band"), F.coalesce("root", "fp").alias("key"))
+    keyed = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).union(around)
+    shared = keyed.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1")
+    stars = checkpoint(keyed.join(shared, ["band", "key"]).where("least <> node").select("band", "key", "least", "node", "n", "members"))
+    tried = checkpoint(stars.select(F.col("least").alias("a"), F.col("node").alias("b")).union(near).distinct())
+    roots = checkpoint(components(_similar(tried, texts, words, similarity)))
+    rest = stars.where("members > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    untried = checkpoint(_apart(rest, similarity).join(tried, ["a", "b"], "left_anti"))
+    grouped = nodes.join(roots, "node", "left").select("fp", "bands", "node", F.coalesce("root", "node").alias("root"))
+    if not untried.isEmpty():
+        group = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        found = _similar(untried, texts, words, similarity).join(group("a"), "a", "left").join(group("b"), "b", "left")
+        over = components(found.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+        over = over.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        grouped = grouped.join(over, "root", "left").select("fp", "bands", "node", F.coalesce("top", "root").alias("root"))
+    smallest = grouped.groupBy("root").agg(F.min("node").alias("first"))
+    return rows.join(grouped.join(smallest, "root").select("fp", "bands", "first"), ["fp", "bands"]).select("doc_id", "first")
 
 
 def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY) -> DataFrame:

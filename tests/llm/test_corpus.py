@@ -128,6 +128,33 @@ def test_keep_one_keeps_one_of_each_similar_group(docs):
     assert kept.where("doc_id IS NULL").count() == 2
 
 
+def test_documents_similar_to_each_other_but_not_to_their_keys_smallest_are_joined(spark):
+    """b and c are similar; a, with the smallest id, shares nearly every key of both and is just below the similarity."""
+    rng = random.Random(12)
+    rows, want = [], set()
+    for i in range(0, 30, 3):
+        b = [f"w{rng.getrandbits(40):x}" for _ in range(100)]
+        c, a = list(b), list(b)
+        c[30], c[60] = "new", "other"
+        a[30], a[60], a[99] = "else", "again", "end"
+        rows += [(i + k, " ".join(t)) for k, t in enumerate((a, b, c))]
+        want |= {(i, i), (i + 1, i + 1), (i + 2, i + 1)}
+    # a chain: each revision is similar to the next one only
+    text = [f"v{rng.getrandbits(40):x}" for _ in range(100)]
+    for i in range(100, 112):
+        rows.append((i, " ".join(text)))
+        want.add((i, 100))
+        for place in (8 * (i - 100) % 90 + 5, (8 * (i - 100) + 45) % 90 + 5):
+            text[place] = f"r{rng.getrandbits(40):x}"
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert set(map(tuple, simhash.similar_groups(df).collect())) == want
+
+
+def test_links_are_between_near_fingerprints():
+    chain = np.array([0b0, 0b111, 0b111111, 0b111111111], dtype=np.uint64)
+    assert all((np.bitwise_count(near ^ member) <= 3).all() for member, near in simhash._forest(chain, 3))
+
+
 # ---- decontamination
 
 
