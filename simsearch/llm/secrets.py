@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 
 import pyarrow as pa
@@ -80,13 +81,15 @@ def linked(text: str, base: list[Span], weak: list[Span]) -> list[Span]:
     for role, parts in by_role.items():
         parts.sort()
         ends = sorted((e, s) for s, e in parts)
-        index[role] = ([s for s, _ in parts], [e for e, _ in ends])
+        index[role] = ([s for s, _ in parts], [e for e, _ in ends], list(itertools.accumulate((e for _, e in parts), max)))
 
     def near(span: Span, role: str) -> bool:
-        part_starts, part_ends = index[role]
+        part_starts, part_ends, reached = index[role]
         after = bisect.bisect_left(part_starts, span[0])
         if after < len(part_starts) and part_starts[after] - span[1] <= REACH and scope(part_starts[after]) == scope(span[0]):
             return True
+        if after and reached[after - 1] > span[1]:
+            return True  # a part around the span; no part goes over the end of a line
         before = bisect.bisect_right(part_ends, span[1]) - 1
         return before >= 0 and span[0] - part_ends[before] <= REACH and scope(part_ends[before] - 1) == scope(span[0])
 

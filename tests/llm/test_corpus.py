@@ -360,6 +360,12 @@ def test_weak_parts_count_only_together(spark):
     assert redacted[7]["text"] == "[ASSIGN] [IDENT]" and redacted[7]["n_chars"] == 16 and redacted[6]["text"] is None and redacted[1]["text"] == texts[1]
 
 
+def test_a_weak_part_inside_another_is_linked_to_it():
+    url = f"see https://host.example/x?k={'aB3' * 8}&v=1 there"
+    assert [(url[s:e], kind) for s, e, kind in secrets.spans_of(url.encode())] == [(url.split()[1], "endpoint"), ("aB3" * 8, "opaque")]
+    assert secrets.spans_of(f"see {'aB3' * 8} there".encode()) == []
+
+
 def test_scan_equals_plain_patterns_on_all_texts(docs):
     for r in secrets.scan(docs).collect():
         assert r["base_sha256"] and r["n_assign"] >= 0
