@@ -14,8 +14,8 @@ Groups are the connected components of the links, found by contraction; a group'
 
 Nulls: a null text has no words and fingerprint zero, as any text without words, and is linked like any other. A null id is never
 a group's smallest id unless all ids of the group are null. Repeated rows get a row each. An empty table gives no rows. Only
-``doc_id`` and ``text`` are read; ``keep_one``, which the pipeline uses with five words and a similarity of 0.8, returns every
-column.
+``doc_id`` and ``text`` are read; ``keep_one``, the pipeline's stage, returns every column. Texts are read whole, however long, in
+batches of bounded bytes. Ties: of equal ids the text with the smaller hash counts as first.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simsearch.llm.common import bounded_broadcast, map_slices, table
@@ -64,15 +64,25 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return majority(shingle_hashes(text, words))
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp."""
+def _mark() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
+
+
+def _fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, mark (a hash of the text, which tells texts with one id apart), fp."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = [fingerprint(t, words) for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(fps, pa.int64())], ["doc_id", "mark", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return map_slices(rows, "text", work, "doc_id bigint, fp bigint")
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _mark(), text)
+    return map_slices(rows, "text", work, "doc_id bigint, mark bigint, fp bigint")
+
+
+def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, fp."""
+    return _fingerprints(docs, words).select("doc_id", "fp")
 
 
 HALF = "shiftrightunsigned(fp, 32 * (v div 32)) & 4294967295L"
@@ -171,164 +181,37 @@ def links(fps: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
     return light.union(compare(refined(keyed.join(hot_keys, "key", "left_semi")), bits))
 
 
+def _rooted(distinct: DataFrame, bits: int, hot: int) -> DataFrame:
+    """distinct(fp, first) with ``root``, one fingerprint of each group that names it."""
+    roots = components(links(distinct.select("fp"), bits, hot))
+    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return checkpoint(joined.select("fp", "first", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """doc_id, fp, component_id: one row a document."""
     rows = checkpoint(fingerprints(docs, words))
-    distinct = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(distinct.select("fp"), bits, hot))
-    placed = checkpoint(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    placed = _rooted(checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("first"))), bits, hot)
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = placed.join(smallest, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-SIMILARITY, STAGE_WORDS = 0.8, 5
-BANDS, BAND_ROWS = 21, 6
-
-
-def _bands(hashes: np.ndarray) -> list[int]:
-    """Keys that two texts of similarity 0.8 share with probability 0.998: the least hash in each of 126 ranges, six to a key."""
-    bins = BANDS * BAND_ROWS
-    if not len(hashes):
-        return [0] * BANDS
-    ordered = np.sort(hashes)
-    borders = (np.arange(bins, dtype=np.uint64) << np.uint64(57)) if bins <= 128 else None
-    at = np.searchsorted(ordered, borders)
-    last = np.searchsorted(ordered, borders + np.uint64((1 << 57) - 1), side="right")
-    filled = np.flatnonzero(at < last)
-    if not len(filled):  # all hashes lie beyond the ranges in use
-        filled, at = np.array([0]), np.zeros(bins, dtype=np.int64)
-    pick = filled[np.searchsorted(filled, np.arange(bins)) % len(filled)]  # an empty range takes the next filled one
-    far = (pick - np.arange(bins)).astype(np.uint64)
-    values = (ordered[at[pick]] + far) * np.uint64(0x9E3779B97F4A7C15)
-    keys = np.zeros(BANDS, dtype=np.uint64)
-    for i in range(BAND_ROWS):
-        keys = (keys ^ values[i::BAND_ROWS]) * np.uint64(0xD6E8FEB86659FD93)
-        keys ^= keys >> np.uint64(32)
-    return keys.view(np.int64).tolist()
-
-
-def _sketches(docs: DataFrame, words: int) -> DataFrame:
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hashes = [shingle_hashes(t, words) for t in batch.column("text").to_pylist()]
-        arrays = [batch.column("doc_id"), pa.array(list(map(majority, hashes)), pa.int64()), pa.array(list(map(_bands, hashes)), pa.list_(pa.int64()))]
-        arrays.append(pa.array([len(np.unique(h)) for h in hashes], pa.int64()))
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "fp", "bands", "n"])
-
-    return map_slices(docs, "text", work, "doc_id bigint, fp bigint, bands array<bigint>, n bigint")
-
-
-def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have at least the similarity, by their whole texts."""
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for x, y in zip(batch.column("text").to_pylist(), batch.column("other").to_pylist(), strict=True):
-            x, y = np.unique(shingle_hashes(x, words)), np.unique(shingle_hashes(y, words))
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(common >= similarity * (len(x) + len(y) - common))
-        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), "text"), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other")), "b").select("a", "b", "text", "other")
-    return map_slices(both, "other", work, "a bigint, b bigint")
-
-
-def _apart(members: DataFrame, similarity: float) -> DataFrame:
-    """members(band, key, node, root, n) to all pairs (a, b) under one key whose roots differ and whose ``n`` allow the similarity.
-
-    A task holds three numbers a member of one key and writes its pairs as it goes.
-    """
-
-    def pairs(root: np.ndarray, node: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
-        order = np.argsort(n, kind="stable")
-        root, node, n = root[order], node[order], n[order]
-        ends = np.searchsorted(n * similarity, n, side="right")
-        for i in range(len(n) - 1):
-            far = np.flatnonzero(root[i + 1 : ends[i]] != root[i]) + i + 1
-            yield np.stack([np.full(len(far), node[i]), node[far]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("band", "key", "root", "node", "n")
-        held, ready, size = np.zeros((5, 0), dtype=np.int64), [np.zeros((2, 0), dtype=np.int64)], 0
-
-        def out() -> pa.RecordBatch:
-            nonlocal ready, size
-            found = np.unique(np.sort(np.concatenate(ready, axis=1), axis=0), axis=1)
-            ready, size = [np.zeros((2, 0), dtype=np.int64)], 0
-            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
-
-        def keys(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            nonlocal size
-            new = np.any(rows[:2, 1:] != rows[:2, :-1], axis=0)
-            borders = np.r_[0, np.flatnonzero(new) + 1, rows.shape[1]]
-            crossed = np.r_[0, np.cumsum(rows[2, 1:] != rows[2, :-1])]
-            for lo, hi in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
-                if hi > lo and crossed[hi - 1] != crossed[lo]:
-                    for found in pairs(*rows[2:, lo:hi]):
-                        ready.append(found)
-                        size += found.shape[1]
-                        if size >= PART:
-                            yield out()
-
-        for batch in batches:
-            held = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], axis=1)
-            same = np.all(held[:2] == held[:2, -1:], axis=0)
-            end = int(same.argmax()) if same.size else 0  # the last key may go on in the next batch
-            yield from keys(held[:, :end])
-            held = held[:, end:]
-        yield from keys(held)
-        yield out()
-
-    dealt = members.select("band", "key", "root", "node", "n").repartition("band", "key").sortWithinPartitions("band", "key")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def similar_groups(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY, bits: int = BITS) -> DataFrame:
-    """doc_id, first: the smallest id of each document's group of texts with at least the similarity, by links.
-
-    Three bits of 64 are about 0.98 of the shingles, so deletion variants alone cannot reach 0.8. The fingerprint links are
-    joined by candidates from banded least hashes, and every candidate of either kind is checked on the whole texts. All that
-    share a band key, or whose fingerprints are joined by links, are candidates of each other. They are checked in two steps:
-    with the key's smallest document first, and then all those that are in different groups still, except pairs whose counts of
-    shingles rule the similarity out. Documents without an id are in no group.
-    """
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    rows = checkpoint(_sketches(texts, words))
-    least = F.min(F.struct("doc_id", "n"))
-    nodes = checkpoint(rows.groupBy("fp", "bands").agg(least.alias("_least")).select("fp", "bands", F.col("_least.doc_id").alias("node"), F.col("_least.n").alias("n")))
-    by_fp = nodes.groupBy("fp").agg(F.min("node").alias("least"))
-    linked = checkpoint(links(nodes.select("fp").distinct(), bits))
-    pick = lambda c, name: by_fp.select(F.col("fp").alias(c), F.col("least").alias(name))
-    near = linked.join(pick("a", "x"), "a").join(pick("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    around = nodes.join(components(linked).withColumnRenamed("node", "fp"), "fp", "left").select("node", "n", F.lit(-1).alias("band"), F.coalesce("root", "fp").alias("key"))
-    keyed = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).union(around)
-    shared = keyed.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1")
-    stars = checkpoint(keyed.join(shared, ["band", "key"]).where("least <> node").select("band", "key", "least", "node", "n", "members"))
-    tried = checkpoint(stars.select(F.col("least").alias("a"), F.col("node").alias("b")).union(near).distinct())
-    roots = checkpoint(components(_similar(tried, texts, words, similarity)))
-    rest = stars.where("members > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    untried = checkpoint(_apart(rest, similarity).join(tried, ["a", "b"], "left_anti"))
-    grouped = nodes.join(roots, "node", "left").select("fp", "bands", "node", F.coalesce("root", "node").alias("root"))
-    if not untried.isEmpty():
-        group = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        found = _similar(untried, texts, words, similarity).join(group("a"), "a", "left").join(group("b"), "b", "left")
-        over = components(found.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
-        over = over.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        grouped = grouped.join(over, "root", "left").select("fp", "bands", "node", F.coalesce("top", "root").alias("root"))
-    smallest = grouped.groupBy("root").agg(F.min("node").alias("first"))
-    return rows.join(grouped.join(smallest, "root").select("fp", "bands", "first"), ["fp", "bands"]).select("doc_id", "first")
-
-
-def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group, that with the smallest id, with the columns it came with. Of rows that repeat an id one
-    stays; a document without an id belongs to no group and stays."""
-    kept = similar_groups(docs, words, similarity).where("doc_id = first").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_text"))
-    order = Window.partitionBy("_id").orderBy("_text")
-    ranked = rows.join(kept, "_id").select("_row", F.row_number().over(order).alias("_n")).where("_n = 1").select("_row.*")
-    return ranked.unionByName(docs.where("doc_id IS NULL"))
+def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS, hot: int = HOT) -> DataFrame:
+    """One document of each group, with the columns it came with: that with the smallest id, of equal ids the one whose text has the
+    smaller hash, of rows that repeat both the one whose other columns have it. A row is known by its id and text, so texts that
+    share an id are judged apart. A document without an id comes last in its group."""
+    rows = checkpoint(_fingerprints(docs, words))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    distinct = checkpoint(rows.groupBy("fp").agg(F.min(order).alias("first")))
+    kept = _rooted(distinct, bits, hot).groupBy("root").agg(F.min("first").alias("first"))
+    # a missing id is a name of its own in the keys, so that both sides are dealt out by plain equality
+    name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    kept = kept.select(name(F.col("first.doc_id")).alias("_id"), F.col("first.mark").alias("_mark"))
+    whole = docs.select(F.struct("*").alias("_row"), name(F.col("doc_id").cast("bigint")).alias("_id"), _mark().alias("_mark"))
+    again = Window.partitionBy("_id", "_mark").orderBy(F.xxhash64(F.to_json("_row")))
+    ranked = whole.join(kept, ["_id", "_mark"]).select("_row", F.row_number().over(again).alias("_n"))
+    return ranked.where("_n = 1").select("_row.*")
 
 
 def op1_simhash_dedup(spark, sf_dir):

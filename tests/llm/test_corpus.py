@@ -111,43 +111,26 @@ def test_components_of_chains_stars_and_nothing(spark):
     assert graph.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-def test_keep_one_keeps_one_of_each_similar_group(docs):
-    def near(i, j):
-        x, y = (set(_shingles(rows[k][1])) for k in (i, j))
-        return len(x & y) >= 0.8 * len(x | y)
-
-    def _shingles(text):
-        w = SPACE.findall(_lower(text))
-        return [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
-
-    rows = [r for r in _rows() if r[0] is not None]
-    groups = _components([r[0] for r in rows], near)
+def test_keep_one_keeps_one_of_each_group(docs):
+    rows = _rows()
+    fps = [_fp(r[1]) for r in rows]
+    groups = _components(list(range(len(rows))), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 3)
+    ids = {}
+    for row, group in zip(rows, groups, strict=True):
+        ids.setdefault(group, []).append(row[0])
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r[0] for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(set(groups))
-    assert kept.where("doc_id IS NULL").count() == 2
-
-
-def test_documents_similar_to_each_other_but_not_to_their_keys_smallest_are_joined(spark):
-    """b and c are similar; a, with the smallest id, shares nearly every key of both and is just below the similarity."""
-    rng = random.Random(12)
-    rows, want = [], set()
-    for i in range(0, 30, 3):
-        b = [f"w{rng.getrandbits(40):x}" for _ in range(100)]
-        c, a = list(b), list(b)
-        c[30], c[60] = "new", "other"
-        a[30], a[60], a[99] = "else", "again", "end"
-        rows += [(i + k, " ".join(t)) for k, t in enumerate((a, b, c))]
-        want |= {(i, i), (i + 1, i + 1), (i + 2, i + 1)}
-    # a chain: each revision is similar to the next one only
-    text = [f"v{rng.getrandbits(40):x}" for _ in range(100)]
-    for i in range(100, 112):
-        rows.append((i, " ".join(text)))
-        want.add((i, 100))
-        for place in (8 * (i - 100) % 90 + 5, (8 * (i - 100) + 45) % 90 + 5):
-            text[place] = f"r{rng.getrandbits(40):x}"
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    assert set(map(tuple, simhash.similar_groups(df).collect())) == want
+    want = [min((i for i in own if i is not None), default=None) for own in ids.values()]
+    assert sorted((r[0] for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_keep_one_tells_texts_with_one_id_apart(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(60)) for x in "abc")
+    rows = [(1, a, "x"), (1, b, "x"), (2, c, "x"), (2, c, "y"), (3, a, "x"), (None, b, "x"), (None, "other words only here", "x"), (None, "other words only here", "z")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, `odd name` string"))
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted([(1, a), (1, b), (2, c), (None, "other words only here")], key=repr)
+    again = simhash.keep_one(spark.createDataFrame(rows[::-1], "doc_id bigint, text string, `odd name` string").repartition(5))
+    assert _got(again) == _got(kept)
 
 
 def test_links_are_between_near_fingerprints():

@@ -38,7 +38,7 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
         after = spark.read.parquet(f"{tmp_path}/{i}")
         assert sorted(after.columns) == sorted(docs.columns) and after.join(docs, "doc_id", "left_anti").count() == 0
         docs = after
-    assert simhash.similar_groups(docs).where("doc_id <> first").count() == 0
+    assert simhash.near_duplicates(docs).where("doc_id <> component_id").count() == 0
     assert decontaminate.contamination(docs, table(spark, FOLDER, "benchmark"), "doc_id").where("n_hit > 0").count() == 0
     assert secrets.scan(docs).where("n_assign + n_access + n_hex > 0").count() == 0
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
