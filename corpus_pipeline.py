@@ -1,7 +1,7 @@
 """The corpus pipeline: each stage works on the documents that the stage before kept.
 
-Quality rules drop what they reject; of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the
-smallest id stays; documents with a benchmark passage are dropped; secrets are replaced by their kind; what is left is packed.
+Quality rules drop what they reject; of near-duplicates (fingerprints of three-word shingles that chains of at most three
+differing bits join) the document with the smallest id stays; documents with a benchmark passage are dropped; secrets are replaced by their kind; what is left is packed.
 """
 
 from __future__ import annotations
