@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and SQL where SQL can express them."""
 
-from simsearch.llm import chat, decontaminate, kdshard, packing, quality, secrets, simhash, suffix, urlfilter, warc
+from simsearch.llm import bisector, chat, decontaminate, kdshard, minhash, packing, quality, secrets, simhash, suffix, urlfilter, warc, whitening
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_url_filter": urlfilter.op8_url_filter,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_warc": warc.op10_warc,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_odd_sketch_dedup": minhash.op12_odd_sketch_dedup,
+    "op13_bisector_clusters": bisector.op13_bisector_clusters,
 }
 ORACLE = {
     "op2_decontaminate": decontaminate.SQL,
@@ -21,4 +24,6 @@ ORACLE = {
     "op8_url_filter": urlfilter.SQL,
     "op9_quality_rules": quality.SQL,
     "op10_warc": warc.SQL,
+    "op12_odd_sketch_dedup": minhash.SQL,
+    "op13_bisector_clusters": bisector.SQL,
 }
