@@ -51,6 +51,7 @@ PAD = 4
 BUCKETS_A_PARTITION = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LOW = np.uint64(0xFFFFFFFF)
+NO_SIDE, ANY_SIDE = 0, 0xFFFF
 
 
 def _grams(buf: np.ndarray) -> np.ndarray:
@@ -103,19 +104,44 @@ class Windows:
         return np.searchsorted(self.base, places, side="right") - 1
 
 
+def _sides(near: Windows, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sixteen bits of hash of what stands on the left and on the right of each run's smallest gram.
+
+    A window holds 34 bytes beside the gram, so two runs that share a window have the 17 bytes on one side of it in common. A run
+    without a window that reaches so far on a side says ``NO_SIDE`` there; one that holds its gram twice says ``ANY_SIDE`` on both.
+    """
+    value, reach = near.least[first], WINDOW - GRAM
+    place, found = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
+    also = np.zeros(len(first), dtype=np.int64)
+    for d in range(reach + 1):  # the gram lies in the first window and in the last
+        hit = near.grams[first + d] == value
+        place[hit] = first[hit] + d
+        found += hit
+        also += near.grams[last + d] == value
+    once = (found == 1) & (also == 1) & (place >= last)
+    n = len(near.grams)
+    side = lambda at: (near.grams[np.clip(at, 0, max(n - 1, 0))] % np.uint64(ANY_SIDE - 1)).astype(np.uint16) + np.uint16(1)
+    middle = place - reach // 2
+    left, right = (np.where(there, side(at), NO_SIDE) for there, at in ((first <= middle, place - GRAM), (last >= middle, place + GRAM)))
+    return np.where(once, left, ANY_SIDE).astype(np.uint16), np.where(once, right, ANY_SIDE).astype(np.uint16)
+
+
 class Runs:
-    """The runs of some texts: the text each lies in, its first and last window there, its key and its fragment's hash."""
+    """The runs of some texts: the text each lies in, its first and last window there, its key and its fragment's hash, and
+    (if asked for) the hashes beside its gram."""
 
-    def __init__(self, texts: list[bytes]):
-        parts: list[tuple[np.ndarray, ...]] = [(np.zeros(0, dtype=np.int64),) * 3 + (np.zeros(0, dtype=np.uint64),) * 2]
+    def __init__(self, texts: list[bytes], sides: bool = False):
+        none = [np.zeros(0, dtype=kind) for kind in (np.int64, np.uint64, np.uint16)]
+        parts: list[tuple[np.ndarray, ...]] = [(none[0],) * 3 + (none[1],) * 2 + (none[2],) * 2]
         digest = xxhash.xxh3_64_intdigest
         for lo, hi in _chunks(texts):
             near = Windows(texts[lo:hi])
             first, last = _runs(near.least, near.inside)
             text, raw = near.text_of(first), near.raw
             code = np.array([digest(raw[s : e + WINDOW]) for s, e in zip(first.tolist(), last.tolist(), strict=True)], dtype=np.uint64)
-            parts.append((text + lo, first - near.base[text], last - near.base[text], near.least[first], code))
-        self.text, self.first, self.last, self.key, self.code = map(np.concatenate, zip(*parts, strict=True))
+            beside = _sides(near, first, last) if sides else (none[2],) * 2
+            parts.append((text + lo, first - near.base[text], last - near.base[text], near.least[first], code, *beside))
+        self.text, self.first, self.last, self.key, self.code, self.left, self.right = map(np.concatenate, zip(*parts, strict=True))
 
     def borders(self, texts: int) -> np.ndarray:
         return np.searchsorted(self.text, np.arange(texts + 1))
@@ -150,14 +176,27 @@ def _flat(doc: np.ndarray, code: np.ndarray, owner: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays(arrays, ["doc_id", "code", "owner"])
 
 
+def _meeting(key: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which of the different fragments, sorted by key, agree with another one of their key on a side of the gram."""
+    meets = np.zeros(len(key), dtype=bool)
+    for side in (left, right):
+        both = key.astype(np.uint64) << np.uint64(16) | side
+        _, inverse, counts = np.unique(both, return_inverse=True, return_counts=True)
+        meets |= (counts[inverse] > 1) & (side != NO_SIDE)
+    loose = np.unique(key[left == ANY_SIDE])
+    return meets | np.isin(key, loose)
+
+
 def _flags(texts: DataFrame, buckets: int) -> DataFrame:
     """doc_id, covered (codes of fragments that a smaller document has), owned (codes of fragments to be compared)."""
 
+    columns = ["bucket", "key", "code", "left", "right", "doc", "g_doc", "g_code"]
+
     def summarise(batch: pa.RecordBatch) -> pa.RecordBatch:
-        runs = Runs(batch.column("text").to_pylist())
+        runs = Runs(batch.column("text").to_pylist(), sides=True)
         doc = batch.column("doc_id").to_numpy()[runs.text]
         order = np.lexsort((doc, runs.code, runs.key))
-        key, code, doc = runs.key[order], runs.code[order], doc[order]
+        key, code, doc, left, right = (x[order] for x in (runs.key, runs.code, doc, runs.left, runs.right))
         new = np.r_[True, (code[1:] != code[:-1]) | (key[1:] != key[:-1])] if len(code) else np.zeros(0, dtype=bool)
         least = np.repeat(doc[new], np.diff(np.r_[np.flatnonzero(new), len(doc)]))
         covered = doc > least  # a smaller document of this batch has the fragment
@@ -169,33 +208,31 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
             by_doc = np.argsort(doc[lo:hi][own], kind="stable")
             if hi > lo:
                 # of the key only the low half travels, the bucket stands for its highest bits; keys that agree in both are compared together
-                sent = [x[lo:hi][own][by_doc] for x in ((key & LOW).astype(np.uint32), code, doc)]
-                rows.append((b, sent[0].tobytes(), sent[1].tobytes(), _packed_ids(sent[2]), *[x[lo:hi][gone].tobytes() for x in (doc, code)]))
-        kinds = [pa.int32()] + [pa.binary()] * 5
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "key", "code", "doc", "g_doc", "g_code"])
+                sent = [x[lo:hi][own][by_doc] for x in ((key & LOW).astype(np.uint32), code, left, right, doc)]
+                rows.append((b, *[x.tobytes() for x in sent[:-1]], _packed_ids(sent[-1]), *[x[lo:hi][gone].tobytes() for x in (doc, code)]))
+        kinds = [pa.int32()] + [pa.binary()] * 7
+        made = list(zip(*rows, strict=True)) if rows else [[]] * 8
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, kinds, strict=True)], columns)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One bucket after the other, so that a task holds the hashes of one."""
         now, held = None, []
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("bucket", "key", "code", "doc", "g_doc", "g_code")], strict=True)
-            for bucket, key, code, doc, gone_doc, gone_code in rows:
+            for bucket, *sent, gone_doc, gone_code in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
                 if bucket != now and held:
                     yield settle(held)
                     held = []
                 now = bucket
-                held.append((key, code, doc))
+                held.append(sent)
                 if gone_doc:
                     gone = np.frombuffer(gone_doc, dtype=np.int64)
                     yield _flat(gone, np.frombuffer(gone_code, dtype=np.uint64), np.zeros(len(gone), dtype=bool))
         if held:
             yield settle(held)
 
-    def settle(held: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
-        key = np.frombuffer(b"".join(keys for keys, _, _ in held), dtype=np.uint32)
-        code = np.frombuffer(b"".join(codes for _, codes, _ in held), dtype=np.uint64)
-        doc = np.concatenate([_unpacked_ids(steps) for _, _, steps in held])
+    def settle(held: list[list[bytes]]) -> pa.RecordBatch:
+        key, code, left, right = (np.frombuffer(b"".join(part), dtype=kind) for part, kind in zip(list(zip(*held, strict=True))[:4], (np.uint32, np.uint64, np.uint16, np.uint16), strict=True))
+        doc = np.concatenate([_unpacked_ids(sent[4]) for sent in held])
         order = np.lexsort((doc, code, key))
         key, code, doc = key[order], code[order], doc[order]
         start = np.r_[True, key[1:] != key[:-1]]
@@ -204,12 +241,16 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
         least = np.repeat(doc[fresh], size(fresh))
         fragments = np.repeat(np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(start)), size(start))
         documents = np.repeat(np.maximum.reduceat(doc, np.flatnonzero(start)) != np.minimum.reduceat(doc, np.flatnonzero(start)), size(start))
-        covered, owner = doc > least, fresh & (fragments > 1) & documents
+        covered = doc > least
+        crowd = np.flatnonzero(fresh & (fragments > 1) & documents)  # different fragments of one key, one row each
+        owner = np.zeros(len(key), dtype=bool)
+        owner[crowd] = _meeting(key[crowd], left[order[crowd]], right[order[crowd]])
         keep = np.flatnonzero(covered | owner)
         keep = keep[np.argsort(doc[keep], kind="stable")]
         return _flat(doc[keep], code[keep], owner[keep])
 
-    packed = map_slices(texts, "text", summarise, "bucket int, key binary, code binary, doc binary, g_doc binary, g_code binary")
+    kinds = ", ".join(f"{c} {'int' if c == 'bucket' else 'binary'}" for c in columns)
+    packed = map_slices(texts, "text", summarise, kinds)
     found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
     pick = lambda owner: F.collect_set(F.when(F.col("owner") == owner, F.col("code")))
     return checkpoint(found.groupBy("doc_id").agg(pick(False).alias("covered"), pick(True).alias("owned")))
