@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from simsearch.functions.vectors import SCORE_DIGITS, has_dim, l2_normalize, norm
 from simsearch.operators.cutoff import mark_smallest
 from simsearch.operators.topk import BLOCK_CELLS, SearchLimits, search_lists, to_matrix
+from simsearch.session import checkpoint
 from simsearch.sources.tables import EMBEDDINGS, conform
 
 # The defaults of lists and of lists probed.
@@ -251,9 +252,13 @@ def require_match(embeddings: DataFrame, papers: DataFrame) -> None:
         raise ValueError(f"embeddings and papers do not match: {row}")
 
 
-def hydrate(hits: DataFrame, papers: DataFrame) -> DataFrame:
-    """Hits with their paper's columns; the small side is the hits, so papers are only scanned."""
+def hydrate(hits: DataFrame, papers) -> DataFrame:
+    """Hits with their paper's columns. ``papers`` is a table, which is scanned, or a ``PaperStore``, of which only the places that
+    hold a hit are read; the hits are then written first, as they are read twice."""
     columns = [c for c in ("title", "abstract", "primary_subject", "subjects", "arxiv_id") if c in papers.columns]
+    if not isinstance(papers, DataFrame):
+        hits = checkpoint(hits)
+        papers = papers.lookup(hits)
     return papers.select("paper_id", *columns).join(hits, "paper_id").select("query_id", "rank", "score", "paper_id", *columns)
 
 

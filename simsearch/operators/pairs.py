@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simsearch.functions.keyed import h48
-from simsearch.operators.positions import index_subjects
+from simsearch.operators.positions import SubjectIndex, index_subjects
 from simsearch.operators.skew import MAX_BROADCAST_GROUPS, hint_if, join_group
 
 # a drawn id costs about 50 bytes when broadcast, so this bounds the broadcast near 100 MB
@@ -40,19 +40,20 @@ class Indexed:
     """A subject index with its totals; ``small`` when the subjects are few enough to broadcast."""
 
     subjects: DataFrame
-    positions: DataFrame
+    rows: SubjectIndex
     n_subjects: int
     n_rows: int
     small: bool
 
 
-def _index(papers: DataFrame, cfg: PairConfig, min_rows: int = 2) -> Indexed:
+def index_papers(papers: DataFrame, cfg: PairConfig, min_rows: int = 2) -> Indexed:
+    """What the draws of every epoch of one seed share."""
     made = index_subjects(papers, cfg.seed, min_rows)
     totals = made.subjects.agg(F.count("*").alias("s"), F.sum("n").alias("rows")).first()
     if totals["s"] == 0:
         raise ValueError("no subject has two rows: there is no pair to draw")
     small = totals["s"] <= MAX_BROADCAST_GROUPS
-    return Indexed(hint_if(made.subjects, small), made.positions, totals["s"], totals["rows"], small)
+    return Indexed(hint_if(made.subjects, small), made, totals["s"], totals["rows"], small)
 
 
 def _draws(papers: DataFrame, cfg: PairConfig, first: int, last: int) -> DataFrame:
@@ -148,22 +149,23 @@ def attach_both_sides(lookups: DataFrame, table: DataFrame, columns: list[str],
 
 
 def _ids(index: Indexed, lookups: DataFrame, draws: int) -> DataFrame:
-    return _join_drawn(lookups, index.positions, "pos", draws).drop("pos")
+    drawn = index.rows.rows_at(lookups, draws <= MAX_BROADCAST_DRAWS)
+    return _join_drawn(lookups, drawn, "pos", draws).drop("pos")
 
 
-def positive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
+def positive_pair_ids(papers: DataFrame, cfg: PairConfig, index: Indexed | None = None) -> DataFrame:
     """``(pair_id, subject, side, paper_id)``, two rows per pair."""
-    index = _index(papers, cfg)
+    index = index or index_papers(papers, cfg)
     return _ids(index, _same_subject(papers, index, cfg, cfg.num_pairs), 2 * cfg.num_pairs)
 
 
-def positive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:
+def positive_pairs(papers: DataFrame, cfg: PairConfig, index: Indexed | None = None) -> DataFrame:
     """Two different papers of one subject per pair.
 
     The papers must be usable ones (``sources.tables.usable``); only ids and subjects are read
-    until the drawn texts are fetched.
+    until the drawn texts are fetched. An ``index`` that was made for the seed serves any epoch.
     """
-    ids = positive_pair_ids(papers, cfg)
+    ids = positive_pair_ids(papers, cfg, index)
     both = attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs)
     return both.select(
         "pair_id",
@@ -175,12 +177,12 @@ def positive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:
     )
 
 
-def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
+def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig, index: Indexed | None = None) -> DataFrame:
     """``(pair_id, side, paper_id, label)``: half positive, half negative.
 
     With a single subject there is no negative to draw, so every pair is positive.
     """
-    index = _index(papers, cfg)
+    index = index or index_papers(papers, cfg)
     both = index.n_subjects >= 2
     positives = cfg.num_pairs // 2 if both else cfg.num_pairs
     draws = 2 * cfg.num_pairs
@@ -188,16 +190,16 @@ def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig) -> DataFrame:
     same = _same_subject(papers, index, cfg, positives).select(*columns, F.lit(1.0).alias("label"))
     if not both:
         return _ids(index, same, draws)
-    wider = index if cfg.negatives_min_rows == 2 else _index(papers, cfg, cfg.negatives_min_rows)
+    wider = index if cfg.negatives_min_rows == 2 else index_papers(papers, cfg, cfg.negatives_min_rows)
     other = _two_subjects(papers, wider, cfg, positives).select(*columns, F.lit(0.0).alias("label"))
     if wider is index:
         return _ids(index, same.unionByName(other), draws)
     return _ids(index, same, draws).unionByName(_ids(wider, other, draws))
 
 
-def contrastive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:
+def contrastive_pairs(papers: DataFrame, cfg: PairConfig, index: Indexed | None = None) -> DataFrame:
     """Pairs with ``label`` 1.0 (one subject) or 0.0 (two subjects)."""
-    ids = contrastive_pair_ids(papers, cfg)
+    ids = contrastive_pair_ids(papers, cfg, index)
     both = attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs)
     return both.select(
         "pair_id",
@@ -209,7 +211,7 @@ def contrastive_pairs(papers: DataFrame, cfg: PairConfig) -> DataFrame:
     )
 
 
-PairBuilder = Callable[[DataFrame, PairConfig], DataFrame]
+PairBuilder = Callable[..., DataFrame]  # (papers, config) or (papers, config, index)
 
 PAIR_BUILDERS: dict[str, PairBuilder] = {
     "MultipleNegativesRankingLoss": positive_pairs,

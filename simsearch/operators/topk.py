@@ -5,10 +5,14 @@ names the lists it looks into, and only vectors of those lists are scored. Exact
 case of a single list. Scores are rounded before ranking and ties go to the smaller id, so the
 result does not depend on how the vectors were split.
 
-Queries are stored once and broadcast in blocks of a checked size, counted in bytes of vectors and
+Few queries are stored once and broadcast in blocks of a checked size, counted in bytes of vectors and
 of best hits together. Each block scans the stored vectors where they lie, and only each task's
-best k per query is shuffled; a query table of many blocks scans them once a block and writes each
-block's hits. Vectors are never copied or shuffled.
+best k per query is shuffled; vectors are never copied or shuffled.
+
+Queries of more blocks than ``SearchLimits.most_scans`` meet the vectors by list instead: both sides are dealt out by list, each
+vector once, so the vectors are read once however many queries there are. A list with many vectors is cut into parts
+and one with many queries into blocks, so a hot list is many tasks' work; a task holds one block of queries with its
+best hits and lets its part of the vectors stream past. The best k of each part are merged per query.
 
 Similarity is the cosine: both sides are scaled to unit length in the scan. A missing or zero vector
 has no direction and is left out (``ivf.misfits`` counts them); a vector of another length is an error.
@@ -27,6 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from simsearch.functions.vectors import SCORE_DIGITS
+from simsearch.operators.skew import join_group
 from simsearch.session import checkpoint
 
 HITS_SCHEMA = "query_id bigint, k int, paper_id bigint, score double"
@@ -44,6 +49,8 @@ class SearchLimits:
 
     block_bytes: int = 128 << 20
     broadcast_hits: int = 2_000_000
+    most_scans: int = 8
+    part_rows: int = 1_000_000
 
     def block_queries(self, dim: int, k: int, lists_per_query: int) -> int:
         """Queries of one block: their vectors, list ids, and k best (score, id) each."""
@@ -148,6 +155,8 @@ def search_lists(probes: DataFrame, postings: DataFrame, dim: int, limits: Searc
     count, k_max, lists = stored.agg(F.count("*"), F.max("k"), F.max(F.size("lists"))).first()
     postings = postings.where("embedding IS NOT NULL")
     blocks = -(-count // limits.block_queries(dim, k_max or 1, lists or 1))
+    if blocks > limits.most_scans:
+        return _join_lists(stored, postings, dim, limits.block_queries(dim, k_max or 1, 1), limits.part_rows)
     if blocks <= 1:
         hits = _rank(_scan(stored.toArrow(), postings, dim))
         return F.broadcast(hits) if count * (k_max or 0) <= limits.broadcast_hits else hits
@@ -158,6 +167,57 @@ def search_lists(probes: DataFrame, postings: DataFrame, dim: int, limits: Searc
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def _units(asked: DataFrame, postings: DataFrame, block: int, part_rows: int) -> DataFrame:
+    """``(list_id, rows, parts, blocks)`` of every list that is asked for and holds something."""
+    cells = lambda n, size: F.ceil(F.col(n) / size).cast("int")
+    held = postings.groupBy("list_id").agg(F.count("*").alias("held"))
+    wanted = asked.groupBy("list_id").agg(F.count("*").alias("wanted"))
+    sizes = held.join(wanted, "list_id")
+    return sizes.select("list_id", (F.col("held") + F.col("wanted")).alias("rows"), cells("held", part_rows).alias("parts"), cells("wanted", block).alias("blocks"))
+
+
+def _join_lists(probes: DataFrame, postings: DataFrame, dim: int, block: int, part_rows: int) -> DataFrame:
+    """The hits of any number of queries: probes and postings meet by (list, part, block)."""
+    asked = probes.select("query_id", "k", "embedding", F.explode("lists").alias("list_id"))
+    units = checkpoint(_units(asked, postings, block, part_rows))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    deal = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    vector = F.col("embedding").cast("array<double>").alias("embedding")
+    queries = join_group(asked, units, "list_id", "rows").select(
+        "list_id", every("parts").alias("part"), deal("query_id", "blocks").alias("block"), F.lit(0).alias("side"), F.col("query_id").alias("id"), "k", vector
+    )
+    vectors = join_group(postings.select("paper_id", "embedding", "list_id"), units, "list_id", "rows").select(
+        "list_id", deal("paper_id", "parts").alias("part"), every("blocks").alias("block"), F.lit(1).alias("side"), F.col("paper_id").alias("id"), F.lit(None).cast("int").alias("k"), vector
+    )
+    unit = ["list_id", "part", "block"]
+    dealt = queries.unionByName(vectors).repartition(*unit).sortWithinPartitions(*unit, "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, ks, held, best = None, [], [], [], None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in (*unit, "side")])
+            borders = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
+            for lo, hi in zip([0, *borders.tolist()], [*borders.tolist(), batch.num_rows], strict=True):
+                own = batch.slice(lo, hi - lo)
+                matrix, usable = unit_rows(to_matrix(own.column("embedding"), dim))
+                if tuple(keys[:3, lo]) != now:
+                    if best is not None:
+                        yield best.to_batch(np.concatenate(ids), np.concatenate(ks))
+                    now, ids, ks, held, best = tuple(keys[:3, lo]), [], [], [], None
+                if keys[3, lo] == 0:  # queries come before the vectors of their unit
+                    ids.append(ids_of(own.column("id"))[usable])
+                    ks.append(ids_of(own.column("k"))[usable])
+                    held.append(matrix)
+                elif sum(map(len, held)):
+                    if best is None:
+                        best = BestHits(np.concatenate(held), int(max(k.max(initial=1) for k in ks)))
+                    best.add(np.arange(len(best.queries)), ids_of(own.column("id"))[usable], matrix)
+        if best is not None:
+            yield best.to_batch(np.concatenate(ids), np.concatenate(ks))
+
+    return _rank(dealt.mapInArrow(run, HITS_SCHEMA))
+
+
 def _scan(block: pa.Table, postings: DataFrame, dim: int) -> DataFrame:
     """Broadcast a block of queries and scan the probed lists once."""
     queries, usable = unit_rows(to_matrix(block.column("embedding"), dim))

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from simsearch.functions import vectors as vec
-from simsearch.operators import classify, ivf, pairs, project, relevance, sampling
+from simsearch.operators import centroid_tree, classify, ivf, pairs, project, relevance, sampling
 from simsearch.operators.encode import HashingEncoder
 from simsearch.operators.topk import SearchLimits, exact_topk
 from simsearch.plans import evaluation
 from simsearch.registry import corpus, vectors
 from simsearch.registry import sql as q
 from simsearch.session import checkpoint, shared_folder
-from simsearch.sources import store
+from simsearch.sources import paper_store, store
 
 SEED, SAMPLE, PER_SUBJECT, DIM = 42, 250, 10, 64
 LISTS, MIN_POINTS = 16, 5
+TREE_BRANCHES, TREE_LEAVES, TREE_NPROBE = 4, 4, 12
 
 
 def exact_knn_scaled(spark, folder):
@@ -52,6 +55,32 @@ def stored_index_search(spark, folder):
     return ivf.search(vectors._requests(source)[0], store.load_index(spark, path))
 
 
+def _paper_store(spark, folder):
+    """The documents as papers in 32 ranges at most, so that a lookup has something to leave out."""
+    source = corpus.papers(spark, folder)
+    path = shared_folder(spark, "papers")
+    paper_store.save_papers(source, path, rows_per_file=max(1, source.count() // 32))
+    return paper_store.load_papers(spark, path)
+
+
+def paper_lookup(spark, folder):
+    """The papers that a search found, fetched by id."""
+    hits = vectors.ivf_search(spark, folder)
+    return _paper_store(spark, folder).lookup(hits).select("paper_id", "title", "abstract", "primary_subject")
+
+
+def paper_at(spark, folder):
+    """The papers at every hundredth place, from the first to the last."""
+    papers = _paper_store(spark, folder)
+    last = len(papers) - 1
+    return papers.rows_at(sorted({0, last, *range(0, last, 100)})).select("place", "paper_id", "title")
+
+
+def search_with_stored_metadata(spark, folder):
+    hits = ivf.hydrate(vectors.ivf_search(spark, folder), _paper_store(spark, folder))
+    return hits.select("query_id", "rank", "score", "paper_id", "title", "primary_subject")
+
+
 def stored_pairs(spark, folder):
     """Pairs of another configuration lie in the cache first; then the wanted ones are built, and read from there."""
     source = corpus.papers(spark, folder)
@@ -104,6 +133,35 @@ def ivf_train(spark, folder):
     )
 
 
+def ivf_tree(spark, folder):
+    """What a two-level index must satisfy: every vector stored once, in the nearest leaf of its nearest branch, and of the ten nearest
+    vectors of each query nine found on average with ``TREE_NPROBE`` of ``TREE_BRANCHES * TREE_LEAVES`` lists. Two groups of branches."""
+    source = vectors.papers(spark, folder)
+    dim = ivf.embedding_dim(source)
+    group = 8 * TREE_LEAVES * dim * (TREE_BRANCHES // 2)
+    index = centroid_tree.build_tree(source, TREE_BRANCHES, TREE_LEAVES, TREE_NPROBE, TREE_BRANCHES, seed=SEED, group_bytes=group)
+    postings = checkpoint(index.postings)
+    unit = vec.l2_normalize(vec.as_double(F.col("embedding")))
+    near = lambda c: F.round(vec.dot(unit, c), vec.SCORE_DIGITS)
+    # of the few branches, the one with the best score and of equals the smaller number
+    ranked = [F.struct(near(F.lit(c.tolist())).alias("s"), F.lit(-i).alias("b")) for i, c in enumerate(index.tree.root)]
+    leaves = index.tree.leaves.select("branch", F.col("list_id").alias("leaf"), "centroid")
+    own = postings.select("paper_id", "embedding", "list_id", (-F.greatest(*ranked)["b"]).alias("branch"))
+    scores = own.join(F.broadcast(leaves), "branch").select("paper_id", "list_id", "leaf", near(F.col("centroid")).alias("s"))
+    best = scores.groupBy("paper_id", "list_id").agg(F.max_by("leaf", F.struct("s", -F.col("leaf"))).alias("leaf"))
+    queries, _ = vectors._requests(source)
+    queries = checkpoint(queries)
+    exact = checkpoint(exact_topk(queries, source, dim)).select("query_id", "paper_id")
+    hits = centroid_tree.search_tree(queries, replace(index, postings=postings)).join(exact, ["query_id", "paper_id"]).count()
+    wrong = best.where("list_id <> leaf").count()
+    return postings.agg(
+        F.count("*").alias("n_stored"),
+        F.count_distinct("paper_id").alias("n_papers"),
+        F.lit(wrong).cast("bigint").alias("n_misplaced"),
+        F.lit(hits >= 0.9 * exact.count()).alias("finds_nine_of_ten"),
+    )
+
+
 def pca_2d(spark, folder):
     """What the two directions must satisfy: centred, uncorrelated, ordered, and within the total variance."""
     source = vectors.papers(spark, folder)
@@ -148,8 +206,9 @@ def tfidf_classifier(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        exact_knn_scaled, search_own_k, exact_knn_blocks, stored_index_search, stored_pairs, text_ir_metrics,
-        text_subject_metrics, text_metric_delta, landscape_labels, ivf_train, pca_2d, embedding_classifier, tfidf_classifier,
+        exact_knn_scaled, search_own_k, exact_knn_blocks, stored_index_search, paper_lookup, paper_at,
+        search_with_stored_metadata, stored_pairs, text_ir_metrics,
+        text_subject_metrics, text_metric_delta, landscape_labels, ivf_train, ivf_tree, pca_2d, embedding_classifier, tfidf_classifier,
     )
 }
 
@@ -185,6 +244,11 @@ ORACLE = {
     + "SELECT query_id, rank, score, paper_id FROM hits WHERE rank <= query_id % 37 + 1",
     "exact_knn_blocks": vectors.ORACLE["exact_knn"],
     "stored_index_search": vectors.ORACLE["ivf_search"],
+    "paper_lookup": vectors._IVF.rstrip() + f""",
+{_RAW} SELECT paper_id, title, abstract, primary_subject FROM raw WHERE paper_id IN (SELECT paper_id FROM hits)""",
+    "paper_at": f"""WITH {_RAW}, placed AS (SELECT row_number() OVER (ORDER BY paper_id) - 1 AS place, paper_id, title, count(*) OVER () AS n FROM raw)
+SELECT place, paper_id, title FROM placed WHERE place % 100 = 0 OR place = n - 1""",
+    "search_with_stored_metadata": vectors.ORACLE["search_with_metadata"],
     "stored_pairs": corpus.ORACLE["positive_pairs_balanced"],
     "text_ir_metrics": f"SELECT metric, round(value, 6) AS value FROM ({_evaluated(DIM)})",
     "text_subject_metrics": q.with_(_RAW, _encoded(), q.capped_roles(PER_SUBJECT), q.QRELS, q.exact_hits(10), q.query_metrics())
@@ -197,6 +261,7 @@ FROM ({_evaluated(DIM // 2)}) b JOIN ({_evaluated(DIM)}) a USING (metric) WHERE
     + f"""SELECT primary_subject, count(*) AS n_points, round(avg(embedding[1]), 6) AS x, round(avg(embedding[2]), 6) AS y
 FROM sampled GROUP BY 1 HAVING count(*) >= {MIN_POINTS}""",
     "ivf_train": "SELECT count(*) AS n_stored, count(*) AS n_papers, 0::BIGINT AS n_misplaced, true AS unit_centroids FROM embeddings",
+    "ivf_tree": "SELECT count(*) AS n_stored, count(*) AS n_papers, 0::BIGINT AS n_misplaced, true AS finds_nine_of_ten FROM embeddings",
     "pca_2d": """SELECT (SELECT count(*) FROM embeddings) AS n_points, round(sum(s), 6) AS total_variance, true AS uncorrelated,
   true AS ordered, true AS within_total FROM (
   SELECT pos, var_samp(v) AS s FROM (

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+import functools
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simsearch.functions import vectors as vec
 from simsearch.operators import classify, ivf, losses, pairs, project, relevance, sampling
 from simsearch.operators.cutoff import mark_smallest
 from simsearch.operators.skew import join_group
-from simsearch.operators.topk import exact_topk
+from simsearch.operators.topk import SearchLimits, exact_topk
 from simsearch.plans import evaluation
 from simsearch.registry import sql as q
 from simsearch.session import checkpoint
@@ -19,6 +22,7 @@ SEED = 42
 SAMPLE = evaluation.DEFAULT_SAMPLE
 PER_SUBJECT = 50
 NPROBE = 3
+RECALL_PROBES = (1, 3, 1000)  # the last asks for every list
 BATCH = 32
 MIN_POINTS = 50
 POINTS = 200
@@ -92,6 +96,26 @@ def ivf_search(spark, folder):
     return ivf.search(queries, _mean_index(source))
 
 
+def ivf_search_joined(spark, folder):
+    """The search of ``ivf_search`` with queries of about four blocks, which meet the postings by list, in parts of 40 vectors."""
+    source = papers(spark, folder)
+    queries, _ = _requests(source)
+    index = _mean_index(source)
+    block = (8 * index.dim + 8 * NPROBE + 200) * max(1, queries.count() // 4)
+    return ivf.search(queries, replace(index, limits=SearchLimits(block_bytes=block, most_scans=1, part_rows=40)))
+
+
+def ivf_recall(spark, folder):
+    """Of the ten nearest vectors of each query, how many the index finds, by the number of lists probed."""
+    source = papers(spark, folder)
+    queries, _ = _requests(source)
+    queries, index = checkpoint(queries), _mean_index(source)
+    wanted = checkpoint(exact_topk(queries, source, index.dim))
+    found = [ivf.search(queries, index, nprobe=n).select(F.lit(n).alias("nprobe"), "query_id", "paper_id") for n in RECALL_PROBES]
+    hits = functools.reduce(DataFrame.unionByName, found).join(wanted.select("query_id", "paper_id"), ["query_id", "paper_id"])
+    return hits.groupBy("nprobe").agg(F.round(F.count("*") / wanted.count(), 6).alias("recall_at_10"))
+
+
 def search_with_metadata(spark, folder):
     hits = ivf_search(spark, folder)
     return ivf.hydrate(hits, documents_as_papers(spark, folder)).select(
@@ -215,7 +239,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         l2_normalize, embedding_stats, cosine_scores, exact_knn, ivf_assign, ivf_list_sizes, ivf_search,
-        search_with_metadata, index_subjects, index_metadata_mismatch, reconstruct_sample, subject_centroids,
+        ivf_search_joined, ivf_recall, search_with_metadata, index_subjects, index_metadata_mismatch, reconstruct_sample, subject_centroids,
         draw_order, plot_extent, ir_sample, stratified_ir_split, qrels_counts, ir_metrics, subject_metrics,
         metric_delta, contrastive_loss, hard_pairs, in_batch_loss, confusion_counts, classification_report,
         classification_summary,
@@ -275,6 +299,21 @@ FROM papers JOIN cent ON list_id = label""",
     "ivf_list_sizes": q.with_(_V, _INDEX)
     + """SELECT list_id, count(a.paper_id) AS n_vectors FROM cent LEFT JOIN assigned a USING (list_id) GROUP BY list_id""",
     "ivf_search": _IVF + "SELECT query_id, rank, score, paper_id FROM hits",
+    "ivf_search_joined": _IVF + "SELECT query_id, rank, score, paper_id FROM hits",
+    "ivf_recall": q.with_(
+        _V, _REQUESTS, _ASKED, _INDEX,
+        f"""probed AS (SELECT query_id, embedding, list_id, nth FROM (
+    SELECT q.*, c.list_id, row_number() OVER (PARTITION BY q.query_id ORDER BY round(list_inner_product(q.embedding, c.centroid), 6) DESC, c.list_id) AS nth
+    FROM asked q CROSS JOIN cent c))""",
+        """scored AS (SELECT query_id, nth, paper_id, round(list_cosine_similarity(p.embedding, a.embedding), 6) AS score
+    FROM probed p JOIN assigned a USING (list_id))""",
+        f"probes AS (SELECT unnest([{', '.join(map(str, RECALL_PROBES))}])::INTEGER AS nprobe)",
+        """found AS (SELECT nprobe, query_id, paper_id, row_number() OVER (PARTITION BY nprobe, query_id ORDER BY score DESC, paper_id) AS rank
+    FROM scored JOIN probes ON nth <= nprobe)""",
+        "exact AS (SELECT query_id, paper_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, paper_id) AS rank FROM scored)",
+    )
+    + """SELECT nprobe, round(count(*) / (SELECT count(*) FROM exact WHERE rank <= 10), 6) AS recall_at_10
+FROM found JOIN exact USING (query_id, paper_id) WHERE found.rank <= 10 AND exact.rank <= 10 GROUP BY nprobe""",
     "search_with_metadata": _IVF
     + """SELECT query_id, rank, score, paper_id, split_part(text, chr(10), 1) AS title,
   source || ' (' || lang || ')' AS primary_subject FROM hits JOIN documents ON doc_id = paper_id""",
