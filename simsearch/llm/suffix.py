@@ -48,6 +48,8 @@ CHUNK_BYTES, SLICE = 128 << 10, 2 << 20
 SHARD_ROWS, MERGE_ROWS = 1 << 14, 1 << 17
 GROUP_ROWS, MOST_REPRESENTATIVES, SPLIT_BITS = 1 << 20, 5, 5
 PAD = 4
+PLACE_BITS = 31  # a text has less than 2^31 bytes
+PLACE = (1 << PLACE_BITS) - 1
 BUCKETS_A_PARTITION = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LOW = np.uint64(0xFFFFFFFF)
@@ -282,6 +284,11 @@ def _cut(near: Windows, inside: np.ndarray, representatives: int) -> tuple[np.nd
 FRAGMENTS = "key bigint, doc_id bigint, start bigint, body binary"
 
 
+def _mark(text: bytes) -> int:
+    """Tells texts apart that share an id; it stands above the place in each range, so that ranges of one are not cut out of the other."""
+    return xxhash.xxh3_64_intdigest(text) & 0xFFFFFFFF
+
+
 def _pieces(key: list[np.ndarray], doc: list[np.ndarray], start: list[np.ndarray], body: list[bytes]) -> pa.RecordBatch:
     none = [np.zeros(0, dtype=np.int64)]
     arrays = [pa.array(np.concatenate(x or none), pa.int64()) for x in (key, doc, start)] + [pa.array(body, pa.binary())]
@@ -293,6 +300,7 @@ def _fragments(owners: DataFrame) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_numpy()
+        marks = np.array([_mark(t) for t in texts], dtype=np.int64) << PLACE_BITS
         wanted = [np.array(c, dtype=np.int64).view(np.uint64) for c in batch.column("owned").to_pylist()]
         runs = Runs(texts)
         borders = runs.borders(len(texts))
@@ -311,7 +319,7 @@ def _fragments(owners: DataFrame) -> DataFrame:
             keys, text, first, bodies = _cut(near, inside, 2)
             key.append(keys)
             doc.append(ids[lo + text])
-            start.append(first)
+            start.append(first + marks[lo + text])
             body += bodies
         return _pieces(key, doc, start, body)
 
@@ -546,6 +554,9 @@ def removals(docs: DataFrame, with_text: bool = True, group_rows: int = GROUP_RO
         for i, text in enumerate(data):
             lo, hi = borders[i], borders[i + 1]
             first, last = np.array(firsts[i] or [], dtype=np.int64), np.array(lasts[i] or [], dtype=np.int64)
+            if len(first):
+                own = first >> PLACE_BITS == _mark(text)
+                first, last = first[own] & PLACE, last[own] & PLACE
             if covered[i]:
                 hit = lo + np.flatnonzero(np.isin(runs.code[lo:hi], np.array(covered[i], dtype=np.int64).view(np.uint64)))
                 first = np.concatenate([first, runs.first[hit]])

@@ -229,6 +229,14 @@ def test_suffix_dedup_equals_brute_force(docs, monkeypatch):
     assert suffix.removals(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_keep_their_own_bytes(spark):
+    rng = random.Random(4)
+    a, b, c = (_prose(rng, 60) for _ in range(3))
+    rows = [(1, a), (2, "xxxxx" + a), (2, b), (2, "y" * 40 + a), (3, b + c), (3, c + b), (3, c + b), (4, c)]
+    got = suffix.removals(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert _got(got.drop("spans", "kept")) == _removed(rows)
+
+
 def test_fragments_that_agree_in_half_their_hash_stay_apart(spark):
     """Two different texts of one window and one key whose 64-bit hashes agree in the low 32 bits remove nothing from each other."""
     rng = np.random.default_rng(8)
