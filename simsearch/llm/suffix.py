@@ -19,19 +19,17 @@ repeats.
 Nulls: a null text is empty; rows without an id are left as they are and remove nothing elsewhere. Rows that repeat an id
 remove nothing from each other. Texts under 50 bytes lose nothing. An empty table gives no rows. Only ``doc_id`` and ``text`` are
 read. A task holds one document, one bucket's hashes, and at most ``GROUP_ROWS`` bytes of different fragments under one key: a
-key with more is cut by a third representative, a fourth and a fifth, and then by whole windows, and dealt out to temporary files
-of its task until each has few enough.
+key with more is cut by a third representative, a fourth and a fifth, and then by whole windows, and dealt out again until each
+key has few enough. The number of buckets and partitions follows the bytes of text.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import operator
-import struct
-import tempfile
 from collections.abc import Iterator
-from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +44,11 @@ WINDOW, GRAM = 50, 16
 RUN_WINDOWS = 64
 CHUNK_BYTES, SLICE = 128 << 10, 2 << 20
 SHARD_ROWS, MERGE_ROWS = 1 << 14, 1 << 17
-GROUP_ROWS, MOST_REPRESENTATIVES, SPLIT_BITS = 1 << 20, 5, 5
+GROUP_ROWS, MOST_REPRESENTATIVES = 1 << 20, 5
 PAD = 4
 PLACE_BITS = 31  # a text has less than 2^31 bytes
 PLACE = (1 << PLACE_BITS) - 1
-BUCKETS_A_PARTITION = 4
+BUCKETS_A_PARTITION, PARTITION_BYTES = 4, 32 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LOW = np.uint64(0xFFFFFFFF)
 NO_SIDE, ANY_SIDE = 0, 0xFFFF
@@ -189,9 +187,10 @@ def _meeting(key: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray
     return meets | np.isin(key, loose)
 
 
-def _flags(texts: DataFrame, buckets: int) -> DataFrame:
+def _flags(texts: DataFrame, parts: int) -> DataFrame:
     """doc_id, covered (codes of fragments that a smaller document has), owned (codes of fragments to be compared)."""
 
+    buckets = BUCKETS_A_PARTITION * parts
     columns = ["bucket", "key", "code", "left", "right", "doc", "g_doc", "g_code"]
 
     def summarise(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -253,7 +252,7 @@ def _flags(texts: DataFrame, buckets: int) -> DataFrame:
 
     kinds = ", ".join(f"{c} {'int' if c == 'bucket' else 'binary'}" for c in columns)
     packed = map_slices(texts, "text", summarise, kinds)
-    found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
+    found = packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "doc_id bigint, code bigint, owner boolean")
     pick = lambda owner: F.collect_set(F.when(F.col("owner") == owner, F.col("code")))
     return checkpoint(found.groupBy("doc_id").agg(pick(False).alias("covered"), pick(True).alias("owned")))
 
@@ -417,7 +416,6 @@ def _repeats(bodies: list[bytes], docs: np.ndarray) -> Iterator[tuple[int, int,
 
 
 Group = dict[bytes, tuple[int, list[int]]]  # fragment -> its smallest document, starts there
-RECORD = struct.Struct("<qqB")
 
 
 def _gathered(rows: Iterator[tuple[int, int, bytes]], group_rows: int, group: Group) -> Iterator[tuple[int, int, int]]:
@@ -448,75 +446,62 @@ def _merge(group: Group) -> Iterator[tuple[int, int, int]]:
             yield from ((doc, s + first, s + last + WINDOW) for s in starts)
 
 
-def _dealt(rows: Iterator[tuple[int, int, bytes]], representatives: int) -> list[BinaryIO]:
-    """The rows cut by more representatives and dealt out to temporary files, in which they stay in order."""
-    files = [tempfile.TemporaryFile() for _ in range(1 << SPLIT_BITS)]
+def _recut(rows: Iterator[tuple[int, int, bytes]], representatives: int) -> Iterator[tuple]:
+    """(key, document, start, None, piece): the rows cut by more representatives, a few at a time."""
     while chunk := list(itertools.islice(rows, CHUNK_BYTES >> 6)):
         near = Windows([body for _, _, body in chunk])
         keys, text, first, bodies = _cut(near, near.inside, representatives)
-        mixed = (keys.view(np.uint64) ^ np.uint64(representatives)) * _A
-        mixed = (mixed ^ mixed >> np.uint64(32)) * _B >> np.uint64(64 - SPLIT_BITS)
-        for at, i, place, body in zip(mixed.tolist(), text.tolist(), first.tolist(), bodies, strict=True):
-            files[at].write(RECORD.pack(chunk[i][0], chunk[i][1] + place, len(body)) + body)
-    return files
-
-
-def _read(file: BinaryIO) -> Iterator[tuple[int, int, bytes]]:
-    file.seek(0)
-    while head := file.read(RECORD.size):
-        doc, start, size = RECORD.unpack(head)
-        yield doc, start, file.read(size)
-
-
-def _crowded(rows: Iterator[tuple[int, int, bytes]], representatives: int, group_rows: int) -> Iterator[tuple[int, int, int]]:
-    """The repeats among more fragments than are merged at once: equal windows meet in one file, and a file with too many is dealt again."""
-    for file in _dealt(rows, representatives):
-        with file:
-            group: Group = {}
-            part = _read(file)
-            yield from _gathered(part, group_rows, group)
-            if len(group) > 1 and _rows_in(group) > group_rows:
-                again = itertools.chain(((d, s, b) for b, (d, starts) in group.items() for s in starts), part)
-                yield from _crowded(again, representatives + 1, group_rows)
-            else:
-                yield from _merge(group)
-
-
-def _ranges(rows: Iterator[tuple[int, int, int, bytes]], group_rows: int) -> Iterator[tuple[int, int, int]]:
-    """(document, first, last) of the repeats among rows (key, document, start, fragment), which come by key and document."""
+        for key, i, place, body in zip(keys.tolist(), text.tolist(), first.tolist(), bodies, strict=True):
+            yield key, chunk[i][0], chunk[i][1] + place, None, body
+
+
+def _ranges(rows: Iterator[tuple[int, int, int, bytes]], group_rows: int, representatives: int) -> Iterator[tuple]:
+    """Of rows (key, document, start, fragment), which come by key and document: (None, document, first, last, None) of the repeats,
+    and for a key with more different fragments than are merged at once its fragments cut further, (key, document, start, None, piece)."""
+    found = lambda ranges: ((None, *r, None) for r in ranges)
     pending: Group = {}  # of whole keys
     size = 0
     for _, own in itertools.groupby(rows, key=operator.itemgetter(0)):
         group: Group = {}
         members = map(operator.itemgetter(1, 2, 3), own)
-        yield from _gathered(members, group_rows, group)
+        yield from found(_gathered(members, group_rows, group))
         if len(group) < 2:
             continue
         held = _rows_in(group)
-        if held > group_rows:
+        if held > group_rows and representatives <= MOST_REPRESENTATIVES:
             again = itertools.chain(((d, s, b) for b, (d, starts) in group.items() for s in starts), members)
-            yield from _crowded(again, 3, group_rows)
+            yield from _recut(again, representatives + 1)
             continue
         pending.update(group)
         size += held
         if size >= MERGE_ROWS:
-            yield from _merge(pending)
+            yield from found(_merge(pending))
             pending, size = {}, 0
-    yield from _merge(pending)
+    yield from found(_merge(pending))
 
 
-def _compared(fragments: DataFrame, group_rows: int) -> DataFrame:
-    """doc_id, first, last: byte ranges that repeat a smaller document, from the merged transforms of each key's fragments."""
+def _compared(fragments: DataFrame, group_rows: int, parts: int) -> DataFrame:
+    """doc_id, first, last: byte ranges that repeat a smaller document, from the merged transforms of each key's fragments.
+
+    What crowded keys leave is dealt out anew by longer keys, through the cluster's own exchange, until every key has few enough;
+    the last keys are those of whole windows, under which only equal pieces meet.
+    """
+    done, representatives = [], 2
+    while True:
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "doc_id", "start", "body")
-        found = _ranges((row for b in batches for row in zip(*[b.column(c).to_pylist() for c in names], strict=True)), group_rows)
-        while part := list(itertools.islice(found, 1 << 14)):
-            columns = [pa.array(c, pa.int64()) for c in zip(*part, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "last"])
+        def run(batches: Iterator[pa.RecordBatch], representatives=representatives) -> Iterator[pa.RecordBatch]:
+            names = ("key", "doc_id", "start", "body")
+            found = _ranges((row for b in batches for row in zip(*[b.column(c).to_pylist() for c in names], strict=True)), group_rows, representatives)
+            while part := list(itertools.islice(found, 1 << 14)):
+                columns = [pa.array(c, k) for c, k in zip(zip(*part, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "start", "last", "body"])
 
-    dealt = fragments.repartition("key").sortWithinPartitions("key", "doc_id")
-    return dealt.mapInArrow(run, "doc_id bigint, first bigint, last bigint")
+        dealt = fragments.repartition(parts, "key").sortWithinPartitions("key", "doc_id")
+        out = checkpoint(dealt.mapInArrow(run, "key bigint, doc_id bigint, start bigint, last bigint, body binary"))
+        done.append(out.where("body IS NULL").select("doc_id", F.col("start").alias("first"), "last"))
+        fragments, representatives = out.where("body IS NOT NULL").select("key", "doc_id", "start", "body"), representatives + 1
+        if representatives > MOST_REPRESENTATIVES + 1 or fragments.isEmpty():
+            return functools.reduce(DataFrame.unionByName, done)
 
 
 def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
@@ -533,14 +518,13 @@ def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
 def removals(docs: DataFrame, with_text: bool = True, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end, start, end ... in bytes) and, if asked for, kept (the rest)."""
     spark = docs.sparkSession
-    buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # an id that needs no cast gets no alias either: only then do both joins below read one exchange of the texts
-    number = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
-    texts = docs.select(number, F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    known = texts.where("doc_id IS NOT NULL")
-    flags = _flags(known, buckets)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    known = texts.where("doc_id IS NOT NULL").repartition(parts, "doc_id")  # both joins below read this exchange
+    flags = _flags(texts.where("doc_id IS NOT NULL"), parts)
     owners = known.join(flags.where(F.size("owned") > 0).select("doc_id", "owned"), "doc_id")
-    spans = _compared(_fragments(owners), group_rows).groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
+    spans = _compared(_fragments(owners), group_rows, parts).groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     marks = flags.select("doc_id", "covered").join(spans, "doc_id", "left")
     nothing = [F.lit(None).cast("array<bigint>").alias(c) for c in ("covered", "firsts", "lasts")]
     rows = known.join(marks, "doc_id", "left").unionByName(texts.where("doc_id IS NULL").select("*", *nothing))
