@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from simsearch.session import shared_folder  # noqa: F401
 
@@ -39,7 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(start)
 
 
-def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
+def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, limit: int = SLICE_BYTES) -> DataFrame:
     """Apply ``work`` to bounded batches inside the tasks that hold them; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,6 +52,17 @@ def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.R
     return df.mapInArrow(run, schema)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again: a lost executor cannot lose it, and later plans know its real size.
+
+    A checkpoint keeps the planner's estimate of the plan before it, which for a join is a product; over many rounds of joins the product's
+    digits grow until planning takes longer, and more of the driver's memory, than the work.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if its counted rows, of a few numbers and short keys each, are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -32,11 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from simsearch.llm.common import bounded_broadcast, map_slices, table
+from simsearch.llm.common import bounded_broadcast, map_slices, stored, table
 from simsearch.llm.graph import components
 from simsearch.llm.simhash import shingle_hashes
 from simsearch.operators.skew import join_group
-from simsearch.session import checkpoint
 
 WORDS, PERCENT = 4, 80
 BANDS, BAND_ROWS = 40, 5
@@ -147,13 +146,13 @@ def shingle_set(text: bytes, words: int) -> set[bytes]:
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that whole sets confirm. A center a's text is sent once for about ``STAR`` pairs, every b's once a pair."""
-    pairs = checkpoint(pairs.select("a", "b"))
+    pairs = stored(pairs.select("a", "b"))
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts")).where("parts > 1")
-    counts = checkpoint(counts)
+    counts = stored(counts)
     counts = bounded_broadcast(counts, counts.count())  # one row for each STAR pairs at most
     part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
     dealt = pairs.join(counts, "a", "left").select("a", "b", part)
-    wanted = checkpoint(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes, "node").select("node", "key", "first"))
+    wanted = stored(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes, "node").select("node", "key", "first"))
     held = bounded_broadcast(wanted, wanted.count())
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _identity().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     # of equal texts the row with the node's first id is read; rows that repeat it too are one
@@ -188,7 +187,7 @@ def _across(keyed: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int)
     by_group = keyed.join(placed.select("node", "root"), "node").groupBy("key", "root").agg(F.count("*").alias("members"))
     mixed_keys = by_group.groupBy("key").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most"), F.count("*").alias("groups"))
     cells = lambda rows: F.ceil(rows / BLOCK).cast("int")
-    mixed_keys = checkpoint(mixed_keys.where("groups > 1").select("key", "main", "all", cells(F.col("all") - F.col("most")).alias("lefts"), cells(F.col("all")).alias("rights")))
+    mixed_keys = stored(mixed_keys.where("groups > 1").select("key", "main", "all", cells(F.col("all") - F.col("most")).alias("lefts"), cells(F.col("all")).alias("rights")))
     rows = join_group(keyed, mixed_keys, "key", "all").join(placed, "node")
     deal = lambda salt, parts: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
@@ -239,19 +238,19 @@ def _across(keyed: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int)
 
 def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row a document."""
-    rows = checkpoint(sketches(docs, words))
+    rows = stored(sketches(docs, words))
     copies = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     one = rows.where("n > 0").dropDuplicates(["key"]).select("key", "n", "bands", *SKETCH)
-    nodes = checkpoint(one.join(copies, "key").withColumn("node", F.monotonically_increasing_id()))
+    nodes = stored(one.join(copies, "key").withColumn("node", F.monotonically_increasing_id()))
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1")
-    keyed = checkpoint(join_group(keyed, shared, "key", "members"))  # nodes that are alone under a key drop out
+    keyed = stored(join_group(keyed, shared, "key", "members"))  # nodes that are alone under a key drop out
     stars = keyed.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    allowed = checkpoint(_estimated(checkpoint(stars), nodes, percent))
+    allowed = stored(_estimated(stored(stars), nodes, percent))
     best = F.min(F.struct("left", "a")).alias("best")
-    tried = checkpoint(allowed.groupBy("b").agg(best).select(F.col("best.a").alias("a"), "b"))
-    roots = checkpoint(components(_confirmed(tried, nodes, docs, words, percent)))
-    untried = checkpoint(_across(keyed.select("key", "node"), roots, nodes, percent).join(tried, ["a", "b"], "left_anti"))
+    tried = stored(allowed.groupBy("b").agg(best).select(F.col("best.a").alias("a"), "b"))
+    roots = stored(components(_confirmed(tried, nodes, docs, words, percent)))
+    untried = stored(_across(keyed.select("key", "node"), roots, nodes, percent).join(tried, ["a", "b"], "left_anti"))
     grouped = nodes.select("node", "key", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     if not untried.isEmpty():
         group = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
@@ -259,7 +258,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
         over = components(found.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
         over = over.select(F.col("node").alias("root"), F.col("root").alias("top"))
         grouped = grouped.join(over, "root", "left").withColumn("root", F.coalesce("top", "root"))
-    grouped = checkpoint(grouped.select("key", "root", "first", "copies"))
+    grouped = stored(grouped.select("key", "root", "first", "copies"))
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     named = grouped.join(smallest, "root").select("key", "component_id", "copies")
     linked = join_group(rows.where("n > 0").select("doc_id", "n", "key"), named, "key", "copies").select("doc_id", "n", "component_id")

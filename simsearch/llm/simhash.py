@@ -28,9 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simsearch.llm.common import bounded_broadcast, map_slices, table
+from simsearch.llm.common import bounded_broadcast, map_slices, stored, table
 from simsearch.llm.graph import components
-from simsearch.session import checkpoint
 
 SEED, WORDS, BITS = 42, 3, 3
 HOT = 2048
@@ -168,7 +167,7 @@ def compare(keyed: DataFrame, bits: int) -> DataFrame:
 def links(fps: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """Links (a, b) between distinct fingerprints that differ in at most ``bits`` (3 or fewer) bits."""
     halves = fps.select(F.explode(F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32) | 4294967296L)")).alias("half"))
-    crowded = checkpoint(halves.groupBy("half").count().where(F.col("count") >= hot).select("half"))
+    crowded = stored(halves.groupBy("half").count().where(F.col("count") >= hot).select("half"))
     keyed, n = variants(fps), crowded.count()
     if not n:
         return compare(keyed, bits)
@@ -185,13 +184,13 @@ def _rooted(distinct: DataFrame, bits: int, hot: int) -> DataFrame:
     """distinct(fp, first) with ``root``, one fingerprint of each group that names it."""
     roots = components(links(distinct.select("fp"), bits, hot))
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    return checkpoint(joined.select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    return stored(joined.select("fp", "first", F.coalesce("root", "fp").alias("root")))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """doc_id, fp, component_id: one row a document."""
-    rows = checkpoint(fingerprints(docs, words))
-    placed = _rooted(checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("first"))), bits, hot)
+    rows = stored(fingerprints(docs, words))
+    placed = _rooted(stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"))), bits, hot)
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = placed.join(smallest, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
@@ -201,9 +200,9 @@ def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS, hot: int = H
     """One document of each group, with the columns it came with: that with the smallest id, of equal ids the one whose text has the
     smaller hash, of rows that repeat both the one whose other columns have it. A row is known by its id and text, so texts that
     share an id are judged apart. A document without an id comes last in its group."""
-    rows = checkpoint(_fingerprints(docs, words))
+    rows = stored(_fingerprints(docs, words))
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
-    distinct = checkpoint(rows.groupBy("fp").agg(F.min(order).alias("first")))
+    distinct = stored(rows.groupBy("fp").agg(F.min(order).alias("first")))
     kept = _rooted(distinct, bits, hot).groupBy("root").agg(F.min("first").alias("first"))
     # a missing id is a name of its own in the keys, so that both sides are dealt out by plain equality
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
