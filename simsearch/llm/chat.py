@@ -2,29 +2,35 @@
 
 A log has streamed deltas, edits and regenerations. It is dealt out by conversation and message, ordered by sequence number, and
 each message's events are folded into its final text: a delta appends, an edit replaces, a regeneration starts the text anew,
-``delete`` takes the message away. Each message is then rendered as one turn with the characters that the loss covers.
+``delete`` takes the message away. A message stands where its first event stands in the conversation's sequence, whatever its name. Each is
+then rendered as one turn with the characters that the loss covers.
 
 Template: ``<s>[INST]`` role ``[/INST]`` text ``</s>``. A control string inside a role or text gets a backslash after its first
 character, one that already has backslashes there gets one more, so no text can open or close a turn, and reading takes one
 backslash away again.
 
-A conversation may hold any share of all rows: folding and rendering split it by message, and its digests are taken by
-streaming its turns in order, with a few numbers in memory.
+A conversation may hold any share of all rows: folding and rendering split it by message. Reading back joins a conversation's output and
+finds the turns in that string, not in the rows it came in; what is read is let go, so one turn is in memory.
 
-Nulls: a null text is empty, a null role is the empty role, null ids and turns sort first and stand for themselves. Events with
-one sequence number go by kind and text. Two table rows with one conversation and turn are two turns, by role and text. An
-empty log gives no rows. Only the named columns are read.
+Nulls: a null text is empty, a null role is the empty role, null ids, turns and sequence numbers sort first and stand for themselves. Ties:
+events of a message with one sequence number go by kind and text, messages with one first number by name. An event of an unknown (or no)
+kind is an error that names it. Two table rows with one conversation and turn are two turns, by role and text. Very long
+texts are whole turns. An empty log gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from simsearch.llm.common import table
 
@@ -34,6 +40,8 @@ CONTROL = re.compile(r"([<\[])(\\*)(/?s>|/?INST\])")
 ESCAPED = re.compile(r"([<\[])\\(\\*)(/?s>|/?INST\])")
 TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
 LOSS_ROLE = "assistant"
+KINDS = ("delta", "edit", "regenerate", "delete")
+PIECE = 64 << 10
 
 
 def escape(text: str) -> str:
@@ -44,45 +52,50 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1\2\3", text)
 
 
+def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    kinds = [to_arrow_type(f.dataType) for f in schema.fields]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], schema.names)
+
+
 def fold(events: DataFrame) -> DataFrame:
-    """events(conv_id, msg, seq, kind, role, text) to (conv_id, msg, role, text): one row a message that is left."""
+    """events(conv_id, msg, seq, kind, role, text) to (conv_id, msg, at, role, text): one row a message that is left, ``at`` being the
+    number of its first event. ``seq`` may be of any type that has an order."""
     key = ["conv_id", "msg"]
     dealt = events.select("conv_id", "msg", "seq", "kind", "role", "text").repartition(*key).sortWithinPartitions(*key, "seq", "kind", "text")
+    fields = [dealt.schema["conv_id"], dealt.schema["msg"], T.StructField("at", dealt.schema["seq"].dataType), T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]
+    schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, role, parts, alive = None, None, [], False
+        now, at, role, parts, alive = None, None, None, [], False
 
         def done() -> list[tuple]:
-            return [(*now, role or "", "".join(parts))] if now is not None and alive else []
+            return [(*now, at, role or "", "".join(parts))] if now is not None and alive else []
 
         for batch in batches:
             out = []
-            for conv, msg, kind, own_role, text in zip(*[batch.column(c).to_pylist() for c in (*key, "kind", "role", "text")], strict=True):
+            for conv, msg, seq, kind, own_role, text in zip(*[batch.column(c).to_pylist() for c in (*key, "seq", "kind", "role", "text")], strict=True):
+                if kind not in KINDS:
+                    raise ValueError(f"event of unknown kind {kind!r} in conversation {conv}; known: {KINDS}")
                 if (conv, msg) != now:
                     out += done()
-                    now, role, parts, alive = (conv, msg), own_role, [], True
+                    now, at, role, parts = (conv, msg), seq, own_role, []
                 role = own_role if own_role is not None else role
-                if kind == "delete":
-                    parts, alive = [], False
-                    continue
-                alive = True
-                if kind in ("edit", "regenerate"):
+                alive = kind != "delete"
+                if kind != "delta":
                     parts = []
-                parts.append(text or "")
-            yield _messages(out)
-        yield _messages(done())
-
-    return dealt.mapInArrow(run, "conv_id bigint, msg string, role string, text string")
+                if alive:
+                    parts.append(text or "")
+            yield _batch(out, schema)
+        yield _batch(done(), schema)
 
-
-def _messages(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["conv_id", "msg", "role", "text"])
+    return dealt.mapInArrow(run, schema)
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """conv_id, msg, formatted (one turn) and the loss mask inside it as [loss_start, loss_end); the same twice if it covers nothing."""
+    """conv_id, at, msg, formatted (one turn) and the loss mask inside it as [loss_start, loss_end); the same twice if it covers nothing."""
+    kept = ["conv_id", "at", "msg"]
+    added = T.StructType.fromDDL("formatted string, loss_start bigint, loss_end bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,70 +106,105 @@ def render(messages: DataFrame) -> DataFrame:
                 formatted.append(head + body + CLOSE)
                 start.append(len(head))
                 end.append(len(head) + (len(body) if role == LOSS_ROLE else 0))
-            columns = [batch.column("conv_id"), batch.column("msg"), pa.array(formatted, pa.string()), pa.array(start, pa.int64()), pa.array(end, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["conv_id", "msg", "formatted", "loss_start", "loss_end"])
+            columns = [*[batch.column(c) for c in kept], pa.array(formatted, pa.string()), pa.array(start, pa.int64()), pa.array(end, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *added.names])
 
-    return messages.mapInArrow(run, "conv_id bigint, msg string, formatted string, loss_start bigint, loss_end bigint")
+    return messages.mapInArrow(run, T.StructType([messages.schema[c] for c in kept] + added.fields))
 
 
-def read_back(rendered: DataFrame) -> DataFrame:
-    """Digests of each conversation as its formatted turns tell them, in the order of ``msg``; turns are streamed, not gathered."""
-    dealt = rendered.repartition("conv_id").sortWithinPartitions("conv_id", "msg")
+class Reader:
+    """Reads one conversation's output as it comes, in pieces of any length: turns are found by the template alone, the
+    loss by its ranges in the whole string."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state = None, None
-        for batch in batches:
-            out = []
-            columns = [batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_start", "loss_end")]
-            for conv, formatted, start, end in zip(*columns, strict=True):
-                if state is None or conv != now:
-                    out += [] if state is None else [_digests(now, state)]
-                    now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for turn in TURN.finditer(formatted):
-                    role, text = unescape(turn[1]), unescape(turn[2])
-                    state[0] += 1
-                    state[1].update(f"{role}\n{text}\n".encode())
-                masked = unescape(formatted[start:end])
-                state[2] += len(masked)
-                state[3].update(masked.encode())
-                state[4] += len(formatted)
-            yield _summary(out)
-        yield _summary([] if state is None else [_digests(now, state)])
-
-    schema = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    return dealt.mapInArrow(run, schema)
+    def __init__(self):
+        self.turns, self.chars, self.loss_chars = 0, 0, 0
+        self.turn_digest, self.loss_digest = hashlib.sha256(), hashlib.sha256()
+        self.held, self.masks = "", deque()
 
+    def read(self, piece: str, masks: list[tuple[int, int]]) -> None:
+        """The next piece, and the ranges of the loss that begin in it, counted from the conversation's start."""
+        self.held += piece
+        self.chars += len(piece)
+        self.masks.extend(masks)
+        start, at = self.chars - len(self.held), 0
+        while turn := TURN.match(self.held, at):
+            self.turns += 1
+            self.turn_digest.update(f"{unescape(turn[1])}\n{unescape(turn[2])}\n".encode())
+            at = turn.end()
+        while self.masks and self.masks[0][1] <= start + at:
+            low, high = self.masks.popleft()
+            masked = unescape(self.held[low - start : high - start])
+            self.loss_chars += len(masked)
+            self.loss_digest.update(masked.encode())
+        self.held = self.held[at:]
 
-def _digests(conv, state) -> tuple:
-    return conv, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]
+    def row(self, conv) -> tuple:
+        if self.held:
+            raise ValueError(f"conversation {conv} ends inside a turn")
+        return conv, self.turns, self.turn_digest.hexdigest(), self.loss_chars, self.loss_digest.hexdigest(), self.chars
 
 
-def _summary(rows: list[tuple]) -> pa.RecordBatch:
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+DIGESTS = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+
+
+def read_back(rendered: DataFrame) -> DataFrame:
+    """Digests of each conversation as its formatted string tells them. The turns stand in the order of ``at``; the string is read
+    in pieces of about ``PIECE`` characters, whose borders are not those of turns."""
+    dealt = rendered.repartition("conv_id").sortWithinPartitions("conv_id", "at", "msg")
+    schema = T.StructType([rendered.schema["conv_id"], *T.StructType.fromDDL(DIGESTS).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, reader = None, None
+        for batch in batches:
+            out, conv_ids = [], batch.column("conv_id").to_pylist()
+            text, start, end = (batch.column(c).to_pylist() for c in ("formatted", "loss_start", "loss_end"))
+            at = 0
+            while at < len(conv_ids):
+                if reader is None or conv_ids[at] != now:
+                    out += [] if reader is None else [reader.row(now)]
+                    now, reader = conv_ids[at], Reader()
+                upto, size, masks = at, reader.chars, []
+                while upto < len(conv_ids) and conv_ids[upto] == now:
+                    masks.append((size + start[upto], size + end[upto]))
+                    size += len(text[upto])
+                    upto += 1
+                whole = "".join(text[at:upto])
+                for i in range(0, len(whole), PIECE):
+                    low = reader.chars
+                    own = [m for m in masks if low <= m[0] < low + PIECE] if len(whole) > PIECE else masks
+                    reader.read(whole[i : i + PIECE], own)
+                at = upto
+            yield _batch(out, schema)
+        yield _batch([] if reader is None else [reader.row(now)], schema)
+
+    return dealt.mapInArrow(run, schema)
 
 
 def log_of(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns as an event log; each turn streams in as two deltas.
+    """A table of finished turns as an event log whose fold gives the table again.
 
-    ``msg`` is a sortable name: the turn, and a number among rows of one turn.
+    A conversation's sequence runs by turn, and by copy among rows of one turn. By a hash of its place a turn comes whole, in two deltas, as a draft
+    that is regenerated, as a beginning that is edited, or after an aside that is deleted. Message names say nothing of the order.
     """
     order = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.row_number().over(order).alias("copy"))
     sortable = F.lpad(F.hex(F.coalesce("turn", F.lit(-(1 << 63))).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    place = F.concat(sortable, F.lit("-"), F.lpad(F.hex("copy"), 16, "0"))
     half = F.expr("cast(length(text) div 2 as int)")
-    deltas = F.array(
-        F.struct(F.lit(0).alias("seq"), F.expr("left(text, cast(length(text) div 2 as int))").alias("text")),
-        F.struct(F.lit(1).alias("seq"), F.substring("text", half + 1, F.length("text")).alias("text")),
-    )
-    return rows.select(
-        F.col("conv_id").cast("bigint").alias("conv_id"),
-        F.concat(sortable, F.lit("-"), F.lpad(F.hex("copy"), 16, "0")).alias("msg"),
-        "role",
-        F.explode(deltas).alias("d"),
-    ).select("conv_id", "msg", "d.seq", F.lit("delta").alias("kind"), "role", "d.text")
+    start, rest, draft = F.expr("left(text, cast(length(text) div 2 as int))"), F.substring("text", half + 1, F.length("text")), F.reverse("text")
+    event = lambda step, kind, text, aside=False: F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), text.alias("text"), F.lit(aside).alias("aside"))
+    forms = [
+        [event(0, "delta", F.col("text"))],
+        [event(0, "delta", start), event(1, "delta", rest)],
+        [event(0, "delta", draft), event(1, "regenerate", start), event(2, "delta", rest)],
+        [event(0, "delta", start), event(1, "edit", F.col("text"))],
+        [event(0, "delta", draft, True), event(1, "delta", start), event(2, "delete", F.lit(""), True), event(3, "delta", rest)],
+    ]
+    kind = F.pmod(F.xxhash64("conv_id", "turn", "copy"), F.lit(len(forms)))
+    events = functools.reduce(lambda c, f: c.when(kind == f[0], F.array(*f[1])), enumerate(forms), F)
+    told = rows.select(F.col("conv_id").cast("bigint").alias("conv_id"), place.alias("place"), "role", F.explode(events).alias("e"))
+    name = F.concat(F.reverse("place"), F.when(F.col("e.aside"), "a").otherwise("m"))
+    return told.select("conv_id", name.alias("msg"), F.concat("place", F.lit("-"), F.col("e.step").cast("string")).alias("seq"), "e.kind", "role", "e.text")
 
 
 def op5_chat_format(spark, sf_dir):
