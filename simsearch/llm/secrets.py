@@ -5,10 +5,10 @@ identifier of 18 or more), ``hex`` (16 or more hexadecimal digits). They are alw
 
 Weak candidates: ``ident`` (a named user, account or client), ``endpoint`` (an address with a scheme, or a named host) and
 ``opaque`` (20 or more characters of a token alphabet with capitals, small letters and digits). Parts play one of three roles:
-identifier (access, ident), secret (assign, hex, opaque), endpoint. An interval join inside each scope, a block of lines
-without an empty line between, links a weak part with parts of a complementary role not more than ``REACH`` characters away:
-a secret with an identifier or an endpoint, and these with a secret. Only linked weak candidates are reported. The join looks at the
-nearest part on either side by binary search, so a text with many parts costs n log n.
+identifier (access, ident), secret (assign, hex, opaque), endpoint. Scopes, the blocks of lines without an empty line between, are
+intervals of the text; every part is joined to the one that holds it by binary search, and a weak part is linked if its scope
+holds a part of a complementary role, however far: a secret needs an identifier or an endpoint, and these need a
+secret. Only linked weak candidates are reported. A text with n parts costs n log n.
 
 Positions are code points, ends exclusive. Each text is scanned whole, in the task that holds it. Nulls: a null text is empty. Repeated
 rows are scanned each. An empty table gives no rows. ``redact`` returns every column it was given.
@@ -24,6 +24,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from simsearch.llm.common import map_slices, table
 
@@ -36,7 +37,6 @@ ASSIGN_CHARS, ACCESS_CHARS = 12, 18
 IDENT = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", re.IGNORECASE | re.ASCII)
 ENDPOINT = re.compile(r"""\b(?:[a-z][a-z0-9+]{1,11}://[^\s"'<>]+|(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:-]{4,})""", re.ASCII)
 OPAQUE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
-REACH = 200
 KINDS = ("assign", "access", "hex", "ident", "endpoint", "opaque")
 BASE = KINDS[:3]
 ROLE = {"assign": "secret", "hex": "secret", "opaque": "secret", "access": "identifier", "ident": "identifier", "endpoint": "endpoint"}
@@ -62,38 +62,17 @@ def weak_spans(text: str) -> list[Span]:
 
 
 def linked(text: str, base: list[Span], weak: list[Span]) -> list[Span]:
-    """The weak candidates with a complementary part in reach and scope. A candidate inside a base span adds nothing."""
+    """The weak candidates with a complementary part in their scope. A candidate that touches a base span adds nothing."""
     taken = sorted((s, e) for s, e, _ in base)
     starts = [s for s, _ in taken]
-    furthest, most = [], 0
-    for _, e in taken:
-        most = max(most, e)
-        furthest.append(most)
+    furthest = list(itertools.accumulate((e for _, e in taken), max))
     free = [w for w in weak if not ((i := bisect.bisect_left(starts, w[1])) and furthest[i - 1] > w[0])]
     if not free:
         return []
     borders = [m.start() for m in SCOPE_END.finditer(text)]
-    scope = lambda at: bisect.bisect_left(borders, at)
-    by_role: dict[str, list[tuple[int, int]]] = {"secret": [], "identifier": [], "endpoint": []}
-    for s, e, kind in base + free:
-        by_role[ROLE[kind]].append((s, e))
-    index = {}
-    for role, parts in by_role.items():
-        parts.sort()
-        ends = sorted((e, s) for s, e in parts)
-        index[role] = ([s for s, _ in parts], [e for e, _ in ends], list(itertools.accumulate((e for _, e in parts), max)))
-
-    def near(span: Span, role: str) -> bool:
-        part_starts, part_ends, reached = index[role]
-        after = bisect.bisect_left(part_starts, span[0])
-        if after < len(part_starts) and part_starts[after] - span[1] <= REACH and scope(part_starts[after]) == scope(span[0]):
-            return True
-        if after and reached[after - 1] > span[1]:
-            return True  # a part around the span; no part goes over the end of a line
-        before = bisect.bisect_right(part_ends, span[1]) - 1
-        return before >= 0 and span[0] - part_ends[before] <= REACH and scope(part_ends[before] - 1) == scope(span[0])
-
-    return [w for w in free if any(near(w, role) for role in PARTNERS[ROLE[w[2]]])]
+    scope = lambda span: bisect.bisect_left(borders, span[0])
+    roles = {(scope(span), ROLE[span[2]]) for span in base + free}
+    return [w for w in free if any((scope(w), role) in roles for role in PARTNERS[ROLE[w[2]]])]
 
 
 def spans_of(data: bytes) -> list[Span]:
@@ -148,12 +127,13 @@ def redact(docs: DataFrame) -> DataFrame:
             texts.append("".join([*parts, text[at:]]))
         return pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())], ["_row", "_text"])
 
-    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("_row")
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    rest = F.struct(*[F.col(quoted(c)) for c in docs.columns if c != "text"]).alias("_row")
     rows = docs.select(rest, F.col("text").cast("binary").alias("_text"))
-    kind = rows.schema["_row"].dataType.simpleString()
-    done = map_slices(rows, "_text", work, f"_row {kind}, _text string")
+    schema = T.StructType([rows.schema["_row"], T.StructField("_text", T.StringType())])
+    done = map_slices(rows, "_text", work, schema)
     length = F.length("_text").cast("bigint")
-    return done.select(*[F.col("_text").alias("text") if c == "text" else length.alias(c) if c == "n_chars" else F.col(f"_row.`{c}`") for c in docs.columns])
+    return done.select(*[F.col("_text").alias("text") if c == "text" else length.alias(c) if c == "n_chars" else F.col(f"_row.{quoted(c)}") for c in docs.columns])
 
 
 def op6_secret_scan(spark, sf_dir):
