@@ -2,13 +2,17 @@
 
 The space has four dimensions in [0, 1]: logarithm of the size, id, source and language (names by hash). A node that stands
 for m shards is cut along its widest dimension into parts of floor(m / 2) and the rest, where the summed bytes stand in that
-proportion. The cut is a weighted median found by the cluster: bytes are counted by 4,096 cells of the dimension, the cell of
-the cut is divided again, three times in all. Values equal in the dimension are ordered by a hash of the row's identity, so
-a value that holds a third of the bytes is cut as finely as any other. The driver only sees one cut a node and pass.
-
-Law ``bytes``: shard sizes are near equal. Nulls: a null text has no bytes; null ids, sources and languages lie at 0. Rows
-that repeat with id and text are one point and share a shard, each with its own slot. An empty table gives no rows.
-Only ``doc_id``, ``text``, ``lang`` and ``source`` are read.
+proportion. The cut is a weighted median found by the cluster: bytes are counted by 32,768 cells of the dimension, the cell of
+the cut is divided again, four times in all. Values equal in the dimension are ordered by a hash of the row's identity and then, so that
+rows that repeat are told apart too, by a number each row got when the table was written: a value, or one repeated row, that holds a
+third of the bytes is cut as finely as any other. The driver only sees one cut a node and pass. The number of leaves is given,
+or follows from the bytes that a leaf should hold: a node is cut until its share is one leaf's.
+
+Law ``bytes``: shard sizes are near equal. Equal texts are rows like any other: near-equal sizes come first, so a text that holds more than a
+shard's bytes is spread over several shards. Nulls: a null text has no bytes; null ids, sources and languages lie at 0.
+Repeated rows get a slot each; which of them goes to which shard may differ from run to run, their number does not. Very long texts
+count by their bytes; one that exceeds a shard's share has a shard to itself. An empty table gives no rows. Only ``doc_id``, ``text``, ``lang`` and
+``source`` are read.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ from simsearch.llm.common import bounded_broadcast, table
 from simsearch.session import checkpoint
 
 DIMENSIONS = ("d_size", "d_id", "d_source", "d_lang")
-VALUE_BITS, TIE_BITS, PASS_BITS, PASSES = 20, 16, 12, 3
+VALUE_BITS, NAME_BITS, REPEAT_BITS = 20, 24, 16
+TIE_BITS, PASS_BITS, PASSES = NAME_BITS + REPEAT_BITS, 15, 4
 SLOT_ROWS = 20_000
 ROW_BYTES = 8
 
@@ -65,7 +70,10 @@ def points(docs: DataFrame) -> DataFrame:
         "d_source": F.col("source"),
         "d_lang": F.col("lang"),
     }
-    tie = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << TIE_BITS))
+    # the rows are written: a row's number stays the same whenever it is read again
+    name = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << NAME_BITS))
+    repeat = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << REPEAT_BITS))
+    tie = name * (1 << REPEAT_BITS) + repeat
     place = lambda v: F.floor(F.least(v, F.lit(1.0)) * ((1 << VALUE_BITS) - 1)).cast("bigint") * (1 << TIE_BITS) + tie
     return checkpoint(rows.select("doc_id", "size", "text_crc32", *[place(v).alias(d) for d, v in values.items()]))
 
@@ -98,7 +106,7 @@ def split_level(rows: DataFrame, nodes: list[Cut]) -> None:
         shift = VALUE_BITS + TIE_BITS - PASS_BITS * (step + 1)
         inside = keyed.where(F.shiftright("key", shift + PASS_BITS) == _by_node(prefix)) if step else keyed
         cells = inside.groupBy("node", F.shiftright("key", shift).alias("cell")).agg(F.sum("size").alias("size"))
-        upto = F.sum("size").over(Window.partitionBy("node").orderBy("cell"))  # at most 4,096 cells a node
+        upto = F.sum("size").over(Window.partitionBy("node").orderBy("cell"))  # at most 2^PASS_BITS cells a node
         crossing = cells.select("node", "cell", "size", upto.alias("upto")).where(F.col("upto") > _by_node(want))
         hits = crossing.groupBy("node").agg(F.min_by(F.struct("cell", "size", "upto"), "cell").alias("c")).select("node", "c.*")
         for hit in hits.collect():
@@ -133,9 +141,13 @@ def number(rows: DataFrame, shards: int) -> DataFrame:
     return ranked.join(shifts, ["shard", "cell"]).withColumn("slot", F.col("place") + F.col("before"))
 
 
-def shard(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot."""
-    placed = place(points(docs), shards).select("doc_id", "size", "text_crc32", F.col("node").cast("int").alias("shard"))
+def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot: so many shards, or as many as leave ``target_bytes`` to each (24 if neither is given)."""
+    rows = points(docs)
+    if shards is None and target_bytes is not None:
+        shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
+    shards = shards or 24
+    placed = place(rows, shards).select("doc_id", "size", "text_crc32", F.col("node").cast("int").alias("shard"))
     return number(placed, shards).select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("bigint").alias("slot"))
 
 
