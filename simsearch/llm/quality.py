@@ -3,10 +3,14 @@
 Fixed rules: fewer than 20 words, or more than 30 in 100 words inside eight-word windows that repeat in the text.
 
 Adaptive rules: three ratios of every document with 20 words or more (symbols per 100 words, repeated lines per 100 lines,
-characters per 100 words) are counted in whole-number bins by (language, source). Such a count table is a quantile sketch: two
-tables merge by adding the counts of equal bins, in any order, with the same result. The same table summed over sources, and
-over everything, serves groups under ``MIN_GROUP`` documents. A document is rejected beyond an outer fence, the
-quartile plus three times the quartile range and never less than a fixed margin, so a group of clean documents rejects none.
+characters per 100 words) are counted in bins by (language, source). Bins are the ratio's leading ``BIN_BITS`` bits: exact below
+256, beyond that a quantile is low by less than one part in 128, and there is no last bin. Such a count table is a
+quantile sketch: two tables merge by adding the counts of equal bins, in any order, with the same result, and a table has at
+most 7,424 bins a ratio. A document is rejected beyond an outer fence, the quartile plus three times the quartile
+range and never less than a fixed margin, so a group of clean documents rejects none.
+
+A group's fences are the mean, by weight, of its own, with one vote a document, and its language's, with ``PRIOR`` votes; a language's are
+so mixed with those of all documents. The votes of others fade as a group grows; there is no size at which the rule changes.
 
 Nulls: a null text has no words and fails the fixed rules; null languages or sources form groups of their own. Repeated rows
 are judged one by one. An empty table gives no rows. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read; ``keep``
@@ -24,9 +28,9 @@ from simsearch.session import checkpoint
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
-MIN_GROUP = 50
-# Widest bin of each ratio (an open top bin), and the least distance of a fence from its quartile.
-TOP_BIN = {"symbols": 1000, "lines": 100, "length": 10000}
+PRIOR = 10
+BIN_BITS = 8
+# The least distance of a fence from its quartile.
 MARGIN = {"symbols": 10, "lines": 40, "length": 150}
 FENCE = 3
 _NO_NAME = "\x00"  # stands for a null language or source in keys
@@ -74,9 +78,9 @@ def measures(docs: DataFrame, *carry: Column) -> DataFrame:
 
 def _bins() -> dict[str, Column]:
     parts = {"symbols": ("n_symbols", "n_words"), "lines": ("n_dup_lines", "n_lines"), "length": ("word_chars", "n_words")}
-    return {
-        name: F.least(F.expr(f"coalesce(try_divide({a} * 100, {b}), 0)").cast("bigint"), F.lit(TOP_BIN[name])) for name, (a, b) in parts.items()
-    }
+    ratio = lambda a, b: f"cast(coalesce(try_divide({a} * 100, {b}), 0) as bigint)"
+    cut = lambda r: f"greatest(0, length(bin({r})) - {BIN_BITS})"  # noqa: E731  bits that a bin leaves out
+    return {name: F.expr(f"shiftleft(shiftright({r}, {cut(r)}), {cut(r)})") for name, r in ((n, ratio(*p)) for n, p in parts.items())}
 
 
 def base_failed() -> Column:
@@ -115,7 +119,7 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
         "max_symbols": F.col("q3") + margin("symbols"),
         "max_lines": F.col("q3") + margin("lines"),
         "max_length": F.col("q3") + margin("length"),
-        "min_length": F.col("q1") - margin("length"),
+        "min_length": F.greatest(F.lit(0), F.col("q1") - margin("length")),
     }
     return by_ratio.groupBy(*keys).agg(
         F.max("total").alias("n_docs"),
@@ -126,15 +130,20 @@ def _fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
 LIMITS = ("max_symbols", "max_lines", "max_length", "min_length")
 
 
+def _mixed(own: str, n: str, others: Column) -> Column:
+    """A limit with ``n`` votes for its own value and ``PRIOR`` for the others', in whole numbers."""
+    return F.call_function("div", F.col(own) * F.col(n) + PRIOR * others, F.col(n) + PRIOR)
+
+
 def thresholds(docs: DataFrame) -> DataFrame:
-    """The limits of each (language, source): its own, or those of the language or of all for a small group."""
+    """The limits of each (language, source)."""
     sketch = checkpoint(sketches(docs))
     fine, coarse = _fences(sketch, ["g_lang", "g_source"]), _fences(sketch, ["g_lang"])
     everything = _fences(sketch, []).select(*LIMITS).first()  # one row
-    by_lang = coarse.select("g_lang", *[F.col(c).alias("l_" + c) for c in ("n_docs", *LIMITS)])
-    joined = fine.join(by_lang, "g_lang").select("*", *[F.lit(everything[c] if everything else None).alias("a_" + c) for c in LIMITS])
-    pick = lambda c: F.when(F.col("n_docs") >= MIN_GROUP, F.col(c)).when(F.col("l_n_docs") >= MIN_GROUP, F.col("l_" + c)).otherwise(F.col("a_" + c))
-    return checkpoint(joined.select("g_lang", "g_source", *[pick(c).alias(c) for c in LIMITS]))
+    whole = {c: F.lit(everything[c] if everything else None).cast("bigint") for c in LIMITS}
+    by_lang = coarse.select("g_lang", *[_mixed(c, "n_docs", whole[c]).alias("l_" + c) for c in LIMITS])
+    mixed = fine.join(by_lang, "g_lang").select("g_lang", "g_source", *[_mixed(c, "n_docs", F.col("l_" + c)).alias(c) for c in LIMITS])
+    return checkpoint(mixed)
 
 
 def judge(docs: DataFrame, *carry: Column) -> DataFrame:
@@ -184,20 +193,27 @@ m AS (SELECT r, doc_id, lang, source, len(words) AS n_words, length(array_to_str
 g AS (SELECT r, i, array_to_string(words[i:i + 7], ' ') AS win FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
 d AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM g) WHERE c > 1),
 c AS (SELECT r, sum(least(8, coalesce(nxt - i, 8))) AS n FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM d) GROUP BY r),
-f AS (SELECT m.*, coalesce(c.n, 0) AS n_repeat_words, n_words < 20 OR 100 * coalesce(c.n, 0) > 30 * n_words AS base_failed,
-    CASE WHEN n_words = 0 THEN 0 ELSE least(n_symbols * 100 // n_words, 1000) END AS b1,
-    CASE WHEN n_lines = 0 THEN 0 ELSE least(n_dup_lines * 100 // n_lines, 100) END AS b2,
-    CASE WHEN n_words = 0 THEN 0 ELSE least(word_chars * 100 // n_words, 10000) END AS b3 FROM m LEFT JOIN c USING (r)),
+fr AS (SELECT m.*, coalesce(c.n, 0) AS n_repeat_words, n_words < 20 OR 100 * coalesce(c.n, 0) > 30 * n_words AS base_failed,
+    CASE WHEN n_words = 0 THEN 0 ELSE n_symbols * 100 // n_words END AS r1,
+    CASE WHEN n_lines = 0 THEN 0 ELSE n_dup_lines * 100 // n_lines END AS r2,
+    CASE WHEN n_words = 0 THEN 0 ELSE word_chars * 100 // n_words END AS r3 FROM m LEFT JOIN c USING (r)),
+f AS (SELECT *, r1 - r1 % (1::BIGINT << greatest(0, length(ltrim(bin(r1), '0')) - 8)) AS b1,
+    r2 - r2 % (1::BIGINT << greatest(0, length(ltrim(bin(r2), '0')) - 8)) AS b2,
+    r3 - r3 % (1::BIGINT << greatest(0, length(ltrim(bin(r3), '0')) - 8)) AS b3 FROM fr),
 s AS (SELECT lang, source, GROUPING(lang, source) AS level, count(*) AS n,
     quantile_disc(b1, 0.25) AS s1, quantile_disc(b1, 0.75) AS s3, quantile_disc(b2, 0.25) AS d1, quantile_disc(b2, 0.75) AS d3,
     quantile_disc(b3, 0.25) AS l1, quantile_disc(b3, 0.75) AS l3
     FROM f WHERE n_words >= 20 GROUP BY GROUPING SETS ((lang, source), (lang), ())),
 x AS (SELECT lang, source, level, n, s3 + greatest(3 * (s3 - s1), 10) AS max_s, d3 + greatest(3 * (d3 - d1), 40) AS max_d,
-    l3 + greatest(3 * (l3 - l1), 150) AS max_l, l1 - greatest(3 * (l3 - l1), 150) AS min_l FROM s),
-p AS (SELECT a.lang, a.source, unnest([CASE WHEN a.n >= 50 THEN a WHEN b.n >= 50 THEN b ELSE c END]) AS z
-    FROM x a JOIN x b ON a.lang = b.lang AND b.level = 1 JOIN x c ON c.level = 3 WHERE a.level = 0)
+    l3 + greatest(3 * (l3 - l1), 150) AS max_l, greatest(0, l1 - greatest(3 * (l3 - l1), 150)) AS min_l FROM s),
+y AS (SELECT b.lang, (b.n * b.max_s + 10 * c.max_s) // (b.n + 10) AS max_s, (b.n * b.max_d + 10 * c.max_d) // (b.n + 10) AS max_d,
+    (b.n * b.max_l + 10 * c.max_l) // (b.n + 10) AS max_l, (b.n * b.min_l + 10 * c.min_l) // (b.n + 10) AS min_l
+    FROM x b JOIN x c ON c.level = 3 WHERE b.level = 1),
+z AS (SELECT a.lang, a.source, (a.n * a.max_s + 10 * y.max_s) // (a.n + 10) AS max_s, (a.n * a.max_d + 10 * y.max_d) // (a.n + 10) AS max_d,
+    (a.n * a.max_l + 10 * y.max_l) // (a.n + 10) AS max_l, (a.n * a.min_l + 10 * y.min_l) // (a.n + 10) AS min_l
+    FROM x a JOIN y ON a.lang = y.lang WHERE a.level = 0)
 SELECT f.doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
     n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
     NOT base_failed AND NOT coalesce(b1 > z.max_s OR b2 > z.max_d OR b3 > z.max_l OR b3 < z.min_l, false) AS kept
-FROM f LEFT JOIN p ON f.lang = p.lang AND f.source = p.source
+FROM f LEFT JOIN z ON f.lang = z.lang AND f.source = z.source
 """
