@@ -5,11 +5,12 @@ an item; a shorter item with a word is one window. The documents of a batch are
 window, a bit table that drops almost all of them, and an exact comparison of the words for the rest, so a chance hit of the hash
 never counts. Documents stay where they lie; nothing is shuffled.
 
-The set is broadcast in parts of at most ``PART_BYTES`` of item text, measured first; each further part is another pass over the
-documents with the hits so far kept in the rows.
+The set is broadcast in parts of at most ``PART_BYTES`` of item text, measured first, from which each worker builds its table (sorted
+hashes and places in one buffer: a few times the part's bytes); each further part is another pass over the documents with
+the hits so far kept in the rows.
 
 Nulls: a null text has no words; an item without an id still marks words but is not listed. Repeated rows are judged each, repeated
-items count once. With an empty benchmark nothing is hit; an empty table gives no rows. Only the named columns are read.
+items count once. Very long texts are read whole, in batches of bounded bytes. Ties do not arise: every item of a window is listed. With an empty benchmark nothing is hit; an empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from simsearch.llm.common import map_slices, table
 from simsearch.session import checkpoint
@@ -40,38 +42,53 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Windows:
-    """The benchmark's windows by length: hashes, a bit table over them, and the exact words with their items."""
+    """The benchmark's windows by length: sorted hashes, a bit table over them, and where the exact words of each lie in one buffer.
+
+    A window costs about 30 bytes beside the items' words, so a worker holds a few times the text it was given.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes]], size: int):
-        exact: dict[int, dict[bytes, set]] = defaultdict(lambda: defaultdict(set))
+        self.names = sorted({item for item, _ in items if item is not None})
+        number = {name: i for i, name in enumerate(self.names)} | {None: -1}
+        bodies, at, found = [], 0, defaultdict(list)
         for item, text in items:
             words = words_of(text)
             length = min(size, len(words))
-            for i in range(len(words) - length + 1 if words else 0):
-                exact[length][b" ".join(words[i : i + length])].add(item)
+            if not words:
+                continue
+            ends = at + np.cumsum([len(w) + 1 for w in words]) - 1
+            starts = np.concatenate([[at], ends[:-1] + 1])
+            n = len(words) - length + 1
+            found[length].append((rolling(word_hashes(words), length), starts[:n], ends[length - 1 :], np.full(n, number[item], dtype=np.int32)))
+            bodies.append(b" ".join(words))
+            at = int(ends[-1]) + 1
+        self.buffer = b" ".join(bodies)
         self.by_length = {}
-        for length, windows in exact.items():
-            hashes = np.unique(np.concatenate([rolling(word_hashes(w.split(b" ")), length) for w in windows]))
+        for length, parts in found.items():
+            hashes, starts, ends, item = (np.concatenate(column) for column in zip(*parts, strict=True))
+            order = np.argsort(hashes, kind="stable")
             bits = np.zeros(1 << TABLE_BITS, dtype=bool)
             bits[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
-            self.by_length[length] = (hashes, bits, {k: sorted(x for x in v if x is not None) for k, v in windows.items()})
+            self.by_length[length] = (hashes[order], bits, starts[order], ends[order], item[order])
 
     def find(self, words: list[bytes], document: np.ndarray) -> tuple[list[tuple[int, int]], dict[int, set]]:
         """Hit word ranges over all documents of the batch, and the items by document."""
         spans, items = [], defaultdict(set)
         values = word_hashes(words)
-        for length, (hashes, bits, exact) in self.by_length.items():
+        for length, (hashes, bits, starts, ends, item) in self.by_length.items():
             if length > len(words):
                 continue
             rolled = rolling(values, length)
             at = np.flatnonzero(bits[(rolled >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
             at = at[document[at] == document[at + length - 1]]
-            at = at[hashes[np.minimum(np.searchsorted(hashes, rolled[at]), len(hashes) - 1)] == rolled[at]]
-            for i in at.tolist():
-                found = exact.get(b" ".join(words[i : i + length]))
-                if found is not None:
+            low, high = np.searchsorted(hashes, rolled[at]), np.searchsorted(hashes, rolled[at], side="right")
+            met = np.flatnonzero(low < high)
+            for i, lo, hi in zip(at[met].tolist(), low[met].tolist(), high[met].tolist(), strict=True):
+                window = b" ".join(words[i : i + length])
+                own = [j for j in range(lo, hi) if self.buffer[starts[j] : ends[j]] == window]
+                if own:
                     spans.append((i, i + length))
-                    items[int(document[i])].update(found)
+                    items[int(document[i])].update(self.names[item[j]] for j in own if item[j] >= 0)
         return spans, items
 
 
@@ -134,9 +151,8 @@ def _pass(docs: DataFrame, held, size: int) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, [*rest, "_text", "_spans", "_items", "_words"])
 
-    kinds = dict((f.name, f.dataType.simpleString()) for f in docs.schema.fields)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in rest] + ["_text binary", "_spans array<bigint>", "_items array<string>", "_words bigint"])
-    return map_slices(docs, "_text", work, schema)
+    inner = T.StructType.fromDDL("_text binary, _spans array<bigint>, _items array<string>, _words bigint")
+    return map_slices(docs, "_text", work, T.StructType([docs.schema[c] for c in rest] + inner.fields))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *carry, size: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
