@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from simsearch.llm.common import ascii_lower, table
 
@@ -99,7 +100,8 @@ class Automaton:
         at = 0
         while at < len(order):
             longest = max(1, int(lengths[order[at]]))
-            own = order[at : at + max(1, STEP_BYTES // (longest * 9))]
+            # a URL's row of states and its bytes, and a boolean for each glob
+            own = order[at : at + max(1, STEP_BYTES // (longest + 40 * self.words + len(self.globs)))]
             out[own] = self._accepted(self._simulate([urls[i] for i in own], lengths[own]))
             at += len(own)
         return out
@@ -148,8 +150,8 @@ def judge(pages: DataFrame, *carry, rules: list[Glob] | None = None, deny: tuple
             columns = [*batch.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "rule", "verdict"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{schema}, rule string, verdict string")
+    verdicts = [T.StructField(c, T.StringType()) for c in ("rule", "verdict")]
+    return rows.mapInArrow(run, T.StructType(rows.schema.fields + verdicts))
 
 
 def keep(pages: DataFrame) -> DataFrame:
