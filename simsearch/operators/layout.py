@@ -16,6 +16,8 @@ def spread_small(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:  # before any file is listed
+        return df
     files = df.inputFiles()
     if not 0 < len(files) < cores:
         return df

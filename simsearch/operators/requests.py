@@ -20,6 +20,8 @@ MAX_NPROBE = 1024
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 QUANTILE_BUCKETS = 512
 QUANTILE_ERROR = 1 / 4096
+SKETCH_SIZE = 200
+RANK_ERROR = 0.02  # of a sketch of this size, merged or not
 SORT_VALUES = 1_000_000  # distinct values that one task orders
 
 
@@ -124,12 +126,38 @@ def latency_stats(log: DataFrame, percentiles: dict[str, float] = PERCENTILES) -
     )
 
 
-def approximate_latency(log: DataFrame, percentiles: dict[str, float] = PERCENTILES) -> DataFrame:
-    """The percentiles from a mergeable sketch: one pass, approximate."""
-    sketch = log.where("success").agg(F.kll_sketch_agg_double("latency").alias("s"))
-    return sketch.select(
-        *[F.kll_sketch_get_quantile_double("s", F.lit(p)).alias(n) for n, p in percentiles.items()]
-    )
+def latency_sketches(log: DataFrame, window: str = "1 hour") -> DataFrame:
+    """``(window_start, sketch, n)``: one mergeable quantile sketch of the successful requests' latency a window, to be stored."""
+    timed = log.where(F.col("success") & F.col("latency").isNotNull()).groupBy(F.window("ts", window).alias("w"))
+    made = timed.agg(F.kll_sketch_agg_double(F.col("latency"), F.lit(SKETCH_SIZE)).alias("sketch"), F.count("*").alias("n"))
+    return made.select(F.col("w.start").alias("window_start"), "sketch", "n")
+
+
+def merge_sketches(sketches: DataFrame, window: str | None = None) -> DataFrame:
+    """Stored sketches of small windows merged into wider ones (or all into one): ``(window_start, sketch, n, merged)``."""
+    start = F.min("window_start") if window is None else F.window("window_start", window)["start"]
+    grouped = sketches.groupBy() if window is None else sketches.groupBy(start.alias("window_start"))
+    own = [start.alias("window_start")] if window is None else []
+    merged = grouped.agg(*own, F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("n"), F.count("*").alias("merged"))
+    return merged.select("window_start", "sketch", "n", "merged")
+
+
+def sketch_percentiles(sketches: DataFrame, percentiles: dict[str, float] = PERCENTILES) -> DataFrame:
+    """``(window_start, n, p50, ...)``: each percentile's rank is within ``RANK_ERROR`` of the asked one (99 of 100 times)."""
+    return sketches.select("window_start", "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(n) for n, p in percentiles.items()])
+
+
+def rank_errors(log: DataFrame, found: DataFrame, window: str, percentiles: dict[str, float] = PERCENTILES) -> DataFrame:
+    """``(window_start, name, error)``: how far the share of requests at or below a percentile's value is from the asked one.
+
+    A value that many requests share covers a range of ranks; the distance to that range counts. One row a window is broadcast.
+    """
+    named = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("share"), F.col(n).alias("value")) for n, p in percentiles.items()]))
+    asked = found.select("window_start", named.alias("q")).select("window_start", "q.*")
+    timed = log.where(F.col("success") & F.col("latency").isNotNull()).select(F.window("ts", window)["start"].alias("window_start"), "latency")
+    counted = timed.join(F.broadcast(asked), "window_start").groupBy("window_start", "name", "share")
+    ranks = counted.agg((F.count_if(F.col("latency") < F.col("value")) / F.count("*")).alias("low"), (F.count_if(F.col("latency") <= F.col("value")) / F.count("*")).alias("high"))
+    return ranks.select("window_start", "name", F.greatest(F.lit(0.0), F.col("low") - F.col("share"), F.col("share") - F.col("high")).alias("error"))
 
 
 def error_samples(log: DataFrame, n: int = 5) -> DataFrame:

@@ -9,7 +9,7 @@ from simsearch.operators.encode import HashingEncoder, encode_column
 from simsearch.operators.ivf import build_index, mean_centroids
 from simsearch.plans import searching
 from simsearch.registry import sql as q
-from simsearch.session import checkpoint
+from simsearch.session import checkpoint, shared_folder
 from simsearch.sources.tables import documents_as_papers, events_as_log
 
 DIM = 64
@@ -103,6 +103,17 @@ def latency_stats(spark, folder):
     return stats.withColumns({c: F.round(c, 6) for c in rounded})
 
 
+def latency_sketches(spark, folder):
+    """Hourly sketches, stored, read again and merged by day; whether every percentile is within the stated error of its exact rank."""
+    log = events_as_log(spark, folder)
+    path = shared_folder(spark, "sketches")
+    req.latency_sketches(log, WINDOW).write.parquet(path)
+    days = checkpoint(req.merge_sketches(spark.read.parquet(path), "1 day"))
+    errors = req.rank_errors(log, req.sketch_percentiles(days), "1 day").groupBy("window_start").agg(F.max("error").alias("error"))
+    shown = days.join(errors, "window_start").select("window_start", "n", F.col("merged").alias("n_hours"), (F.col("error") <= req.RANK_ERROR).alias("within_error"))
+    return _timestamps(shown, "window_start")
+
+
 def error_samples(spark, folder):
     errors = req.error_samples(events_as_log(spark, folder))
     return _timestamps(errors, "ts").select("request_id", "ts", "endpoint", "status_code")
@@ -121,7 +132,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         validate_requests, validate_without_index, embed_requests, search_requests, format_hits, request_counts,
-        latency_stats, error_samples, request_rate_windows, request_alerts,
+        latency_stats, latency_sketches, error_samples, request_rate_windows, request_alerts,
     )
 }
 
@@ -202,6 +213,9 @@ FROM hits JOIN papers USING (paper_id)""",
   (SELECT latency FROM good WHERE i = floor(n * 0.95::DOUBLE)) AS p95,
   (SELECT latency FROM good WHERE i = floor(n * 0.99::DOUBLE)) AS p99
 FROM log""",
+    "latency_sketches": q.with_(q.LOG)
+    + """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+  count(DISTINCT date_trunc('hour', ts)) AS n_hours, true AS within_error FROM log WHERE success GROUP BY date_trunc('day', ts)""",
     "error_samples": q.with_(q.LOG)
     + """SELECT request_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, endpoint, status_code
 FROM log WHERE NOT success ORDER BY log.ts, request_id LIMIT 5""",

@@ -17,8 +17,9 @@ from simsearch.registry import sql as q
 from simsearch.session import checkpoint, shared_folder
 from simsearch.sources import paper_store, store
 
-SEED, SAMPLE, PER_SUBJECT, DIM = 42, 250, 10, 64
+SEED, SAMPLE, PER_SUBJECT, DIM = 42, evaluation.DEFAULT_SAMPLE, 10, 64
 LISTS, MIN_POINTS = 16, 5
+GRADIENT_LEFT = 0.02
 TREE_BRANCHES, TREE_LEAVES, TREE_NPROBE = 4, 4, 12
 
 
@@ -92,7 +93,7 @@ def stored_pairs(spark, folder):
 
 
 def text_ir_metrics(spark, folder):
-    report = evaluation.evaluate_texts(corpus.papers(spark, folder), HashingEncoder(DIM), SAMPLE, SEED)
+    report = evaluation.evaluate_texts(corpus.papers(spark, folder), HashingEncoder(DIM), SAMPLE, SEED, "actual")
     return report.withColumn("value", F.round("value", 6))
 
 
@@ -104,7 +105,7 @@ def text_subject_metrics(spark, folder):
 def text_metric_delta(spark, folder):
     """A smaller and a larger encoder on the same texts."""
     papers = corpus.papers(spark, folder)
-    before, after = (evaluation.evaluate_texts(papers, HashingEncoder(dim), SAMPLE, SEED) for dim in (DIM // 2, DIM))
+    before, after = (evaluation.evaluate_texts(papers, HashingEncoder(dim), SAMPLE, SEED, "actual") for dim in (DIM // 2, DIM))
     return relevance.metric_delta(before, after).withColumns({c: F.round(c, 6) for c in ("before", "after", "delta")})
 
 
@@ -163,10 +164,12 @@ def ivf_tree(spark, folder):
 
 
 def pca_2d(spark, folder):
-    """What the two directions must satisfy: centred, uncorrelated, ordered, and within the total variance."""
+    """What the two directions must satisfy: centred, uncorrelated, ordered, within the total variance, and eigenvectors of the covariance
+    that sums over all pairs of components give (one row a pair, not the library's)."""
     source = vectors.papers(spark, folder)
     values = source.select("paper_id", F.posexplode(vec.as_double(F.col("embedding"))).alias("pos", "v"))
     total = values.groupBy("pos").agg(F.var_samp("v").alias("s")).agg(F.round(F.sum("s"), 6)).first()[0]
+    residual = project.eigen_residual(source, project.directions(source))
     xy = project.project_2d(source).agg(
         F.count("*").alias("n_points"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("c")
     )
@@ -176,18 +179,20 @@ def pca_2d(spark, folder):
         (F.abs("c") < 1e-9).alias("uncorrelated"),
         ((F.col("vx") >= F.col("vy")) & (F.col("vy") > 0)).alias("ordered"),
         ((F.col("vx") + F.col("vy")) <= total + 1e-6).alias("within_total"),
+        F.lit(residual <= 1e-9 * total).alias("eigenvectors"),
     )
 
 
 def _facts(model, rows, label):
-    """Per class of the test rows: how many there are and how many got a prediction; and whether the model tells the rows
-    it was fitted on at least as well as naming their largest class would. (The table's labels need not follow from its
+    """Per class of the test rows: how many there are and how many got a prediction; whether the model tells the rows
+    it was fitted on at least as well as naming their largest class would; and whether the fit ended near the minimum of its loss. (The table's labels need not follow from its
     vectors, so nothing is promised for the test rows.)"""
     scored = checkpoint(model.transform(rows).select("split", F.col(label).cast("string").alias("label"), "predicted"))
     fitted = scored.where("split = 'train'").groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.expr("label = predicted")).alias("h"))
     most, hits = fitted.agg(F.max("n"), F.sum("h")).first()
     per_class = scored.where("split = 'test'").groupBy("label").agg(F.count("*").alias("support"), F.count("predicted").alias("n_predicted"))
-    return per_class.select("*", F.lit(hits >= most).alias("fitted_beats_guessing"))
+    share = classify.gradient_share(model, rows.where("split = 'train'"), label)
+    return per_class.select("*", F.lit(hits >= most).alias("fitted_beats_guessing"), F.lit(share <= GRADIENT_LEFT).alias("near_the_minimum"))
 
 
 def embedding_classifier(spark, folder):
@@ -222,13 +227,13 @@ def _encoded(name: str = "papers", dim: int = DIM) -> str:
 
 
 def _evaluated(dim: int) -> str:
-    parts = q.with_(_RAW, _encoded(dim=dim), q.sample_roles(SAMPLE, "requested"), q.QRELS, q.exact_hits(100), q.query_metrics())
+    parts = q.with_(_RAW, _encoded(dim=dim), q.sample_roles(SAMPLE, "actual"), q.QRELS, q.exact_hits(100), q.query_metrics())
     return f"{parts}{q.metric_rows('per_query')}"
 
 
 def _classes(source: str, label: str) -> str:
     return f"""{q.ranked("by_test", source, SEED, "test")}
-SELECT {label}::VARCHAR AS label, count(*) AS support, count(*) AS n_predicted, true AS fitted_beats_guessing
+SELECT {label}::VARCHAR AS label, count(*) AS support, count(*) AS n_predicted, true AS fitted_beats_guessing, true AS near_the_minimum
 FROM by_test WHERE rk <= ceil(n * 0.2::DOUBLE) GROUP BY 1"""
 
 
@@ -263,7 +268,7 @@ FROM sampled GROUP BY 1 HAVING count(*) >= {MIN_POINTS}""",
     "ivf_train": "SELECT count(*) AS n_stored, count(*) AS n_papers, 0::BIGINT AS n_misplaced, true AS unit_centroids FROM embeddings",
     "ivf_tree": "SELECT count(*) AS n_stored, count(*) AS n_papers, 0::BIGINT AS n_misplaced, true AS finds_nine_of_ten FROM embeddings",
     "pca_2d": """SELECT (SELECT count(*) FROM embeddings) AS n_points, round(sum(s), 6) AS total_variance, true AS uncorrelated,
-  true AS ordered, true AS within_total FROM (
+  true AS ordered, true AS within_total, true AS eigenvectors FROM (
   SELECT pos, var_samp(v) AS s FROM (
     SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY pos)""",
     "embedding_classifier": q.with_(q.VECTORS)[:-1] + ", " + _classes("papers", "label"),

@@ -139,8 +139,19 @@ def test_latency_statistics_by_hand(log):
     assert (got["total"], got["successful"], got["failed"]) == (2000, n, 2000 - n)
     assert got["latency_avg"] == pytest.approx(sum(good) / n) and got["latency_max"] == good[-1]
     assert got["wall_seconds"] == 1999 * 5 and got["requests_per_second"] == pytest.approx(2000 / (1999 * 5))
-    near = req.approximate_latency(df).first()
-    assert near["p50"] == pytest.approx(got["p50"], rel=0.1)
+
+
+def test_sketches_merge_and_stay_within_their_error(spark, log, tmp_path):
+    rows, df = log
+    req.latency_sketches(df, "10 minutes").write.parquet(f"{tmp_path}/sketches")
+    stored = spark.read.parquet(f"{tmp_path}/sketches")
+    whole = req.merge_sketches(stored)
+    found = whole.first()
+    assert found["n"] == sum(r[6] for r in rows) and found["merged"] == stored.count() > 10
+    hours = req.merge_sketches(stored, "1 hour")
+    errors = req.rank_errors(df, req.sketch_percentiles(hours), "1 hour").collect()
+    assert len(errors) == 3 * hours.count() and all(r["error"] <= req.RANK_ERROR for r in errors)
+    assert req.merge_sketches(req.latency_sketches(df.limit(0))).first()["merged"] == 0
 
 
 @pytest.mark.parametrize("shares", [{"a": 0.0, "b": 0.25, "c": 0.999}])
