@@ -6,7 +6,8 @@ Writing. Each page is one record whose block is an HTTP response in chunked tran
 and, the last, tell the total length. Spark's text writer puts records into gzip files in a shared folder, ``FILE_RECORDS`` a
 file, so segments of a page may lie in several files.
 
-Reading. Files are streamed record by record inside tasks. A whole record is decoded there; segments are grouped by origin,
+Reading. Files are streamed record by record inside tasks, and records leave the task in batches of bounded bytes. A whole record is
+decoded there; segments are grouped by origin,
 ordered by number, checked for gaps and total length, joined, and then decoded. A revisit takes the size of its payload from the
 response it refers to. A record that fails its checks comes back as ``incomplete``, without payload.
 
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simsearch.llm.common import map_slices, shared_folder, table
+from simsearch.llm.common import SLICE_BYTES, bounded_broadcast, map_slices, shared_folder, stored, table
 from simsearch.session import checkpoint
 
 REVISIT_BYTES = 1000
+HOT_COPIES = 10_000
 SEGMENT_BYTES, CHUNK_BYTES = 64 << 10, 8 << 10
-FILE_RECORDS = 8192
+FILE_RECORDS = 2048  # of a segment's length at most: 128 MB before compression
 # Fixed values of the format.
 VERSION, LINE, RECORD_END = "WARC/1.1", "\r\n", "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,7 +51,13 @@ def decide(pages: DataFrame) -> DataFrame:
         .agg(F.max("page_id").alias("owner"), F.count("*").alias("n"))
         .where("n > 1")
     )
-    joined = rows.join(groups, (F.col("digest") == F.col("g_digest")) & (F.col("size") == F.col("g_size")), "left")
+    groups = stored(groups)
+    same = (F.col("digest") == F.col("g_digest")) & (F.col("size") == F.col("g_size"))
+    # payloads that very many pages share are few, one for HOT_COPIES rows at most: they are sent to the rows, and these stay where they are
+    hot = groups.where(F.col("n") > HOT_COPIES)
+    hot = bounded_broadcast(hot, hot.count())
+    rest = rows.join(hot, same, "left_anti").join(groups.where(F.col("n") <= HOT_COPIES), same, "left")
+    joined = rest.unionByName(rows.join(hot, same))
     other = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
     return joined.select("page_id", "url", "payload", "digest", F.when(other, F.col("owner")).alias("refers_to"))
 
@@ -185,9 +193,9 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
     """page_id, record_type, refers_to, payload_bytes, payload_digest and, if asked for, payload: one row a page."""
     number = lambda x: None if x is None else int(x.rsplit(":", 1)[1].rstrip(">"))
 
-    def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for content in batch.column("content").to_pylist():
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for content in (c.as_py() for batch in batches for c in batch.column("content")):
             for f, block in _parsed(content):
                 kind, segment = f["WARC-Type"], f.get("WARC-Segment-Number")
                 origin = f.get("WARC-Segment-Origin-ID", f["WARC-Record-ID"])
@@ -202,7 +210,11 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
                 else:
                     row += [None, None, None, None]
                 rows.append(row)
-        return _batch(rows)
+                held += len(row[7] or row[8] or b"") + 200
+                if held >= SLICE_BYTES:
+                    yield _batch(rows)
+                    rows, held = [], 0
+        yield _batch(rows)
 
     def _decoded(block: bytes) -> tuple[bytes | None, int, str]:
         payload = dechunked(block)
@@ -215,7 +227,7 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    records = map_slices(files, "content", parse, FIELDS)
+    records = files.mapInArrow(parse, FIELDS)
     part = F.when(F.col("segment").isNotNull(), F.struct("segment", "block"))
     pages = records.groupBy("origin").agg(
         *[F.max(c).alias(c) for c in ("page_id", "record_type", "refers_to", "payload_digest", "total", "payload_bytes", "computed")],
