@@ -19,13 +19,11 @@ repeats.
 Nulls: a null text is empty; rows without an id are left as they are and remove nothing elsewhere. Rows that repeat an id
 remove nothing from each other. Texts under 50 bytes lose nothing. An empty table gives no rows. Only ``doc_id`` and ``text`` are
 read. A task holds one document, one bucket's hashes, and at most ``GROUP_ROWS`` bytes of different fragments under one key: a
-key with more is cut by a third representative, a fourth and a fifth, and then by whole windows, and dealt out again until each
-key has few enough. The number of buckets and partitions follows the bytes of text.
+key with more is cut by four representatives, and if need be by whole windows, and dealt out again. The number of buckets and partitions follows the bytes of text.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import itertools
 import operator
@@ -33,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +44,7 @@ RUN_WINDOWS = 64
 CHUNK_BYTES, SLICE = 128 << 10, 2 << 20
 SHARD_ROWS, MERGE_ROWS = 1 << 14, 1 << 17
 GROUP_ROWS, MOST_REPRESENTATIVES = 1 << 20, 5
+LEVELS = (2, 4, MOST_REPRESENTATIVES + 1)  # how many representatives a key has; beyond the most it is the whole window
 PAD = 4
 PLACE_BITS = 31  # a text has less than 2^31 bytes
 PLACE = (1 << PLACE_BITS) - 1
@@ -196,8 +196,10 @@ def _flags(texts: DataFrame, parts: int) -> DataFrame:
     def summarise(batch: pa.RecordBatch) -> pa.RecordBatch:
         runs = Runs(batch.column("text").to_pylist(), sides=True)
         doc = batch.column("doc_id").to_numpy()[runs.text]
-        order = np.lexsort((doc, runs.code, runs.key))
-        key, code, doc, left, right = (x[order] for x in (runs.key, runs.code, doc, runs.left, runs.right))
+        spread = runs.key * _B  # the keys are smallest hashes, nearly all of them low; buckets must be even
+        spread ^= spread >> np.uint64(32)
+        order = np.lexsort((doc, runs.code, spread))
+        key, code, doc, left, right = (x[order] for x in (spread, runs.code, doc, runs.left, runs.right))
         new = np.r_[True, (code[1:] != code[:-1]) | (key[1:] != key[:-1])] if len(code) else np.zeros(0, dtype=bool)
         least = np.repeat(doc[new], np.diff(np.r_[np.flatnonzero(new), len(doc)]))
         covered = doc > least  # a smaller document of this batch has the fragment
@@ -455,10 +457,11 @@ def _recut(rows: Iterator[tuple[int, int, bytes]], representatives: int) -> Iter
             yield key, chunk[i][0], chunk[i][1] + place, None, body
 
 
-def _ranges(rows: Iterator[tuple[int, int, int, bytes]], group_rows: int, representatives: int) -> Iterator[tuple]:
-    """Of rows (key, document, start, fragment), which come by key and document: (None, document, first, last, None) of the repeats,
-    and for a key with more different fragments than are merged at once its fragments cut further, (key, document, start, None, piece)."""
-    found = lambda ranges: ((None, *r, None) for r in ranges)
+def _ranges(rows: Iterator[tuple[int, int, int, bytes]], group_rows: int, further: int) -> Iterator[tuple]:
+    """Of rows (key, document, start, fragment), which come by key and document: (document, document, first, last, None) of the repeats, and
+    for a key with more different fragments than are merged at once its fragments cut by ``further`` representatives (if there are
+    any to cut by), (key, document, start, None, piece)."""
+    found = lambda ranges: ((r[0], *r, None) for r in ranges)
     pending: Group = {}  # of whole keys
     size = 0
     for _, own in itertools.groupby(rows, key=operator.itemgetter(0)):
@@ -468,9 +471,9 @@ def _ranges(rows: Iterator[tuple[int, int, int, bytes]], group_rows: int, repres
         if len(group) < 2:
             continue
         held = _rows_in(group)
-        if held > group_rows and representatives <= MOST_REPRESENTATIVES:
+        if held > group_rows and further:
             again = itertools.chain(((d, s, b) for b, (d, starts) in group.items() for s in starts), members)
-            yield from _recut(again, representatives + 1)
+            yield from _recut(again, further)
             continue
         pending.update(group)
         size += held
@@ -483,25 +486,33 @@ def _ranges(rows: Iterator[tuple[int, int, int, bytes]], group_rows: int, repres
 def _compared(fragments: DataFrame, group_rows: int, parts: int) -> DataFrame:
     """doc_id, first, last: byte ranges that repeat a smaller document, from the merged transforms of each key's fragments.
 
-    What crowded keys leave is dealt out anew by longer keys, through the cluster's own exchange, until every key has few enough;
-    the last keys are those of whole windows, under which only equal pieces meet.
+    What crowded keys leave is dealt out anew by longer keys, through the cluster's own exchange; the last keys are those of whole
+    windows, under which only equal pieces meet. Ranges that are found travel along, so that all is one plan.
     """
-    done, representatives = [], 2
-    while True:
-
-        def run(batches: Iterator[pa.RecordBatch], representatives=representatives) -> Iterator[pa.RecordBatch]:
-            names = ("key", "doc_id", "start", "body")
-            found = _ranges((row for b in batches for row in zip(*[b.column(c).to_pylist() for c in names], strict=True)), group_rows, representatives)
-            while part := list(itertools.islice(found, 1 << 14)):
+    names = ["key", "doc_id", "start", "last", "body"]
+    rows = fragments.select("key", "doc_id", "start", F.lit(None).cast("bigint").alias("last"), "body")
+    for representatives, further in zip(LEVELS, [*LEVELS[1:], 0], strict=True):
+
+        def run(batches: Iterator[pa.RecordBatch], representatives=representatives, further=further) -> Iterator[pa.RecordBatch]:
+            done: list[pa.RecordBatch] = []
+
+            def undone() -> Iterator[tuple[int, int, int, bytes]]:
+                for batch in batches:
+                    found = batch.column("last").is_valid()
+                    done.append(batch.filter(found))
+                    own = batch.filter(pc.invert(found))
+                    yield from zip(*[own.column(c).to_pylist() for c in ("key", "doc_id", "start", "body")], strict=True)
+
+            ranges = _ranges(undone(), group_rows, further)
+            while part := list(itertools.islice(ranges, 1 << 14)):
                 columns = [pa.array(c, k) for c, k in zip(zip(*part, strict=True), [pa.int64()] * 4 + [pa.binary()], strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "start", "last", "body"])
+                yield pa.RecordBatch.from_arrays(columns, names)
+                yield from done
+                done.clear()
+            yield from done
 
-        dealt = fragments.repartition(parts, "key").sortWithinPartitions("key", "doc_id")
-        out = checkpoint(dealt.mapInArrow(run, "key bigint, doc_id bigint, start bigint, last bigint, body binary"))
-        done.append(out.where("body IS NULL").select("doc_id", F.col("start").alias("first"), "last"))
-        fragments, representatives = out.where("body IS NOT NULL").select("key", "doc_id", "start", "body"), representatives + 1
-        if representatives > MOST_REPRESENTATIVES + 1 or fragments.isEmpty():
-            return functools.reduce(DataFrame.unionByName, done)
+        rows = rows.repartition(parts, "key").sortWithinPartitions("key", "doc_id").mapInArrow(run, "key bigint, doc_id bigint, start bigint, last bigint, body binary")
+    return rows.select("doc_id", F.col("start").alias("first"), "last")
 
 
 def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
@@ -518,11 +529,13 @@ def _merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
 def removals(docs: DataFrame, with_text: bool = True, group_rows: int = GROUP_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end, start, end ... in bytes) and, if asked for, kept (the rest)."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    # an id that needs no cast gets no alias either: only then do both joins below read one exchange of the texts
+    number = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("bigint").alias("doc_id")
+    texts = docs.select(number, F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
-    known = texts.where("doc_id IS NOT NULL").repartition(parts, "doc_id")  # both joins below read this exchange
-    flags = _flags(texts.where("doc_id IS NOT NULL"), parts)
+    known = texts.where("doc_id IS NOT NULL")
+    flags = _flags(known, parts)
     owners = known.join(flags.where(F.size("owned") > 0).select("doc_id", "owned"), "doc_id")
     spans = _compared(_fragments(owners), group_rows, parts).groupBy("doc_id").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     marks = flags.select("doc_id", "covered").join(spans, "doc_id", "left")

@@ -300,11 +300,11 @@ def test_crowded_keys_are_cut_further_and_lose_nothing(spark, monkeypatch, group
     merged, whole = [], suffix._repeats
     monkeypatch.setattr(suffix, "_repeats", lambda bodies, docs: (merged.append(sum(map(len, bodies)) + 4 * len(bodies)), whole(bodies, docs))[1])
     monkeypatch.setattr(suffix, "MERGE_ROWS", 1)  # every key alone
-    pieces, level = [(0, d, 0, t.encode()[:110]) for d, t in rows], 2
-    while pieces:
-        out = list(suffix._ranges(iter(sorted(pieces)), group_rows, level))
-        pieces, level = [(key, d, s, body) for key, d, s, _, body in out if body is not None], level + 1
-    assert level <= suffix.MOST_REPRESENTATIVES + 2 and all(n <= group_rows for n in merged)  # no more is ever merged at once
+    pieces = [(0, d, 0, t.encode()[:110]) for d, t in rows]
+    for further in (*suffix.LEVELS[1:], 0):
+        out = list(suffix._ranges(iter(sorted(pieces)), group_rows, further))
+        pieces = [(key, d, s, body) for key, d, s, _, body in out if body is not None]
+    assert not pieces and all(n <= group_rows for n in merged)  # no more is ever merged at once
 
 
 # ---- chat
