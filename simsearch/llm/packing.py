@@ -8,8 +8,8 @@ Tokens are the ids of a byte-level tokenizer file. Texts of Latin letters are sp
 regular expression and looked up in a bounded table; other texts, and texts that hold a special token's string, go through
 the library as they are. Both give the same ids.
 
-Nulls: a null text is empty and has only the end id; a null id is kept. Repeated rows are packed each. An empty table gives no
-rows. Only ``doc_id`` and ``text`` are read.
+Nulls: a null text is empty and has only the end id; a null id is kept. Repeated rows are packed each. Very long texts are cut into as many whole
+pieces as they need, in batches of bounded bytes. Ties do not arise: no piece waits for another. An empty table gives no rows. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations

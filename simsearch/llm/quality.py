@@ -13,7 +13,8 @@ A group's fences are the mean, by weight, of its own, with one vote a document,
 so mixed with those of all documents. The votes of others fade as a group grows; there is no size at which the rule changes.
 
 Nulls: a null text has no words and fails the fixed rules; null languages or sources form groups of their own. Repeated rows
-are judged one by one. An empty table gives no rows. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read; ``keep``
+are judged one by one. Very long texts are measured whole, inside their row. Ties: a quartile that falls between two bins is the
+smaller one, and a ratio on a fence is kept. An empty table gives no rows. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read; ``keep``
 returns every column it was given, whatever its name.
 """
 

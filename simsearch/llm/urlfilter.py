@@ -9,7 +9,8 @@ A base rule ``host/path/`` is the two globs ``host/path/**`` and ``*.host/path/*
 without one are blocked if a deny glob fits, else allowed.
 
 Nulls and URLs without ``://`` have an empty host and path, fit no base rule and are allowed. Repeated rows are judged each; an
-empty table gives no rows. URLs of any length are read whole, in groups of similar length. Only ``page_id`` and ``url`` are read;
+empty table gives no rows. URLs of any length are read whole, in groups of similar length. Ties: of fitting
+rules of one length the first listed decides. Only ``page_id`` and ``url`` are read;
 ``keep`` returns every column.
 """
 
