@@ -90,7 +90,7 @@ def search_requests(spark, folder):
 
 
 def format_hits(spark, folder):
-    return req.present_hits(_answer(spark, folder).hits).drop("subjects")
+    return req.present_hits(_answer(spark, folder).hits).withColumn("subjects", F.concat_ws("; ", "subjects"))
 
 
 def request_counts(spark, folder):
@@ -194,7 +194,7 @@ FROM hits JOIN papers USING (paper_id)""",
     "format_hits": _SEARCH
     + """SELECT query_id, rank, round(score::DECIMAL(18, 6), 4)::DECIMAL(18, 4)::VARCHAR AS score, title,
   CASE WHEN length(abstract) > 300 THEN substr(abstract, 1, 300) || '...' ELSE abstract END AS preview,
-  primary_subject, arxiv_id, 'https://arxiv.org/abs/' || arxiv_id AS abstract_url,
+  primary_subject, joined_subjects AS subjects, arxiv_id, 'https://arxiv.org/abs/' || arxiv_id AS abstract_url,
   'https://arxiv.org/pdf/' || arxiv_id || '.pdf' AS pdf_url
 FROM hits JOIN papers USING (paper_id)""",
     "request_counts": q.with_(q.LOG)
