@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from simsearch.llm.common import bounded_broadcast, map_slices, stored, table
 from simsearch.llm.graph import components
+from simsearch.operators.skew import join_group
 
 SEED, WORDS, BITS = 42, 3, 3
 HOT = 2048
@@ -181,19 +182,19 @@ def links(fps: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
 
 
 def _rooted(distinct: DataFrame, bits: int, hot: int) -> DataFrame:
-    """distinct(fp, first) with ``root``, one fingerprint of each group that names it."""
+    """distinct(fp, first ...) with ``root``, one fingerprint of each group that names it."""
     roots = components(links(distinct.select("fp"), bits, hot))
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    return stored(joined.select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    return stored(joined.withColumn("root", F.coalesce("root", "fp")))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """doc_id, fp, component_id: one row a document."""
     rows = stored(fingerprints(docs, words))
-    placed = _rooted(stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"))), bits, hot)
+    placed = _rooted(stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))), bits, hot)
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = placed.join(smallest, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = placed.join(smallest, "root").select("fp", "component_id", "copies")
+    return join_group(rows, by_fp, "fp", "copies").select("doc_id", "fp", "component_id")  # a fingerprint may be in any share of the rows
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS, hot: int = HOT) -> DataFrame:
