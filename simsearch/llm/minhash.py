@@ -9,10 +9,10 @@ samples into a bitmap: sample i with value v flips one bit, so equal samples of
 how many samples differ. Candidates whose bits left over are ``SIGMAS`` deviations beyond what 0.8 gives, or whose set sizes
 rule 0.8 out, are dropped before any text moves. All others are compared as whole sets of words, so no link rests on a hash.
 
-Candidates. Equal texts are one node. Under a key every node meets the key's smallest; of these pairs each node first
-tries its best one. What is linked then is one group, and only pairs of different groups remain: a key that holds several groups compares
-the members outside its largest group with all members, by bitmaps, in blocks of bounded size, and the pairs that pass are tried too. So no pair
-within a key goes unseen, and a key full of copies costs a pass over it. Keys that hold many nodes are split: their table is
+Candidates. Equal texts are one node. Of the smallest nodes under its keys, each node first tries the one it shares most bands with.
+What is linked then is one group, and only pairs of different groups remain: a key that holds several groups compares
+the members outside its largest group with all members, by bitmaps, in blocks of bounded size, and those with a candidate once more by whole sets. So no
+pair within a key goes unseen, no pair but a link leaves its task, and a key full of copies costs a pass over it. Keys that hold many nodes are split: their table is
 broadcast and their rows stay where they are, or they are dealt out in blocks. A center's text is sent once for ``STAR`` of its pairs.
 
 Groups are the connected components; a group's id is its smallest document id.
@@ -43,7 +43,7 @@ SAMPLES = BANDS * BAND_ROWS
 SKETCH_LONGS, SIGMAS = 8, 6.5
 SKETCH_BITS = 64 * SKETCH_LONGS
 SLICE = 4 << 20
-STAR, BLOCK = 2_000, 1_024
+STAR, BLOCK, BLOCK_SHINGLES = 2_000, 1_024, 1 << 20
 SKETCH = [f"o{i}" for i in range(SKETCH_LONGS)]
 
 
@@ -152,11 +152,8 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int,
     counts = bounded_broadcast(counts, counts.count())  # one row for each STAR pairs at most
     part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
     dealt = pairs.join(counts, "a", "left").select("a", "b", part)
-    wanted = stored(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes, "node").select("node", "key", "first"))
-    held = bounded_broadcast(wanted, wanted.count())
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _identity().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    # of equal texts the row with the node's first id is read; rows that repeat it too are one
-    texts = rows.join(held, "key").where(F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("node").agg(F.first("text").alias("text"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes, "node")
+    texts = _texts(stored(wanted.select("node", "key", "first")), docs)
     members = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
     centers = dealt.select("a", "part").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "part", F.lit(None).cast("bigint").alias("b"), "text")
     stars = members.union(centers).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
@@ -178,62 +175,122 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int,
     return stars.mapInArrow(run, "a bigint, b bigint")
 
 
-def _across(keyed: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) under one key but of different groups that sizes and sketches allow.
+def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of ``wanted(node, key, first)``: of equal texts the row with the node's first id is read; rows that repeat it too are one."""
+    held = bounded_broadcast(wanted, wanted.count())
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _identity().alias("key"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return rows.join(held, "key").where(F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("node").agg(F.first("text").alias("text"))
+
+
+class Met:
+    """Rows of one block, and its candidates: pairs of different groups that sizes and sketches allow and whose first common band is the
+    block's, so that a pair which shares several keys is looked at under one."""
+
+    def __init__(self, rows: list[pa.RecordBatch], percent: int, limit: int):
+        column = lambda c: np.concatenate([r.column(c).to_numpy() for r in rows])
+        self.side, self.node, self.root, self.n = map(column, ("side", "node", "root", "n"))
+        self.odd = np.stack([column(c) for c in SKETCH], axis=1).view(np.uint64)
+        self.bands = np.concatenate([r.column("bands").flatten().to_numpy() for r in rows]).reshape(-1, BANDS)
+        self.band = int(rows[0].column("band")[0].as_py())
+        self.percent, self.limit = percent, limit
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(place of a left row, places of right rows)."""
+        right = np.flatnonzero(self.side == 1)
+        order = right[np.argsort(self.n[right], kind="stable")]
+        sizes = self.n[order]
+        for i in np.flatnonzero(self.side == 0).tolist():
+            lo = int(np.searchsorted(sizes * 100, self.n[i] * self.percent))
+            hi = int(np.searchsorted(sizes * self.percent, self.n[i] * 100, side="right"))
+            near = order[lo:hi]
+            near = near[self.root[near] != self.root[i]]
+            near = near[np.bitwise_count(self.odd[near] ^ self.odd[i]).sum(axis=1, dtype=np.int64) <= self.limit]
+            near = near[(self.bands[near] == self.bands[i]).argmax(axis=1) == self.band]
+            if len(near):
+                yield i, near
+
+
+UNIT = ["key", "l", "r"]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of one block after the other; rows come sorted by block."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in UNIT])
+        borders = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
+        for lo, hi in zip([0, *borders.tolist()], [*borders.tolist(), batch.num_rows], strict=True):
+            if tuple(keys[:, lo]) != now and held:
+                yield held
+                held = []
+            now = tuple(keys[:, lo])
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield held
 
-    Of a key with several groups, the members outside its largest group meet all members, in blocks of about ``BLOCK`` rows.
+
+def _across(keyed: DataFrame, roots: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) under one key between different groups, by whole sets, as many as join what such links join.
+
+    Of a key with several groups, the members outside its largest group meet all members, in blocks of bounded rows and set sizes. A first pass over
+    the blocks reads sketches and keeps the rows that have a candidate; a second one reads these rows' texts and compares
+    their sets. No pair leaves a task but a link between groups that the block has not joined yet.
     """
-    placed = nodes.join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), *SKETCH)
-    by_group = keyed.join(placed.select("node", "root"), "node").groupBy("key", "root").agg(F.count("*").alias("members"))
-    mixed_keys = by_group.groupBy("key").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most"), F.count("*").alias("groups"))
-    cells = lambda rows: F.ceil(rows / BLOCK).cast("int")
-    mixed_keys = stored(mixed_keys.where("groups > 1").select("key", "main", "all", cells(F.col("all") - F.col("most")).alias("lefts"), cells(F.col("all")).alias("rights")))
-    rows = join_group(keyed, mixed_keys, "key", "all").join(placed, "node")
+    placed = nodes.join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), "bands", *SKETCH)
+    sums = (F.count("*").alias("members"), F.sum("n").alias("weight"))
+    by_group = keyed.join(placed.select("node", "root", "n"), "node").groupBy("key", "root").agg(*sums)
+    total = lambda c: F.sum(c).alias(c)
+    several = by_group.groupBy("key").agg(F.max_by(F.struct("root", "members", "weight"), F.struct("members", "root")).alias("main"), total("members"), total("weight"), F.count("*").alias("groups"))
+    cells = lambda members, weight: F.ceil(F.greatest(members / BLOCK, weight / BLOCK_SHINGLES)).cast("int")
+    lefts = cells(F.col("members") - F.col("main.members"), F.col("weight") - F.col("main.weight")).alias("lefts")
+    several = stored(several.where("groups > 1").select("key", F.col("main.root").alias("main"), "members", lefts, cells(F.col("members"), F.col("weight")).alias("rights")))
+    rows = join_group(keyed, several, "key", "members").join(placed, "node")
     deal = lambda salt, parts: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    carried = ["key", "node", "root", "n", *SKETCH]
+    carried = ["key", "band", "node", "root", "n", "bands", *SKETCH]
     outside = rows.where("root <> main").select(*carried, deal(1, "lefts").alias("l"), every("rights").alias("r"), F.lit(0).alias("side"))
     whole = rows.select(*carried, every("lefts").alias("l"), deal(2, "rights").alias("r"), F.lit(1).alias("side"))
-    block = ["key", "l", "r", "side"]
-    dealt = outside.unionByName(whole).repartition("key", "l", "r").sortWithinPartitions(*block)
+    dealt = outside.unionByName(whole).repartition(*UNIT).sortWithinPartitions(*UNIT, "side")
     limit = most_bits(percent)
 
-    def met(node: np.ndarray, root: np.ndarray, n: np.ndarray, odd: np.ndarray, side: np.ndarray) -> Iterator[np.ndarray]:
-        right = np.flatnonzero(side == 1)
-        order = right[np.argsort(n[right], kind="stable")]
-        sizes = n[order]
-        for i in np.flatnonzero(side == 0).tolist():
-            lo = int(np.searchsorted(sizes * 100, n[i] * percent))
-            hi = int(np.searchsorted(sizes * percent, n[i] * 100, side="right"))
-            near = order[lo:hi]
-            near = near[root[near] != root[i]]
-            near = near[np.bitwise_count(odd[near] ^ odd[i]).sum(axis=1, dtype=np.int64) <= limit]
-            if len(near):
-                yield np.stack([np.full(len(near), node[i]), node[near]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*block, "node", "root", "n", *SKETCH]
-        held = np.zeros((len(names), 0), dtype=np.int64)
-
-        def out(rows: np.ndarray) -> pa.RecordBatch:
-            found = [np.zeros((2, 0), dtype=np.int64)]
-            if rows.shape[1]:
-                new = np.flatnonzero(np.any(rows[:3, 1:] != rows[:3, :-1], axis=0)) + 1
-                for lo, hi in zip([0, *new.tolist()], [*new.tolist(), rows.shape[1]], strict=True):
-                    own = rows[:, lo:hi]
-                    found += met(own[4], own[5], own[6], np.ascontiguousarray(own[7:].T).view(np.uint64), own[3])
-            pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-        for batch in batches:
-            held = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], axis=1)
-            same = np.all(held[:3] == held[:3, -1:], axis=0)
-            end = int(same.argmax()) if same.size else 0  # the last block may go on in the next batch
-            yield out(held[:, :end])
-            held = held[:, end:]
-        yield out(held)
-
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in _blocks(batches):
+            used = np.zeros(sum(r.num_rows for r in own), dtype=bool)
+            for i, near in Met(own, percent, limit).candidates():
+                used[i] = used[near] = True
+            if used.any():
+                yield pa.Table.from_batches(own).filter(pa.array(used)).combine_chunks().to_batches()[0]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in _blocks(batches):
+            met = Met(own, percent, limit)
+            sets = [np.unique(shingle_hashes(t.as_py(), words)) for r in own for t in r.column("text")]
+            joined: dict[int, int] = {}
+
+            def group(x: int, joined=joined) -> int:
+                while x in joined:
+                    x = joined[x]
+                return x
+
+            links = []
+            for i, near in met.candidates():
+                for j in near.tolist():
+                    x, y = group(int(met.root[i])), group(int(met.root[j]))
+                    if x != y:
+                        common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                        if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                            joined[x] = y
+                            links.append(sorted((int(met.node[i]), int(met.node[j]))))
+            columns = [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    chosen = stored(dealt.mapInArrow(screen, dealt.schema))
+    texts = _texts(stored(chosen.select("node").distinct().join(nodes, "node").select("node", nodes["key"].alias("key"), "first")), docs)
+    again = chosen.join(texts, "node").repartition(*UNIT).sortWithinPartitions(*UNIT, "side")
+    return again.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -242,15 +299,15 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     copies = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     one = rows.where("n > 0").dropDuplicates(["key"]).select("key", "n", "bands", *SKETCH)
     nodes = stored(one.join(copies, "key").withColumn("node", F.monotonically_increasing_id()))
-    keyed = nodes.select("node", F.explode("bands").alias("key"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1")
     keyed = stored(join_group(keyed, shared, "key", "members"))  # nodes that are alone under a key drop out
-    stars = keyed.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    allowed = stored(_estimated(stored(stars), nodes, percent))
-    best = F.min(F.struct("left", "a")).alias("best")
-    tried = stored(allowed.groupBy("b").agg(best).select(F.col("best.a").alias("a"), "b"))
+    # of the smallest nodes under its keys, each node tries the one it shares the most bands with
+    shares = keyed.where("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+    best = shares.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    tried = stored(_estimated(stored(best.select("a", "b")), nodes, percent))
     roots = stored(components(_confirmed(tried, nodes, docs, words, percent)))
-    untried = stored(_across(keyed.select("key", "node"), roots, nodes, percent).join(tried, ["a", "b"], "left_anti"))
+    untried = stored(_across(keyed.select("key", "band", "node"), roots, nodes, docs, words, percent))
     grouped = nodes.select("node", "key", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     if not untried.isEmpty():
         group = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
