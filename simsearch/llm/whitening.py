@@ -34,8 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simsearch.llm.common import table
-from simsearch.session import checkpoint
+from simsearch.llm.common import stored, table
 
 SCALE, SHIFT, COMPONENTS = 64, 1_000_000, 16
 BOUND = 1 << 40
@@ -95,7 +94,7 @@ def fit_list(vectors: DataFrame, dim: int, scale: int) -> DataFrame:
             for part in packed(scaled(batch, dim, scale)):
                 yield pa.RecordBatch.from_arrays([part], ["x"])
 
-    return checkpoint(vectors.select("embedding").mapInArrow(pack, "x binary").distinct())
+    return stored(vectors.select("embedding").mapInArrow(pack, "x binary").distinct())
 
 
 def _sum_rows(entries: dict[tuple[int, int], int]) -> pa.RecordBatch:
