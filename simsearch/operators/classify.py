@@ -19,6 +19,8 @@ from simsearch.operators.skew import join_group
 from simsearch.session import checkpoint
 
 WORD = r"[\p{L}\p{N}]+"
+# the words that are counted at once; a text with more is a piece of its own
+PIECE_WORDS = 1 << 18
 
 
 def _with_labels(stages: list, train: DataFrame, label_col: str) -> PipelineModel:
@@ -70,20 +72,37 @@ def fit_on_text(train: DataFrame, label_col: str, text_col: str = "abstract", nu
     return _with_labels(stages, train, label_col)
 
 
+def _lengths(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("words").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch cut after every text with which ``PIECE_WORDS`` more words are reached."""
+    filled = np.cumsum(_lengths(batch)) // PIECE_WORDS
+    borders = (np.flatnonzero(filled[1:] != filled[:-1]) + 1).tolist()
+    for lo, hi in zip([0, *borders], [*borders, batch.num_rows], strict=True):
+        yield batch.slice(lo, hi - lo)
+
+
 def term_counts(papers: DataFrame, text_col: str = "abstract") -> DataFrame:
-    """``(paper_id, word, tf)``: each text is counted inside its batch, by word numbers; nothing is shuffled."""
+    """``(paper_id, word, tf)``: each text is counted inside its batch, by word numbers; nothing is shuffled.
+
+    A batch is counted in pieces of whole texts with about ``PIECE_WORDS`` words, so that what a worker holds beside its batch
+    does not grow with the batch's words.
+    """
     words = F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0)).alias("words")
     rows = spread_small(papers.select(F.col("paper_id").cast("bigint").alias("paper_id"), text_col)).select("paper_id", words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("words")
-            encoded = lists.flatten().dictionary_encode()
-            known = max(1, len(encoded.dictionary))
-            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-            found, times = np.unique(owner * known + encoded.indices.to_numpy(zero_copy_only=False), return_counts=True)
-            columns = [batch.column("paper_id").take(pa.array(found // known)), encoded.dictionary.take(pa.array(found % known)), pa.array(times)]
-            yield pa.RecordBatch.from_arrays(columns, ["paper_id", "word", "tf"])
+            for piece in _pieces(batch):
+                lists = piece.column("words")
+                encoded = lists.flatten().dictionary_encode()
+                known = max(1, len(encoded.dictionary))
+                owner = np.repeat(np.arange(len(lists)), _lengths(piece))
+                found, times = np.unique(owner * known + encoded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+                columns = [piece.column("paper_id").take(pa.array(found // known)), encoded.dictionary.take(pa.array(found % known)), pa.array(times)]
+                yield pa.RecordBatch.from_arrays(columns, ["paper_id", "word", "tf"])
 
     return rows.where(F.size("words") > 0).mapInArrow(count, "paper_id bigint, word string, tf bigint")
 

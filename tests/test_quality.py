@@ -176,6 +176,21 @@ def test_tfidf_weights(spark):
     assert got[2]["a"] == (1, 3, pytest.approx(0.0)) and set(got[3]) == {"a"}
 
 
+def test_term_counts_hold_few_words_at_once(spark):
+    import pyarrow as pa
+
+    lists = [[f"w{i % 7}"] * 60_000 for i in range(12)] + [[], ["last"], ["w"] * 700_000, ["one"]]
+    batch = pa.RecordBatch.from_pydict({"paper_id": list(range(16)), "words": lists})
+    pieces = list(classify._pieces(batch))
+    assert pa.Table.from_batches(pieces).equals(pa.Table.from_batches([batch])) and len(pieces) > 3
+    sizes = [piece.column("words").value_lengths().to_pylist() for piece in pieces]
+    assert all(sum(own) <= classify.PIECE_WORDS + max(own) for own in sizes)
+    rows = [(i, f"common w{i} " * 30_000) for i in range(12)]
+    papers = spark.createDataFrame(rows, "paper_id bigint, abstract string").coalesce(1)
+    got = {(r["paper_id"], r["word"]): r["tf"] for r in classify.term_counts(papers).collect()}
+    assert got == {(i, w): 30_000 for i in range(12) for w in ("common", f"w{i}")}
+
+
 def test_no_test_row_is_lost_for_its_label(spark):
     rows = [(i, [float(i % 2), 1.0 - i % 2], "ab"[i % 2]) for i in range(20)]
     train = classify.features(spark.createDataFrame(rows, "paper_id bigint, embedding array<float>, label string"))
