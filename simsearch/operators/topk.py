@@ -168,12 +168,21 @@ def search_lists(probes: DataFrame, postings: DataFrame, dim: int, limits: Searc
 
 
 def _units(asked: DataFrame, postings: DataFrame, block: int, part_rows: int) -> DataFrame:
-    """``(list_id, rows, parts, blocks)`` of every list that is asked for and holds something."""
-    cells = lambda n, size: F.ceil(F.col(n) / size).cast("int")
+    """``(list_id, rows, parts, blocks)`` of every list that is asked for and holds something.
+
+    Every part gets a copy of the list's queries and every block one of its vectors. Parts of ``part_rows`` vectors alone would make
+    copies by the product of both sides, so a list has no more of them than keep the copies of its queries within those of its vectors, or
+    than give every core two units of its share of the work.
+    """
     held = postings.groupBy("list_id").agg(F.count("*").alias("held"))
     wanted = asked.groupBy("list_id").agg(F.count("*").alias("wanted"))
-    sizes = held.join(wanted, "list_id")
-    return sizes.select("list_id", (F.col("held") + F.col("wanted")).alias("rows"), cells("held", part_rows).alias("parts"), cells("wanted", block).alias("blocks"))
+    sizes = checkpoint(held.join(wanted, "list_id").withColumn("blocks", F.ceil(F.col("wanted") / block).cast("int")))
+    work = F.col("held").cast("double") * F.col("wanted")
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    even = F.ceil(F.col("held") * F.col("blocks") / F.col("wanted"))
+    busy = F.ceil(2 * cores * work / sizes.agg(F.sum(work)).scalar() / F.col("blocks"))
+    parts = F.least(F.ceil(F.col("held") / part_rows), F.greatest(even, busy)).cast("int")
+    return sizes.select("list_id", (F.col("held") + F.col("wanted")).alias("rows"), parts.alias("parts"), "blocks")
 
 
 def _join_lists(probes: DataFrame, postings: DataFrame, dim: int, block: int, part_rows: int) -> DataFrame:
@@ -182,7 +191,9 @@ def _join_lists(probes: DataFrame, postings: DataFrame, dim: int, block: int, pa
     units = checkpoint(_units(asked, postings, block, part_rows))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     deal = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
-    vector = F.col("embedding").cast("array<double>").alias("embedding")
+    # numbers are widened where they are scored, not before they are dealt out
+    kinds = {df.schema["embedding"].dataType.simpleString() for df in (probes, postings)}
+    vector = F.col("embedding").cast(kinds.pop() if len(kinds) == 1 else "array<double>").alias("embedding")
     queries = join_group(asked, units, "list_id", "rows").select(
         "list_id", every("parts").alias("part"), deal("query_id", "blocks").alias("block"), F.lit(0).alias("side"), F.col("query_id").alias("id"), "k", vector
     )

@@ -9,7 +9,7 @@ from metrics import rows_of
 from pyspark.sql import functions as F
 from test_search import as_dict, asked, brute
 
-from simsearch.operators import centroid_tree, ivf, pairs
+from simsearch.operators import centroid_tree, ivf, pairs, topk
 from simsearch.operators.positions import index_subjects
 from simsearch.operators.topk import SearchLimits, exact_topk
 from simsearch.sources import paper_store
@@ -43,6 +43,18 @@ def test_vectors_are_read_once_however_many_blocks_ask(spark, embeddings, tmp_pa
     assert rows_of(hits, "Scan parquet") == [400]
 
 
+def test_copies_of_joined_search_grow_with_the_rows(spark):
+    """Four times the rows of both sides, in as many blocks, are dealt out as four times the copies."""
+    copies = []
+    for n in (4_000, 16_000):
+        postings = spark.range(n).select((F.col("id") % 2).alias("list_id"))
+        asked = spark.range(n // 5).select((F.col("id") % 2).alias("list_id"))
+        units = topk._units(asked, postings, n // 40, 40).collect()
+        assert all(u["blocks"] == 4 and u["parts"] >= 2 for u in units) and len(units) == 2
+        copies.append(sum(n // 10 * u["parts"] + n // 2 * u["blocks"] for u in units))
+    assert copies[1] <= 4 * copies[0] and copies[1] <= 2 * 4 * 16_000
+
+
 def test_joined_search_of_nothing(embeddings):
     none = asked(embeddings, []).limit(0)
     assert exact_topk(none, embeddings, 16, 5, JOINED).count() == 0
