@@ -36,8 +36,10 @@ from simsearch.session import checkpoint
 
 HITS_SCHEMA = "query_id bigint, k int, paper_id bigint, score double"
 NO_ID = np.iinfo(np.int64).max
-# the product of a query block and a vector block stays below this many doubles (32 MB)
-BLOCK_CELLS = 4_000_000
+# the product of a query block and a vector block stays below this many doubles (8 MB; ranking it takes a few times that)
+BLOCK_CELLS = 1_000_000
+# best hits leave a task in batches of about this many rows
+BATCH_HITS = 100_000
 ROUNDING_SLACK = 10.0**-SCORE_DIGITS
 # stored postings lie in this many folders at most; a folder holds the lists of one remainder
 LIST_GROUP, LIST_GROUPS = "list_group", 1024
@@ -121,17 +123,21 @@ class BestHits:
         self.scores[mine] = score[best].reshape(len(mine), self.k)
         self.ids[mine] = found[best].reshape(len(mine), self.k)
 
-    def to_batch(self, query_ids: np.ndarray, ks: np.ndarray) -> pa.RecordBatch:
-        r, c = np.nonzero((self.ids != NO_ID) & (np.arange(self.k)[None, :] < ks[:, None]))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(query_ids[r], pa.int64()),
-                pa.array(ks[r], pa.int32()),
-                pa.array(self.ids[r, c], pa.int64()),
-                pa.array(self.scores[r, c], pa.float64()),
-            ],
-            names=["query_id", "k", "paper_id", "score"],
-        )
+    def to_batches(self, query_ids: np.ndarray, ks: np.ndarray) -> Iterator[pa.RecordBatch]:
+        step = max(1, BATCH_HITS // self.k)
+        for start in range(0, max(1, len(query_ids)), step):
+            own = slice(start, start + step)
+            ids, scores = self.ids[own], self.scores[own]
+            r, c = np.nonzero((ids != NO_ID) & (np.arange(self.k)[None, :] < ks[own, None]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(query_ids[own][r], pa.int64()),
+                    pa.array(ks[own][r], pa.int32()),
+                    pa.array(ids[r, c], pa.int64()),
+                    pa.array(scores[r, c], pa.float64()),
+                ],
+                names=["query_id", "k", "paper_id", "score"],
+            )
 
 
 def _rank(candidates: DataFrame) -> DataFrame:
@@ -213,7 +219,7 @@ def _join_lists(probes: DataFrame, postings: DataFrame, dim: int, block: int, pa
                 matrix, usable = unit_rows(to_matrix(own.column("embedding"), dim))
                 if tuple(keys[:3, lo]) != now:
                     if best is not None:
-                        yield best.to_batch(np.concatenate(ids), np.concatenate(ks))
+                        yield from best.to_batches(np.concatenate(ids), np.concatenate(ks))
                     now, ids, ks, held, best = tuple(keys[:3, lo]), [], [], [], None
                 if keys[3, lo] == 0:  # queries come before the vectors of their unit
                     ids.append(ids_of(own.column("id"))[usable])
@@ -224,7 +230,7 @@ def _join_lists(probes: DataFrame, postings: DataFrame, dim: int, block: int, pa
                         best = BestHits(np.concatenate(held), int(max(k.max(initial=1) for k in ks)))
                     best.add(np.arange(len(best.queries)), ids_of(own.column("id"))[usable], matrix)
         if best is not None:
-            yield best.to_batch(np.concatenate(ids), np.concatenate(ks))
+            yield from best.to_batches(np.concatenate(ids), np.concatenate(ks))
 
     return _rank(dealt.mapInArrow(run, HITS_SCHEMA))
 
@@ -252,7 +258,7 @@ def _scan(block: pa.Table, postings: DataFrame, dim: int) -> DataFrame:
             for name in np.unique(in_list):
                 rows = np.flatnonzero(in_list == name)
                 best.add(asking[int(name)], ids[rows], vectors[rows])
-        yield best.to_batch(query_ids, ks)
+        yield from best.to_batches(query_ids, ks)
 
     # literal lists of values, so that only the probed lists' folders and row groups are opened
     probed = postings.where(F.col("list_id").isin(names.tolist()))

@@ -77,6 +77,18 @@ def test_scores_are_cosines_whatever_the_length(spark, embeddings):
     assert as_dict(exact_topk(asked(scaled, IDS), scaled, 16, 5)).keys() == as_dict(exact_topk(asked(embeddings, IDS), embeddings, 16, 5)).keys()
 
 
+def test_best_hits_leave_in_bounded_batches(monkeypatch, matrix):
+    monkeypatch.setattr("simsearch.operators.topk.BATCH_HITS", 60)
+    best = BestHits(matrix.astype(np.float64), 5)
+    best.add(np.arange(400), np.arange(400), matrix.astype(np.float64))
+    batches = list(best.to_batches(np.arange(400), np.full(400, 4)))
+    assert max(b.num_rows for b in batches) <= 60 and sum(b.num_rows for b in batches) == 1600
+    got = {}
+    for row in (r for b in batches for r in b.to_pylist()):
+        got.setdefault(row["query_id"], []).append((row["paper_id"], row["score"]))
+    assert got == {i: list(zip(best.ids[i, :4].tolist(), best.scores[i, :4].tolist(), strict=True)) for i in range(400)}
+
+
 def test_blocks_do_not_change_the_best(monkeypatch, matrix):
     x = matrix.astype(np.float64)
     whole, parts = BestHits(x[:20], 5), BestHits(x[:20], 5)
