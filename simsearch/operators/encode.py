@@ -20,7 +20,7 @@ from simsearch.operators.layout import spread_small
 
 DEFAULT_BATCH = 256
 WORD = re.compile(r"[^\W_]+")
-MAX_CACHED_WORDS = 1_000_000
+MAX_CACHED_WORDS = 1 << 17  # about 25 MB a worker
 
 
 class Encoder(Protocol):
@@ -44,8 +44,6 @@ class HashingEncoder:
         return (HashingEncoder, (self.dim,))
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        if len(self._slots) > MAX_CACHED_WORDS:
-            self._slots.clear()
         out = np.zeros((len(texts), self.dim))
         for row, text in enumerate(texts):
             words = WORD.findall(text.lower())
@@ -63,6 +61,8 @@ class _Slots(dict):
         self.dim = dim
 
     def __missing__(self, word: str) -> int:
+        if len(self) >= MAX_CACHED_WORDS:  # also inside a text
+            self.clear()
         digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
         number = int(digest[:8], 16) % self.dim + (self.dim if int(digest[8], 16) % 2 else 0)
         self[word] = number

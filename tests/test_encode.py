@@ -62,3 +62,13 @@ def test_encoder_must_declare_its_dimension(papers):
 def test_columns_can_be_carried_along(papers):
     got = encode.encode_column(papers, HashingEncoder(8), "paper_id", keep=("title",)).first()
     assert got["title"] == f"Paper {got['paper_id']}"
+
+
+def test_remembered_words_stay_bounded_inside_a_text(monkeypatch):
+    monkeypatch.setattr(encode, "MAX_CACHED_WORDS", 50)
+    text = " ".join(f"word{i % 300}" for i in range(900))
+    bounded = HashingEncoder(16)
+    got = bounded.encode([text, text])
+    assert len(bounded._slots) <= 50
+    monkeypatch.setattr(encode, "MAX_CACHED_WORDS", 10_000)
+    assert (got == HashingEncoder(16).encode([text, text])).all()
