@@ -3,6 +3,7 @@
 from dataclasses import replace
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from conftest import unit_vectors
 from metrics import rows_of
@@ -223,6 +224,15 @@ def test_epochs_go_on_where_a_stopped_stream_ended(spark, papers, tmp_path):
         assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_epochs_are_stored_in_the_smaller_codec(papers, tmp_path):
+    query = start_pairs(papers, pairs.PairConfig(num_pairs=20, seed=5), f"{tmp_path}/out", f"{tmp_path}/checkpoint", last=0)
+    query.processAllAvailable()
+    query.stop()
+    files = [pq.ParquetFile(f).metadata for f in tmp_path.glob("out/epoch=0/*.parquet")]
+    assert sum(f.num_rows for f in files) == 20
+    assert {f.row_group(g).column(c).compression for f in files for g in range(f.num_row_groups) for c in range(f.num_columns)} == {"ZSTD"}
+
+
 def test_the_reader_advances_one_epoch_and_replays_any_range():
     reader = EpochReader(0, 4)
     rows, end = reader.read({"epoch": 3})
