@@ -6,18 +6,24 @@ column is read once, only for the ids that were drawn.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from simsearch.functions.keyed import h48
 from simsearch.operators.positions import SubjectIndex, index_subjects
 from simsearch.operators.skew import MAX_BROADCAST_GROUPS, hint_if, join_group
+from simsearch.session import checkpoint
 
 # a drawn id costs about 50 bytes when broadcast, so this bounds the broadcast near 100 MB
 MAX_BROADCAST_DRAWS = 2_000_000
+MIN_DRAWS_A_COPY = 64
+MAX_COPIED_PAPERS = 100_000
+MIN_PART_PAIRS = 1 << 16
+MAX_PARTS = 6
 RANGE_CELLS = 1024
 
 
@@ -129,23 +135,76 @@ def _join_drawn(lookups: DataFrame, table: DataFrame, key: str, draws: int) -> D
     return join_group(lookups, table.join(times, key), key, "_times").drop("_times")
 
 
+def _paired(lookups: DataFrame) -> DataFrame:
+    """Stored pairs of ids ``(pair_id, ..., id1, id2)``."""
+    extra = [c for c in lookups.columns if c not in ("pair_id", "side", "paper_id")]
+    ids = [F.first(F.when(F.col("side") == side, F.col("paper_id")), ignorenulls=True).alias(f"id{side}") for side in (1, 2)]
+    return checkpoint(lookups.groupBy("pair_id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in extra], *ids))
+
+
+def _copied(pairs: DataFrame, draws: int) -> tuple[DataFrame, DataFrame]:
+    """``(paper_id, copies)`` of all drawn papers, and of those that are drawn so often that they get several copies.
+
+    A paper has one copy for each ``MIN_DRAWS_A_COPY`` of its draws, or for more draws if else there were too many such papers to broadcast.
+    """
+    share = max(MIN_DRAWS_A_COPY, draws // MAX_COPIED_PAPERS)
+    ids = pairs.select(F.explode(F.array("id1", "id2")).alias("paper_id")).where(F.col("paper_id").isNotNull())
+    drawn = ids.groupBy("paper_id").agg(F.ceil(F.count("*") / share).cast("int").alias("copies"))
+    return drawn, drawn.where(F.col("copies") > 1)
+
+
+def _attach(pairs: DataFrame, table: DataFrame, columns: list[str], draws: int) -> DataFrame:
+    """Stored pairs of ids with ``<column>1`` and ``<column>2`` from the table's rows.
+
+    The table's rows are dealt out by id, once for both sides, and each pair goes to its second paper and takes that paper's values on to its
+    first: the only wide rows that are shuffled are one for each paper and one for each pair, and pairs of one first paper lie together. While
+    they can be broadcast, only drawn papers are dealt out. A paper that is drawn very often is dealt out in copies, so its pairs do not
+    meet in one task.
+    """
+    drawn, hot = _copied(pairs, draws)
+    few = draws <= MAX_BROADCAST_DRAWS or drawn.count() <= MAX_BROADCAST_DRAWS
+    rows = table.select("paper_id", *columns).where(F.col("paper_id").isNotNull())
+    rows = rows.join(F.broadcast(drawn), "paper_id") if few else rows.join(F.broadcast(hot), "paper_id", "left")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)))
+    # dealt out before the rows of an id are folded into one: else each task would order its wide rows first
+    rows = rows.repartition("paper_id", "copy").groupBy("paper_id", "copy").agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
+
+    found = pairs
+    for side in (1, 2):
+        often = hot.select(F.col("paper_id").alias(f"id{side}"), "copies")
+        of = F.pmod(F.xxhash64("pair_id"), F.coalesce("copies", F.lit(1))).cast("int")
+        found = found.join(F.broadcast(often), f"id{side}", "left").withColumn(f"of{side}", of).drop("copies")
+    for side in (2, 1):
+        own = rows.select(*[F.col(c).alias(f"{c}{side}") for c in ("paper_id", "copy", *columns)])
+        found = found.join(own, (F.col(f"id{side}") == F.col(f"paper_id{side}")) & (F.col(f"of{side}") == F.col(f"copy{side}")), "left")
+    extra = [c for c in pairs.columns if c not in ("pair_id", "id1", "id2")]
+    found = found.where(F.coalesce("paper_id1", "paper_id2").isNotNull())
+    return found.select("pair_id", *extra, *[f"{c}{side}" for c in ("paper_id", *columns) for side in (1, 2)])
+
+
 def attach_both_sides(lookups: DataFrame, table: DataFrame, columns: list[str], draws: int) -> DataFrame:
-    """One row per pair with ``<column>1`` and ``<column>2`` from the table's rows.
+    """One row per pair with ``<column>1`` and ``<column>2`` from the table's rows, for ``lookups(pair_id, side, paper_id, ...)``.
 
-    ``lookups(pair_id, side, paper_id, ...)`` is broadcast while the number of draws is within
-    its bound; beyond it only the drawn papers' texts are shuffled. The table is scanned once.
+    The pairs of ids are stored first; the table is scanned once.
     """
-    found = _join_drawn(lookups, table.select("paper_id", *columns), "paper_id", draws)
-    wanted = ["paper_id", *columns]
-    extra = [c for c in lookups.columns if c not in ("pair_id", "side", "paper_id")]
-    return found.groupBy("pair_id").agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in extra],
-        *[
-            F.first(F.when(F.col("side") == side, F.col(c)), ignorenulls=True).alias(f"{c}{side}")
-            for c in wanted
-            for side in (1, 2)
-        ],
-    )
+    return _attach(_paired(lookups), table, columns, draws)
+
+
+def _parts(pairs: DataFrame, num_pairs: int) -> Iterator[tuple[DataFrame, int]]:
+    """Stored pairs of ids in at most ``MAX_PARTS`` parts of about as many pairs, and how many these are.
+
+    Pairs of one subject share a part as far as it is no larger than one, so a paper is in few parts; so do those of one first paper.
+    """
+    count = min(MAX_PARTS, -(-num_pairs // MIN_PART_PAIRS))
+    if count <= 1:
+        yield pairs, num_pairs
+        return
+    bits = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << 31) - 1))
+    at = bits("id1") + (F.shiftleft(bits("subject"), 31) if "subject" in pairs.columns else F.lit(0))
+    cuts = pairs.select(F.percentile_approx(at, [i / count for i in range(1, count)])).first()[0]
+    part = functools.reduce(Column.__add__, [(at > cut).cast("int") for cut in cuts])
+    for row in pairs.groupBy(part.alias("part")).count().orderBy("part").collect():
+        yield pairs.where(part == row["part"]), row["count"]
 
 
 def _ids(index: Indexed, lookups: DataFrame, draws: int) -> DataFrame:
@@ -166,7 +225,10 @@ def positive_pairs(papers: DataFrame, cfg: PairConfig, index: Indexed | None = N
     until the drawn texts are fetched. An ``index`` that was made for the seed serves any epoch.
     """
     ids = positive_pair_ids(papers, cfg, index)
-    both = attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs)
+    return _as_positive(attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs), cfg)
+
+
+def _as_positive(both: DataFrame, cfg: PairConfig) -> DataFrame:
     return both.select(
         "pair_id",
         "subject",
@@ -200,7 +262,10 @@ def contrastive_pair_ids(papers: DataFrame, cfg: PairConfig, index: Indexed | No
 def contrastive_pairs(papers: DataFrame, cfg: PairConfig, index: Indexed | None = None) -> DataFrame:
     """Pairs with ``label`` 1.0 (one subject) or 0.0 (two subjects)."""
     ids = contrastive_pair_ids(papers, cfg, index)
-    both = attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs)
+    return _as_contrastive(attach_both_sides(ids, papers, [cfg.text_field], 2 * cfg.num_pairs), cfg)
+
+
+def _as_contrastive(both: DataFrame, cfg: PairConfig) -> DataFrame:
     return both.select(
         "pair_id",
         F.col("paper_id1").alias("id1"),
@@ -219,6 +284,23 @@ PAIR_BUILDERS: dict[str, PairBuilder] = {
 }
 
 
+_IN_PARTS = {positive_pairs: (positive_pair_ids, _as_positive), contrastive_pairs: (contrastive_pair_ids, _as_contrastive)}
+
+
+def pair_parts(builder: PairBuilder, papers: DataFrame, cfg: PairConfig, index: Indexed | None = None) -> Iterator[DataFrame]:
+    """The rows that ``builder`` makes, in a few parts that hold all of them together, for a caller who writes one after the other.
+
+    Ids are drawn once. The papers are scanned once a part, and only a part's texts are shuffled at a time. A builder that is not of this
+    module gives one part.
+    """
+    if builder not in _IN_PARTS:
+        yield builder(papers, cfg, index)
+        return
+    ids, named = _IN_PARTS[builder]
+    for part, pairs in _parts(_paired(ids(papers, cfg, index)), cfg.num_pairs):
+        yield named(_attach(part, papers, [cfg.text_field], 2 * pairs), cfg)
+
+
 def pair_builder(loss: str) -> PairBuilder:
     """The pair builder a loss needs; an unknown loss is an error."""
     if loss not in PAIR_BUILDERS:

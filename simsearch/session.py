@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+REMOVE_EXCHANGES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: set[str] = set()
 _own: dict[str, str] = {}
 
@@ -58,6 +61,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextlib.contextmanager
+def exchanges_removed(spark: SparkSession) -> Iterator[None]:
+    """What is run here leaves no exchange's files behind; otherwise they lie on the executors' disks until the driver collects its garbage."""
+    before = spark.conf.get(REMOVE_EXCHANGES)
+    spark.conf.set(REMOVE_EXCHANGES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(REMOVE_EXCHANGES, before)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, so that they can import it
     wherever the driver was started."""

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
 
-from simsearch.operators.pairs import PairBuilder, PairConfig, index_papers, positive_pairs
+from simsearch.operators.pairs import PairBuilder, PairConfig, index_papers, pair_parts, positive_pairs
+from simsearch.session import exchanges_removed
 
 
 class EpochReader(SimpleDataSourceStreamReader):
@@ -59,6 +60,15 @@ def epochs(spark: SparkSession, first: int = 0, last: int | None = None) -> Data
     return (reader if last is None else reader.option("last", last)).load()
 
 
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """The folder ``source`` takes the place of ``target``, if there is one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def start_pairs(
     papers: DataFrame,
     config: PairConfig,
@@ -71,15 +81,19 @@ def start_pairs(
     """Write each epoch's pairs to ``output/epoch=<number>``. ``config.epoch`` is the first epoch; without ``last`` it never ends.
 
     An epoch owns its folder and overwrites it, so drawing it again leaves one copy. Every epoch holds about twice the papers' texts, so they
-    are stored in the smaller codec.
+    are stored in the smaller codec. They are drawn in parts, and what a part has shuffled is removed before the next, so that beside the stored
+    epochs only a part's texts are on disk; the folder gets its name when the epoch is whole.
     """
     spark = papers.sparkSession
     index = index_papers(papers, config)
 
     def draw(batch: DataFrame, batch_id: int) -> None:
         for row in batch.select("epoch").distinct().orderBy("epoch").collect():  # one number a batch
-            made = builder(papers, replace(config, epoch=row["epoch"]), index)
-            made.write.mode("overwrite").option("compression", "zstd").parquet(f"{output}/epoch={row['epoch']}")
+            with exchanges_removed(spark):
+                drawing = f"{output}/_epoch-{row['epoch']}"  # readers pass over it
+                for number, made in enumerate(pair_parts(builder, papers, replace(config, epoch=row["epoch"]), index)):
+                    made.write.mode("append" if number else "overwrite").option("compression", "zstd").parquet(drawing)
+                _replace(spark, drawing, f"{output}/epoch={row['epoch']}")
 
     writer = epochs(spark, config.epoch, last).writeStream.foreachBatch(draw).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()

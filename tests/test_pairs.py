@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from simsearch.operators import pairs
+from simsearch.operators import pairs, skew
 from simsearch.operators.pairs import PairConfig, contrastive_pairs, pair_builder, positive_pairs
 
 
@@ -104,3 +104,54 @@ def test_a_paper_that_is_drawn_all_the_time_changes_nothing(spark, monkeypatch,
     monkeypatch.setattr(pairs, "MAX_BROADCAST_DRAWS", 0)
     monkeypatch.setattr("simsearch.operators.skew.MAX_BROADCAST_GROUPS", 1)
     assert sorted(map(tuple, build(papers, config).collect())) == want and len(want) == 300
+
+
+@pytest.mark.parametrize("bound", [2_000_000, 0])
+def test_texts_are_shuffled_and_not_stored(spark, papers, monkeypatch, bound):
+    """Neither within the broadcast bound nor past it are texts checkpointed; pairs of one anchor lie together."""
+    seen = []
+    whole = skew.checkpoint
+    for module in (skew, pairs):
+        monkeypatch.setattr(module, "checkpoint", lambda df: (seen.append(df.columns), whole(df))[1], raising=False)
+    monkeypatch.setattr(pairs, "MAX_BROADCAST_DRAWS", bound)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_GROUPS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = positive_pairs(papers, PairConfig(2000, seed=4))
+        anchors = [[r["anchor_id"] for r in part] for part in made.select("anchor_id").rdd.glom().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [columns for columns in seen if "abstract" in columns]
+    assert sum(map(len, anchors)) == 2000
+    assert sum(a != b for part in anchors for a, b in zip([None, *part], part, strict=False)) == len({a for part in anchors for a in part})
+
+
+def test_a_paper_that_is_drawn_very_often_is_dealt_out_in_copies(spark, monkeypatch):
+    lookups = spark.range(4000).select(F.col("id").alias("pair_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("side"))
+    lookups = lookups.withColumn("paper_id", F.when(F.col("side") == 1, 7).otherwise(F.col("pair_id") + 10))
+    table = spark.range(5000).select(F.col("id").alias("paper_id"), F.concat(F.lit("text "), "id").alias("abstract"))
+    drawn, hot = pairs._copied(pairs._paired(lookups), 8000)
+    assert [tuple(r) for r in hot.collect()] == [(7, 63)] and drawn.count() == 4001
+    for bound in (2_000_000, 0):
+        monkeypatch.setattr(pairs, "MAX_BROADCAST_DRAWS", bound)
+        got = pairs.attach_both_sides(lookups, table, ["abstract"], 8000)
+        assert {tuple(r) for r in got.collect()} == {(i, 7, i + 10, "text 7", f"text {i + 10}") for i in range(4000)}
+        assert got.count() == 4000
+
+
+def test_repeated_papers_and_lost_sides_make_one_row_a_pair(spark):
+    """An id that the table holds more than once gives its first text that is not null, one that it lacks gives nulls."""
+    lookups = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 1, 6), (2, 2, 9), (3, 1, 8), (3, 2, 9)], "pair_id bigint, side int, paper_id bigint")
+    table = spark.createDataFrame([(5, None), (5, "five"), (5, "five"), (6, "six"), (6, None), (None, "none"), (None, None)], "paper_id bigint, abstract string")
+    got = pairs.attach_both_sides(lookups, table, ["abstract"], 6)
+    assert sorted(map(tuple, got.collect())) == [(1, 5, 6, "five", "six"), (2, 6, None, "six", None)]
+
+
+@pytest.mark.parametrize("build", [positive_pairs, contrastive_pairs])
+def test_the_parts_hold_all_pairs(skewed, monkeypatch, build):
+    config = PairConfig(500, balanced=False)
+    want = sorted(map(tuple, build(skewed, config).collect()))
+    monkeypatch.setattr(pairs, "MIN_PART_PAIRS", 100)
+    parts = [part.collect() for part in pairs.pair_parts(build, skewed, config)]
+    assert 2 <= len(parts) <= 5 and max(map(len, parts)) < 250  # also of the subject that has two thirds of the rows
+    assert sorted(tuple(r) for part in parts for r in part) == want

@@ -1,5 +1,6 @@
 """Search by list, papers by id, the centroid tree, drawn positions and the pair stream."""
 
+import time
 from dataclasses import replace
 
 import numpy as np
@@ -7,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import unit_vectors
 from metrics import rows_of
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from test_search import as_dict, asked, brute
 
@@ -233,6 +235,57 @@ def test_epochs_are_stored_in_the_smaller_codec(papers, tmp_path):
     assert {f.row_group(g).column(c).compression for f in files for g in range(f.num_row_groups) for c in range(f.num_columns)} == {"ZSTD"}
 
 
+def _exchange_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = (blocks.apply(i).toString() for i in range(blocks.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_an_epoch_leaves_no_exchange_behind(spark, papers, tmp_path):
+    before, made = [], []
+
+    def watched(source, cfg, index=None):
+        before.append(_exchange_files(spark))
+        made.append(pairs.positive_pairs(source, cfg, index))  # held, as a driver that collects no garbage would
+        return made[-1]
+
+    query = start_pairs(papers, pairs.PairConfig(num_pairs=300, seed=5), f"{tmp_path}/out", f"{tmp_path}/checkpoint", watched, last=2)
+    query.processAllAvailable()
+    query.stop()
+    for _ in range(50):  # files are removed a moment later
+        if not (left := _exchange_files(spark) - before[0]):
+            break
+        time.sleep(0.2)
+    assert len(made) == 3 and not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_an_epoch_in_parts_is_seen_when_it_is_whole(spark, papers, tmp_path, monkeypatch):
+    config = pairs.PairConfig(num_pairs=300, seed=5)
+    whole, attached = pairs._attach, []
+
+    def attach(*args):
+        attached.append(args)
+        if len(attached) == 2:
+            raise RuntimeError("lost after the first part")
+        return whole(*args)
+
+    monkeypatch.setattr(pairs, "MIN_PART_PAIRS", 100)
+    monkeypatch.setattr(pairs, "_attach", attach)
+    query = start_pairs(papers, config, f"{tmp_path}/out", f"{tmp_path}/checkpoint", last=1)
+    with pytest.raises(StreamingQueryException, match="lost after"):
+        query.processAllAvailable()
+    assert not list(tmp_path.glob("out/epoch=*")) and len(attached) == 2
+    query = start_pairs(papers, config, f"{tmp_path}/out", f"{tmp_path}/checkpoint", last=1)
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(p.name for p in tmp_path.glob("out/*")) == ["epoch=0", "epoch=1"] and len(attached) >= 6
+    monkeypatch.undo()
+    for epoch in (0, 1):
+        batch = pairs.positive_pairs(papers, replace(config, epoch=epoch))
+        assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out/epoch={epoch}").collect())) == sorted(map(tuple, batch.collect()))
+
+
 def test_the_reader_advances_one_epoch_and_replays_any_range():
     reader = EpochReader(0, 4)
     rows, end = reader.read({"epoch": 3})
